@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioscope.llm import conversations, term_counts, term_residuals
+from folioscope.llm import conversations, leakage, mojibake, term_counts, term_residuals
 from folioscope.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def queries() -> dict[str, Query]:
         "p3_threads": lambda s, d: conversations.threads(table(s, d, "chat_messages")),
         "p6_found": lambda s, d: term_residuals.found(table(s, d, "digested_docs")),
         "p6_residuals": lambda s, d: term_residuals.most_characteristic(table(s, d, "digested_docs")),
+        "p9_found": lambda s, d: leakage.found(table(s, d, "documents"), table(s, d, "eval_items")),
+        "p9_leaks": lambda s, d: leakage.leaks(table(s, d, "documents"), table(s, d, "eval_items")),
+        "p10_found": lambda s, d: mojibake.found(table(s, d, "documents")),
+        "p10_restored": lambda s, d: mojibake.restored(table(s, d, "documents")),
     }
 
 
@@ -81,6 +85,13 @@ follow AS (SELECT c, id, turn_no, role, lead(role) OVER w AS next_role, lead(bla
 SELECT c AS conv_uuid, turn_no, id AS msg_uuid, role AS speaker_role FROM follow
 WHERE c NOT IN (SELECT c FROM follow WHERE role = 'user' AND NOT coalesce(next_role = 'assistant' AND NOT next_blank, false))
 """
+_RUNS = """
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(lower(passage), '[\\p{L}\\p{N}]+') AS w FROM eval_items),
+dr AS (SELECT DISTINCT doc_id, hash(array_to_string(w[k : k + 12], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d)),
+ir AS (SELECT DISTINCT item_id, hash(array_to_string(w[k : k + 12], ' ')) AS h FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) AS k FROM i))
+SELECT DISTINCT doc_id, item_id FROM dr JOIN ir USING (h)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -90,4 +101,5 @@ def oracle_sql() -> dict[str, str]:
         "p3_found": _CONVERSATIONS,
         "p6_found": _WEIGHED + "SELECT digest_id, term FROM scored QUALIFY row_number() OVER (PARTITION BY digest_id ORDER BY weight DESC, term) = 1",
         "p6_residuals": _WEIGHED + "SELECT digest_id, term FROM scored QUALIFY row_number() OVER (PARTITION BY digest_id ORDER BY adjusted DESC, term) = 1",
+        "p9_found": _RUNS,
     }
