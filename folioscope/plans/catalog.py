@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from folioscope.operators import schema_drift
+from folioscope.runtime import table
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {}
+    return {
+        "p5_found": lambda s, d: schema_drift.found(table(s, d, "manifest_files")),
+        "p5_changes": lambda s, d: schema_drift.schema_changes(table(s, d, "manifest_files")),
+        "p5_manifests": lambda s, d: schema_drift.united(table(s, d, "manifest_files")),
+    }
 
 
 def oracle_sql() -> dict[str, str]:
