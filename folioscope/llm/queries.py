@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioscope.llm import conversations, leakage, mojibake, term_counts, term_residuals
+from folioscope.llm import conversations, history_dedup, leakage, mojibake, packing, term_counts, term_residuals
 from folioscope.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def queries() -> dict[str, Query]:
         "p3_threads": lambda s, d: conversations.threads(table(s, d, "chat_messages")),
         "p6_found": lambda s, d: term_residuals.found(table(s, d, "digested_docs")),
         "p6_residuals": lambda s, d: term_residuals.most_characteristic(table(s, d, "digested_docs")),
+        "p7_found": lambda s, d: history_dedup.found(table(s, d, "export_conversations")),
+        "p7_duplicates": lambda s, d: history_dedup.duplicates(table(s, d, "export_conversations")),
+        "p8_containers": lambda s, d: packing.containers(table(s, d, "documents")),
+        "p8_fill": lambda s, d: packing.fill(packing.containers(table(s, d, "documents"))),
         "p9_found": lambda s, d: leakage.found(table(s, d, "documents"), table(s, d, "eval_items")),
         "p9_leaks": lambda s, d: leakage.leaks(table(s, d, "documents"), table(s, d, "eval_items")),
         "p10_found": lambda s, d: mojibake.found(table(s, d, "documents")),
