@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioscope.llm import conversations, history_dedup, leakage, mojibake, packing, term_counts, term_residuals
+from folioscope.llm import conversations, history_dedup, leakage, mojibake, packing, pii, term_counts, term_residuals
 from folioscope.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,8 @@ def queries() -> dict[str, Query]:
         "p1_term_counts": lambda s, d: term_counts.term_counts(table(s, d, "digested_docs")),
         "p3_found": lambda s, d: conversations.conversations(table(s, d, "chat_messages")),
         "p3_threads": lambda s, d: conversations.threads(table(s, d, "chat_messages")),
+        "p4_found": lambda s, d: pii.found(table(s, d, "chat_messages"), table(s, d, "file_ops")),
+        "p4_redacted": lambda s, d: pii.redacted(table(s, d, "chat_messages"), table(s, d, "file_ops")),
         "p6_found": lambda s, d: term_residuals.found(table(s, d, "digested_docs")),
         "p6_residuals": lambda s, d: term_residuals.most_characteristic(table(s, d, "digested_docs")),
         "p7_found": lambda s, d: history_dedup.found(table(s, d, "export_conversations")),
