@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioscope.llm import conversations, history_dedup, leakage, mojibake, packing, pii, term_counts, term_residuals
+from folioscope.llm import conversations, history_dedup, leakage, mojibake, packing, pii, scan_noise, term_counts, term_residuals
 from folioscope.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,8 @@ def queries() -> dict[str, Query]:
     return {
         "p1_found": lambda s, d: term_counts.found(table(s, d, "digested_docs")),
         "p1_term_counts": lambda s, d: term_counts.term_counts(table(s, d, "digested_docs")),
+        "p2_found": lambda s, d: scan_noise.found(table(s, d, "pdf_pages")),
+        "p2_repaired": lambda s, d: scan_noise.repaired_pages(table(s, d, "pdf_pages")),
         "p3_found": lambda s, d: conversations.conversations(table(s, d, "chat_messages")),
         "p3_threads": lambda s, d: conversations.threads(table(s, d, "chat_messages")),
         "p4_found": lambda s, d: pii.found(table(s, d, "chat_messages"), table(s, d, "file_ops")),
