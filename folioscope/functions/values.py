@@ -18,7 +18,7 @@ def any_date(text: Column) -> Column:
     or_zero = lambda i: F.coalesce(F.nullif(part(i), F.lit("")), F.lit("00"))
     zone = F.when(part(7) == "Z", "Z").when(part(8) != "", F.concat(part(8), part(9), F.lit(":"), or_zero(10))).otherwise("")
     iso_of_pdf = F.concat(part(1), F.lit("-"), part(2), F.lit("-"), part(3), F.lit("T"), or_zero(4), F.lit(":"), or_zero(5), F.lit(":"), or_zero(6), zone)
-    iso = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"), F.try_to_timestamp(F.regexp_replace(t, r"([+-]\d{2})(\d{2})$", "$1:$2")))
+    iso = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"), F.try_to_timestamp(F.regexp_replace(F.regexp_replace(t, r"([+-]\d{2})(\d{2})$", "$1:$2"), r"^(\S{10})[T ](\d{2}:\d{2})(Z|[+-].*)?$", "$1T$2:00$3")))
     slashed = F.when(t.rlike(r"^\d{4}/\d{2}/\d{2}$"), F.try_to_timestamp(F.replace(t, F.lit("/"), F.lit("-"))))
     return F.coalesce(F.when(t.rlike(r"^D:\d{8}"), F.try_to_timestamp(iso_of_pdf)), iso, slashed)
 
