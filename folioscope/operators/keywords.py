@@ -77,8 +77,8 @@ def judged(docs: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
 
     lexicon: (term), lower case; a term counts as known with or without its hyphens.
     """
-    sized = docs.select("doc_id", text.keyword_count(text.word_count(F.col("text"))).alias("wanted"), text.capitalised_terms(F.col("text")).alias("names"))
-    first = ranked(tfidf(docs).join(sized.select("doc_id", "wanted"), "doc_id"), F.col("wanted") + HEADROOM)
+    sized = docs.select("doc_id", text.keyword_count(text.word_count(F.col("text"))).alias("wanted"))
+    first = ranked(tfidf(docs).join(sized, "doc_id"), F.col("wanted") + HEADROOM)
     known = F.lit(False)
     if lexicon is not None:
         # a lexicon is as large as its files: the planner decides how to join it
@@ -86,8 +86,12 @@ def judged(docs: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
         plain = listed.withColumnRenamed("listed", "listed_plain")
         first = first.join(listed, F.col("term") == F.col("listed"), "left").join(plain, F.replace(F.col("term"), F.lit("-"), F.lit("")) == F.col("listed_plain"), "left")
         known = F.col("listed").isNotNull() | F.col("listed_plain").isNotNull()
-    named = first.join(sized.select("doc_id", "names"), "doc_id")
-    said = artifacts.verdict(F.col("term"), F.col("df"), known, F.array_contains("names", F.col("term")))
+    first = materialize(first.withColumn("known", known), "ranked")
+    # capitals are looked for only where they could save a term
+    asked = first.filter(artifacts.verdict(F.col("term"), F.col("df"), F.col("known"), F.lit(False)) == "soft").select("doc_id").distinct()
+    names = docs.select("doc_id", "text").join(asked, "doc_id", "left_semi").select("doc_id", text.capitalised_terms(F.col("text")).alias("names"))
+    named = first.join(names, "doc_id", "left")
+    said = artifacts.verdict(F.col("term"), F.col("df"), F.col("known"), F.array_contains("names", F.col("term")))
     return named.withColumn("verdict", said).select("doc_id", "term", "score", "rank", "wanted", "verdict")
 
 

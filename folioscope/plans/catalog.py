@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.functions import artifacts, text, values
-from folioscope.operators import audit, duplicates, exports, inventory, keywords, provenance, replay, schema_drift, trees
-from folioscope.runtime import table
+from folioscope.operators import audit, duplicates, exports, inventory, keywords, provenance, render, replay, schema_drift, trees
+from folioscope.runtime import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _documents(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents")
+    return spread(table(s, d, "documents"))
 
 
 def _digests(s: SparkSession, d: str) -> DataFrame:
@@ -266,6 +266,11 @@ def queries() -> dict[str, Query]:
         "collapse_reasoning": _reasoning,
         "conversation_counters": _counters,
         "replayed_files": lambda s, d: replay.rebuilt_files(table(s, d, "file_ops")),
+        "rendered_messages": lambda s, d: render.rendered_messages(_messages(s, d)).select("row_id", F.md5("markdown").alias("digest")),
+        "rendered_conversations": lambda s, d: render.rendered_conversations(_messages(s, d)).select("conv_uuid", "part_no", "messages", "branches", F.md5("markdown").alias("digest")),
+        "embedded_manifests": lambda s, d: render.embedded_manifests(table(s, d, "file_ops")),
+        "scanned_files": lambda s, d: render.scanned(table(s, d, "pdf_pages")),
+        "plain_documents": lambda s, d: render.plain_reader(_documents(s, d)).select("doc_id", F.md5("plain").alias("digest")),
         "file_kinds": _run_totals,
         "folder_summary": lambda s, d: inventory.folder_summary(_files(s, d).select("path", "size")),
         "selection_coverage": _selection,

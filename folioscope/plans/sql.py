@@ -180,4 +180,8 @@ SQL: dict[str, str] = {
     "common_extensions": "SELECT lower(regexp_extract(split_part(file_path, '/', -1), '.(\\.[^.]+)$', 1)) AS extension, count(*) AS n FROM file_ops WHERE file_path IS NOT NULL GROUP BY 1 ORDER BY n DESC, extension LIMIT 15",
     "index_entries": f"""WITH {_DIGESTS} SELECT digest_id, '{{"digest_id":' || digest_id || coalesce(',"title":"' || title || '"', '') || coalesce(',"source_bytes":' || source_bytes, '') || '}}' AS entry FROM dd""",
     "event_windows": "SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, event_type, count(*) AS events, count(DISTINCT user_id) AS users, round(sum(value), 2) AS value FROM events GROUP BY ALL",
+    "rendered_messages": """WITH m AS (SELECT row_id, sender, created_at, text, list_filter(list_transform(coalesce(content, []), lambda b: CASE WHEN b.block_type = 'text' THEN b.text WHEN b.block_type = 'thinking' THEN '<details><summary>Thinking</summary>' || chr(10) || chr(10) || coalesce(b.thinking, '') || chr(10) || chr(10) || '</details>' WHEN b.block_type = 'tool_use' THEN '**Tool:** `' || coalesce(b.tool_name, 'unknown') || '`' ELSE '**' || coalesce(b.block_type, 'block') || '**' END), lambda x: x IS NOT NULL AND trim(x) <> '') AS s FROM chat_messages)
+ SELECT row_id, md5('## ' || CASE WHEN lower(trim(sender)) IN ('human', 'user') THEN 'Human' WHEN sender IS NULL OR trim(sender) = '' THEN 'Unknown' ELSE 'Assistant' END || chr(10) || chr(10) || coalesce('*' || strftime(created_at, '%Y-%m-%d %H:%M') || ' UTC*' || chr(10) || chr(10), '') || CASE WHEN len(s) > 0 THEN array_to_string(s, chr(10) || chr(10)) ELSE coalesce(text, '') END) AS digest FROM m""",
+    "scanned_files": "SELECT pdf_id, coalesce(sum(len(trim(text))), 0)::BIGINT AS chars, count(DISTINCT page_no) AS pages, coalesce(sum(len(trim(text))), 0) < 20 * count(DISTINCT page_no) AS scanned FROM pdf_pages WHERE page_no <= 10 GROUP BY pdf_id",
+    "plain_documents": rf"SELECT doc_id, md5(regexp_replace(regexp_replace({_BODY}, '{_INDEX}', '', 'g'), '^\s+', '')) AS digest FROM documents",
 }

@@ -52,6 +52,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table for work on every row: one of fewer partitions than cores, a single small file say, goes over all of them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def slices(spark: SparkSession) -> int:
     """Partitions for a stage whose work, not its bytes, needs all cores."""
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))

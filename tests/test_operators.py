@@ -176,3 +176,25 @@ def test_united_table(spark):
     files = _files(spark, f'{{"project_uuid": "{U}", "revision": 3}}', f'{{"projectUuid": "{U.upper()}", "revision": "4", "conversations": [{{"id": "{U}"}}, {{"id": null}}]}}')
     got = schema_drift.united(files).orderBy("file_id", "entry_uuid").collect()
     assert [(r["project_uuid"], r["revision"]) for r in got] == [(U, 3), (U, 4), (U, 4)]
+
+
+def test_active_paths(spark):
+    from folioscope.operators import render
+
+    nodes = spark.createDataFrame([("k", "r", None, False), ("k", "a", "r", False), ("k", "b", "a", True), ("k", "c", "a", False), ("o", "x", "y", True), ("o", "y", "x", False)], "conv_id string, node_id string, parent string, is_current boolean")
+    assert _rows(render.active_paths(nodes)) == [("k", "a", 2), ("k", "b", 3), ("k", "r", 1), ("o", "x", 2), ("o", "y", 1)]
+
+
+def test_embedded_manifests(spark):
+    from folioscope.operators import render
+
+    made = '{"project_uuid": "p"}'
+    rows = [(1, "c", 1, "create", "/mnt/user-data/outputs/m.json", "{", False), (2, "c", 2, "create", "/mnt/user-data/outputs/m.json", made, None), (3, "c", 3, "present", "/mnt/user-data/outputs/m.json", None, False), (4, "c", 4, "edit", "/mnt/user-data/outputs/m.json", None, True), (5, "d", 1, "create", "/tmp/m.json", made, False)]
+    got = render.embedded_manifests(spark.createDataFrame(rows, "op_id long, conv_uuid string, seq int, op string, file_path string, text string, failed boolean"))
+    assert [tuple(r)[2:] for r in got.collect()] == [(2, "p", True, False)]
+
+
+def test_json_bullets():
+    from folioscope.operators import render
+
+    assert render.json_bullets({"a": 1, "b": {"c": [True, None]}}) == ["- **a:** 1", "- **b:**", "  - **c:**", "    - true", "    - "]
