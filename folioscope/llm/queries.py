@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from folioscope.llm import conversations, history_dedup, leakage, mojibake, packing, pii, scan_noise, term_counts, term_residuals
-from folioscope.runtime import table
+from folioscope.runtime import spread
+from folioscope.runtime import table as stored
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(stored(spark, sf_dir, name))
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 
