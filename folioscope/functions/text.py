@@ -111,17 +111,25 @@ def outline(text: Column, most: int = 25) -> Column:
 
 
 def index_block(keywords: Column, bullets: Column) -> Column:
-    parts = F.concat(F.lit(f"{INDEX_BEGIN}\n## Document index\n\n**Keywords:** "), F.array_join(keywords, ", "), F.lit("\n\n**Outline:**\n"), F.array_join(bullets, "\n"), F.lit(f"\n{INDEX_END}\n\n"))
-    return parts
+    """The generated block; a part without entries is left out."""
+    words = F.when(F.size(keywords) > 0, F.concat(F.lit("**Keywords:** "), F.array_join(keywords, ", "), F.lit("\n\n"))).otherwise("")
+    heads = F.when(F.size(bullets) > 0, F.concat(F.lit("**Outline:**\n\n"), F.array_join(bullets, "\n"), F.lit("\n\n"))).otherwise("")
+    return F.concat(F.lit(f"{INDEX_BEGIN}\n## Document index\n\n"), words, heads, F.lit(INDEX_END))
 
 
 def with_index(text: Column, block: Column) -> Column:
-    """The block in place of an old one, else after the first top heading, else in front."""
-    bare = F.regexp_replace(text, INDEX_BLOCK, "")
-    first = F.regexp_extract(bare, r"(?m)^(# [^\n]+\n+)", 1)
-    at = F.instr(bare, first)
-    after = F.concat(F.substring(bare, F.lit(1), at - 1 + F.length(first)), block, F.substring(bare, at + F.length(first), F.length(bare)))
-    return F.when(first != "", after).otherwise(F.concat(block, bare))
+    """The block in place of an old one, else after the first top heading, else in front; again gives the same."""
+    spaced = F.concat(block, F.lit("\n\n"))
+    old = F.regexp_extract(text, f"({INDEX_BLOCK})", 1)
+    first = F.regexp_extract(text, r"(?m)^(#[ \t]+[^\n]+\n)", 1)
+
+    def beside(found: Column, before: Column) -> Column:
+        """Text up to a passage, what comes before the rest, and the rest."""
+        at = F.instr(text, found)
+        rest = F.substring(text, at + F.length(found), F.length(text))
+        return F.concat(F.substring(text, F.lit(1), at - 1), before, F.regexp_replace(rest, r"^\n+", ""))
+
+    return F.when(old != "", beside(old, spaced)).when(first != "", beside(first, F.concat(first, F.lit("\n"), spaced))).otherwise(F.concat(spaced, text))
 
 
 def slug(text: Column, most: int = 60) -> Column:

@@ -14,8 +14,8 @@ TOOL_FOLDERS = ["_audit", "_Tools", "_ocr-cache", "__pycache__", "node_modules"]
 TOOL_FILES = ["DIRTREE.txt", "FILETREE.txt", "tree.txt", ".DS_Store", "Thumbs.db", "desktop.ini"]
 REQUIRED = ["title", "keywords", "date", "source"]
 RETIRED = ["true", "yes", "1", "on"]
-VERSIONED = r"^\d{4}-\d{2}-\d{2}(?:-\d{4})?__[^/]+?_v\d+(?:\.\d+)*\.[A-Za-z0-9]+$"
-PLAIN = r"(?i)^[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}_manifest\.json$"
+VERSIONED = r"(?i)^.+-(?:v\d+(?:\.\d+)*|draft\d*)\.[A-Za-z0-9]+$"
+TIMESTAMPED = r"^\d{4}-\d{2}-\d{2}-\d{4}__[a-z0-9]+(?:-[a-z0-9]+)*\.[A-Za-z0-9]+$"
 
 
 def utility_path(path: Column) -> Column:
@@ -75,7 +75,7 @@ def missing_tally(missing: DataFrame, group: str) -> DataFrame:
 
 
 def name_conforms(name: Column) -> Column:
-    return name.rlike(VERSIONED) | name.rlike(PLAIN)
+    return name.rlike(VERSIONED) | name.rlike(TIMESTAMPED)
 
 
 def stale_state(has_fields: Column, retired: Column, skipped: Column, in_files: Column, file_name: Column, in_conversations: Column, conversation: Column) -> Column:

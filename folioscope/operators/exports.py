@@ -47,7 +47,8 @@ def merge_report(messages: DataFrame) -> DataFrame:
     per = versions(messages).groupBy("conv_uuid").agg(F.count("*").alias("n"))
     counts = per.agg(F.count("*").alias("conversations"), F.count_if(F.col("n") > 1).alias("in_several_exports"))
     rows = messages.agg(F.countDistinct("export_key").alias("exports"), F.countDistinct("msg_uuid").alias("messages"))
-    return rows.join(counts, F.lit(True))  # one row beside one row
+    one = F.lit(1).alias("one")
+    return rows.select("*", one).join(counts.select("*", one), "one").drop("one")
 
 
 def as_of_labels(messages: DataFrame) -> DataFrame:

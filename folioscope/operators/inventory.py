@@ -9,8 +9,8 @@ from folioscope.functions import text
 from folioscope.functions.values import human_size, name_date
 
 # Extensions of media and of account files.
-MEDIA = "png jpg jpeg gif webp bmp svg tif tiff mp3 wav m4a ogg flac mp4 mov webm avi mkv heic".split()
-ACCOUNT_FILES = "user.json message_feedback.json model_comparisons.json shared_conversations.json group_chats.json shopping.json".split()
+MEDIA = "png jpg jpeg gif webp svg bmp tiff tif wav mp3 m4a ogg flac aac opus mp4 mov webm avi mkv m4v xcf psd ai sketch afdesign afphoto".split()
+ACCOUNT_FILES = "user.json user_settings.json export_manifest.json shared_conversations.json message_feedback.json model_comparisons.json chat.html".split()
 SHEET = "application/vnd.google-apps.spreadsheet"
 
 
@@ -18,8 +18,8 @@ def kind(path: Column) -> Column:
     """What is done with a file, by the first test that holds."""
     name, ext = F.lower(text.base_name(path)), text.extension(text.base_name(path))
     return (
-        F.when(name.startswith("~$") | name.startswith("."), "skipped").when(ext == ".docx", "docx").when(ext.isin(".xlsx", ".xlsm"), "xlsx").when(ext == ".pdf", "pdf").when(ext.isin(".html", ".htm"), "html")
-        .when(ext == ".rtf", "rtf").when(name.isin(ACCOUNT_FILES), "account").when(name.rlike(r"^conversations(-\d+)?\.json$"), "conversations").when(ext == ".md", "md").when(ext == ".txt", "txt")
+        F.when(name.startswith("~$") | name.startswith("."), "skipped").when(ext == ".docx", "docx").when(ext.isin(".xlsx", ".xlsm"), "xlsx").when(ext == ".pdf", "pdf").when(name.isin(ACCOUNT_FILES), "account").when(ext.isin(".html", ".htm"), "html")
+        .when(ext == ".rtf", "rtf").when(name.rlike(r"^conversations(-\d+)?\.json$"), "conversations").when(ext == ".md", "md").when(ext == ".txt", "txt")
         .when(ext.isin([f".{m}" for m in MEDIA]), "media").otherwise("sidecar")
     )
 

@@ -141,7 +141,7 @@ SQL: dict[str, str] = {
     "completeness_antijoin": f"WITH {_DIGESTS}, {_FILES} SELECT path FROM ff WHERE NOT EXISTS (SELECT 1 FROM dd WHERE word_count > 0 AND keywords IS NOT NULL AND source_bytes = ff.size AND source_sha256 = ff.sha256)",
     "index_differences": f"WITH {_DIGESTS} SELECT digest_id AS id, 'dangling' AS side FROM dd WHERE digest_id NOT IN (SELECT doc_id FROM documents) UNION ALL SELECT doc_id, 'unindexed' FROM documents WHERE doc_id NOT IN (SELECT digest_id FROM dd)",
     "frontmatter_missing": f"WITH {_DIGESTS}, m AS (SELECT provenance_structure, unnest(list_filter([CASE WHEN trim(coalesce(title, '')) = '' THEN 'title' END, CASE WHEN trim(coalesce(array_to_string(keywords, ','), '')) = '' THEN 'keywords' END, CASE WHEN trim(coalesce(doc_date, '')) = '' THEN 'date' END, CASE WHEN trim(coalesce(source, '')) = '' THEN 'source' END], lambda x: x IS NOT NULL)) AS field FROM dd) SELECT provenance_structure, field, count(*) AS records FROM m GROUP BY ALL",
-    "filename_conformance": rf"SELECT file_id, regexp_matches(file_name, '^\d{{4}}-\d{{2}}-\d{{2}}(?:-\d{{4}})?__[^/]+?_v\d+(?:\.\d+)*\.[A-Za-z0-9]+$') OR regexp_matches(file_name, '(?i)^{_UUID}_manifest\.json$') AS conforms FROM manifest_files",
+    "filename_conformance": r"SELECT file_id, regexp_matches(file_name, '(?i)^.+-(?:v\d+(?:\.\d+)*|draft\d*)\.[A-Za-z0-9]+$') OR regexp_matches(file_name, '^\d{4}-\d{2}-\d{2}-\d{4}__[a-z0-9]+(?:-[a-z0-9]+)*\.[A-Za-z0-9]+$') AS conforms FROM manifest_files",
     "utility_paths": f"WITH {_DIGESTS}, {_FILES} SELECT digest_id, digest_id % 5 = 0 OR split_part(path, '/', -1) IN ({_list(TOOL_FILES)}) AS utility FROM ff",
     "stale_classification": "WITH k AS (SELECT DISTINCT conv_uuid FROM chat_messages WHERE conv_uuid IS NOT NULL), s AS (SELECT CASE WHEN o.op_id IS NULL THEN 'no-frontmatter' WHEN failed THEN 'retired' WHEN o.conv_uuid IS NULL THEN 'orphan' WHEN k.conv_uuid IS NOT NULL THEN 'ok' ELSE 'absent-conversation' END AS state FROM file_ops o LEFT JOIN k USING (conv_uuid)) SELECT state, count(*) AS records FROM s GROUP BY state",
     "rename_detection": f"WITH {_DIGESTS}, {_FILES}, w AS (SELECT size, sha256, min(path) AS new_path FROM ff GROUP BY ALL) SELECT 'moved/' || path AS path, new_path FROM ff JOIN w USING (size, sha256) WHERE size % 2 = 0",
@@ -162,7 +162,7 @@ SQL: dict[str, str] = {
     "collapse_reasoning": "WITH b AS (SELECT row_id, generate_subscripts(content, 1) AS place, unnest(content).block_type = 'thinking' AS step FROM chat_messages WHERE content IS NOT NULL), c AS (SELECT *, coalesce((step <> lag(step) OVER w)::INT, 1) AS ch FROM b WINDOW w AS (PARTITION BY row_id ORDER BY place)), r AS (SELECT *, sum(ch) OVER (PARTITION BY row_id ORDER BY place)::BIGINT AS run_no FROM c) SELECT row_id, run_no, any_value(step) AS flagged, count(*) AS n FROM r GROUP BY row_id, run_no",
     "conversation_counters": "WITH m AS (SELECT conv_uuid, msg_uuid, any_value(content) AS content, any_value(created_at) AS created_at FROM chat_messages WHERE conv_uuid IS NOT NULL GROUP BY ALL) SELECT conv_uuid, count(*) AS messages, sum(len(list_filter(coalesce(content, []), lambda b: b.block_type = 'thinking')))::BIGINT AS thinking_blocks, sum(len(list_filter(coalesce(content, []), lambda b: b.block_type = 'tool_use')))::BIGINT AS tool_uses, max(created_at) AS last_message FROM m GROUP BY conv_uuid",
     "file_kinds": f"""WITH {_DIGESTS}, {_FILES}, k AS (SELECT size, lower(split_part(path, '/', -1)) AS name, lower(regexp_extract(split_part(path, '/', -1), '.(\\.[^.]+)$', 1)) AS ext FROM ff),
- t AS (SELECT size, CASE WHEN name LIKE '~$%' OR name LIKE '.%' THEN 'skipped' WHEN ext = '.docx' THEN 'docx' WHEN ext IN ('.xlsx', '.xlsm') THEN 'xlsx' WHEN ext = '.pdf' THEN 'pdf' WHEN ext IN ('.html', '.htm') THEN 'html' WHEN ext = '.rtf' THEN 'rtf' WHEN name IN ({_list(ACCOUNT_FILES)}) THEN 'account' WHEN regexp_matches(name, '^conversations(-\\d+)?\\.json$') THEN 'conversations' WHEN ext = '.md' THEN 'md' WHEN ext = '.txt' THEN 'txt' WHEN ext IN ({_list(['.' + m for m in MEDIA])}) THEN 'media' ELSE 'sidecar' END AS kind FROM k)
+ t AS (SELECT size, CASE WHEN name LIKE '~$%' OR name LIKE '.%' THEN 'skipped' WHEN ext = '.docx' THEN 'docx' WHEN ext IN ('.xlsx', '.xlsm') THEN 'xlsx' WHEN ext = '.pdf' THEN 'pdf' WHEN name IN ({_list(ACCOUNT_FILES)}) THEN 'account' WHEN ext IN ('.html', '.htm') THEN 'html' WHEN ext = '.rtf' THEN 'rtf' WHEN regexp_matches(name, '^conversations(-\\d+)?\\.json$') THEN 'conversations' WHEN ext = '.md' THEN 'md' WHEN ext = '.txt' THEN 'txt' WHEN ext IN ({_list(['.' + m for m in MEDIA])}) THEN 'media' ELSE 'sidecar' END AS kind FROM k)
  SELECT kind, count(*) AS files, sum(size)::BIGINT AS bytes FROM t GROUP BY kind""",
     "folder_summary": f"""WITH {_DIGESTS}, {_FILES}, s AS (SELECT regexp_replace(path, '/[^/]*$', '') AS folder, count(*) AS files, count(*) FILTER (path LIKE '%.md') AS md_files, coalesce(sum(size), 0)::BIGINT AS bytes, CAST(NULL AS DATE) AS first_day, CAST(NULL AS DATE) AS last_day FROM ff GROUP BY 1)
  SELECT *, CASE WHEN bytes < 1024 THEN printf('%d B', bytes) WHEN bytes < 1048576 THEN printf('%.1f KB', round(bytes / 1024.0, 1)) WHEN bytes < 1073741824 THEN printf('%.1f MB', round(bytes / 1048576.0, 1)) ELSE printf('%.1f GB', round(bytes / 1073741824.0, 1)) END AS size FROM s""",
