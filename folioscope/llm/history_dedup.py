@@ -226,21 +226,31 @@ def suffixes(texts: DataFrame) -> DataFrame:
     return texts.select("row_id", "batch_no", "words").mapInArrow(_suffixes, SUFFIXES)
 
 
-def _routed(table: DataFrame) -> DataFrame:
-    """With the shard of each suffix. Where the first words are hot, more of them decide, up to 80; beyond, the record does."""
+def _routed(table: DataFrame, first_batch: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(the suffixes with the shard of each, pairs with the first records of hot beginnings).
+
+    Where the first words are hot, more of them decide on the shard, up to 80; beyond, the record does. Members of
+    a hot beginning that are parted so would not meet: each is paired with the first record of that beginning.
+    """
     total = table.count()
     shards = max(slices(table.sparkSession), total // SHARD + 1)
     least = max(LEAST_HOT, int(total * HOT))
     route: Column = F.substring("key", 1, 8)
     table = table.withColumn("route", route)
+    firsts = table.sparkSession.createDataFrame([], PAIRS)
     for depth in range(1, LEVELS + 1):
-        hot = table.groupBy("route").count().filter(F.col("count") > least).select("route", F.lit(True).alias("hot"))
-        hot = materialize(hot, "hot")  # at most 1 / HOT rows
+        hot = table.groupBy("route").agg(F.count("*").alias("count"), F.min(F.struct("batch_no", "row_id", "n")).alias("first"))
+        hot = materialize(hot.filter(F.col("count") > least).select("route", "first"), "hot")  # at most 1 / HOT rows
         if hot.isEmpty():
             break
+        table = table.join(F.broadcast(hot), "route", "left")
+        alike = F.least("n", "first.n") >= SHARE * F.greatest("n", "first.n")
+        asked = table.filter(F.col("first").isNotNull() & (F.struct("batch_no", "row_id") > F.struct("first.batch_no", "first.row_id")) & alike)
+        asked = asked if first_batch is None else asked.filter(F.col("batch_no") >= first_batch)
+        firsts = firsts.unionByName(asked.groupBy("row_id", F.col("first.row_id").alias("other_id")).agg(F.max("starts").alias("starts"), F.count("*").alias("hits")))
         more = F.substring("key", 1, 8 + 4 * depth) if depth < LEVELS else F.concat("route", F.pmod("row_id", F.lit(64)).cast("string").cast("binary"))
-        table = table.join(F.broadcast(hot), "route", "left").withColumn("route", F.when(F.col("hot"), more).otherwise(F.col("route"))).drop("hot")
-    return table.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards))).drop("route")
+        table = table.withColumn("route", F.when(F.col("first").isNotNull(), more).otherwise(F.col("route"))).drop("first")
+    return table.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards))).drop("route"), firsts
 
 
 def duplicates(conversations: DataFrame, first_batch: int | None = None) -> DataFrame:
@@ -256,8 +266,8 @@ def duplicates(conversations: DataFrame, first_batch: int | None = None) -> Data
     head = texts.groupBy("digest").agg(F.min(F.struct("batch_no", "row_id")).alias("first"))
     first = texts.join(head.select(F.col("first.row_id").alias("row_id")), "row_id", "left_semi")
     first = materialize(first, "first")
-    routed = _routed(materialize(suffixes(first), "suffixes"))
-    near = routed.groupBy("shard").applyInArrow(_shard(first_batch), PAIRS)
+    routed, firsts = _routed(materialize(suffixes(first), "suffixes"), first_batch)
+    near = routed.groupBy("shard").applyInArrow(_shard(first_batch), PAIRS).unionByName(firsts)
     covered = near.groupBy("row_id", "other_id").agg(F.sum("hits").alias("hits"), F.max("starts").alias("starts"))
     pairs = materialize(covered.filter(F.col("hits") >= COVERAGE * F.col("starts")).select("row_id", "other_id"), "pairs")
     links = materialize(_links(pairs, first), "links")

@@ -146,6 +146,14 @@ def test_history_against_brute_force(spark):
     assert got == _brute([x for x in rows if x[0] is not None and x[1] is not None])
 
 
+def test_edited_copies_of_one_long_text(spark, monkeypatch):
+    monkeypatch.setattr(history_dedup, "LEAST_HOT", 20)
+    r = random.Random(8)
+    source = " ".join(f"w{r.randrange(5000)}" for _ in range(300))
+    rows = [(i, 1 + i // 50, _edited(r, source, 0.01)) for i in range(150)]
+    assert {tuple(x) for x in history_dedup.found(spark.createDataFrame(rows, CONV)).collect()} == _brute(rows)
+
+
 def test_history_of_nothing(spark):
     assert history_dedup.found(spark.createDataFrame([], CONV)).count() == 0
 
