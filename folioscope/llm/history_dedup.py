@@ -5,6 +5,10 @@ Method: immutable suffix arrays for each batch. A suffix stands in the array by
 Matches are counted for each pair of records, and pairs that cover enough are verified word by word. The
 arrays of batches are merged logarithmically: a new one absorbs those before it that are not twice its size.
 
+That search finds most duplicates at little cost but guarantees none. The rest is exact: every record meets the accepted
+ones through its rarest pairs of adjacent words (``prefixes``), of which two texts with enough common words in order must
+share one. This goes on until every accepted record has been met by all, so nothing depends on what the first search missed.
+
 Suffixes are spread over tasks by their first five words (by more of them where those five are hot), so a lookup
 meets one shard only. Every word of a short record starts a suffix; of a long one, those whose hash
 says so, the same in both texts. Exact copies are found by digest first and never become pairs.
@@ -16,6 +20,7 @@ up its new batches only, see ``first_batch``.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -48,6 +53,12 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 TEXTS = "row_id long, batch_no long, n int, digest string, words string"
 SUFFIXES = "key binary, row_id long, batch_no long, n int, starts int"
 PAIRS = "row_id long, other_id long, starts int, hits long"
+#: Buckets of the counts by which pairs of words are rare or usual, bits of a record's signature, and those from so many words on.
+BUCKETS, BITS, WIDE_BITS, WIDE_FROM = 1 << 20, 512, 8192, 300
+#: Pairs of records compared at once within a shard.
+AT_ONCE = 2_000_000
+
+PREFIXES = "shard int, row_id long, batch_no long, n int, marks binary, wide binary, keys binary, places binary"
 
 
 def words(text: str | None) -> list[str]:
@@ -226,6 +237,138 @@ def suffixes(texts: DataFrame) -> DataFrame:
     return texts.select("row_id", "batch_no", "words").mapInArrow(_suffixes, SUFFIXES)
 
 
+# Of L words in common order, at least 3 L - n - m - 1 follow each other directly in both texts of n and m words, as
+# each word left out parts two at most. With L >= SHARE * max(n, m) that is (3 * SHARE - 2) * n - 1 for either text.
+
+
+def _least_common(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Words two texts of n and m words must have in common order."""
+    return np.ceil(SHARE * np.maximum(n, m) - 1e-9).astype(np.int64)
+
+
+def _marks(coded: np.ndarray, bits: int) -> bytes:
+    """A bit for each bucket of words: whether their number is odd. A word that only one of two texts has flips one bit."""
+    return np.packbits(np.bincount((coded % np.uint64(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def _word_pairs(found: list[str], codes: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the words, hashes of the pairs of adjacent words)."""
+    for w in found:
+        if w not in codes:
+            codes[w] = xxhash.xxh64_intdigest(w)
+    coded = np.fromiter((codes[w] for w in found), np.uint64, len(found))
+    with np.errstate(over="ignore"):
+        both = coded[:-1] * _BASE + coded[1:]
+        both = (both ^ (both >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return coded, both ^ (both >> np.uint64(32))
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(BUCKETS, np.int64)
+    for batch in batches:
+        codes: dict[str, int] = {}
+        for text in batch.column("words").to_pylist():
+            _, both = _word_pairs(text.split(" "), codes)
+            np.add.at(counts, (both % np.uint64(BUCKETS)).astype(np.int64), 1)
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], names=["bucket", "n"])
+
+
+def _prefix(usual: np.ndarray, shards: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes: dict[str, int] = {}
+            rows = []
+            for row_id, batch_no, text in zip(*(batch.column(c).to_pylist() for c in ("row_id", "batch_no", "words"))):
+                found = text.split(" ")
+                n = len(found)
+                must = math.ceil((3 * SHARE - 2) * n - 1 - 1e-9)
+                if must < 1:
+                    continue  # so few words must all be equal: an exact copy
+                coded, both = _word_pairs(found, codes)
+                rank = usual[(both % np.uint64(BUCKETS)).astype(np.int64)]
+                order = np.lexsort((both, rank))
+                last = order[n - 1 - must]
+                # all places of a pair that is in the prefix at one
+                own = np.flatnonzero((rank < rank[last]) | ((rank == rank[last]) & (both <= both[last])))
+                marks, wide = _marks(coded, BITS), _marks(coded, WIDE_BITS) if n >= WIDE_FROM else b""
+                shard = (both[own] >> np.uint64(20)) % np.uint64(shards)
+                for k in np.unique(shard):
+                    at = own[shard == k]
+                    rows.append((int(k), row_id, batch_no, n, marks, wide, both[at].tobytes(), at.astype(np.int32).tobytes()))
+            columns = list(zip(*rows)) or [()] * 8
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["shard", "row_id", "batch_no", "n", "marks", "wide", "keys", "places"])
+
+    return run
+
+
+def prefixes(texts: DataFrame) -> DataFrame:
+    """The rarest pairs of adjacent words of each text (row_id, batch_no, n, words), by shard.
+
+    Any order of the pairs gives exact results if it is the same for all texts; rare ones first gives few meetings. Counts
+    are kept in ``BUCKETS`` sums, which bounds what the driver holds.
+    """
+    counted = texts.select("words").mapInArrow(_count_pairs, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    usual = np.zeros(BUCKETS, np.int64)
+    usual[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
+    shards = max(slices(texts.sparkSession), int(usual.sum()) // SHARD + 1)
+    return texts.select("row_id", "batch_no", "words").mapInArrow(_prefix(usual, shards), PREFIXES)
+
+
+def _meet(table: pa.Table) -> pa.Table:
+    """(row_id, other_id) of one shard: records and earlier accepted ones that may have enough words in common order."""
+    ids, numbers, n = (table[c].to_numpy() for c in ("row_id", "batch_no", "n"))
+    n = n.astype(np.int64)
+    asks, held = (table[c].to_numpy(zero_copy_only=False).astype(bool) for c in ("asks", "accepted"))
+    marks = np.frombuffer(b"".join(table["marks"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
+    wide = np.frombuffer(b"".join(table["wide"].to_pylist()), np.uint64).reshape(-1, WIDE_BITS // 64)
+    wide_at = np.cumsum(n >= WIDE_FROM) - 1
+    raw = table["keys"].to_pylist()
+    own = np.repeat(np.arange(len(ids)), [len(k) // 8 for k in raw])
+    keys = np.unique(np.frombuffer(b"".join(raw), np.uint64), return_inverse=True)[1].astype(np.int64)
+    places = np.frombuffer(b"".join(table["places"].to_pylist()), np.int32).astype(np.int64)
+    when = np.empty(len(ids), np.int64)
+    when[np.lexsort((ids, numbers))] = np.arange(len(ids))
+    of = np.flatnonzero(held[own])
+    sorting = (keys[of] << 32) | n[own[of]]
+    order = np.argsort(sorting, kind="stable")
+    of, sorting = of[order], sorting[order]
+    asked = np.flatnonzero(asks[own])
+    size = n[own[asked]]
+    low = np.searchsorted(sorting, (keys[asked] << 32) | np.ceil(SHARE * size - 1e-9).astype(np.int64), "left")
+    high = np.searchsorted(sorting, (keys[asked] << 32) | np.floor(size / SHARE + 1e-9).astype(np.int64), "right")
+    ends = np.cumsum(high - low)
+    met, start = [], 0
+    while start < len(asked):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + AT_ONCE, "right")))
+        many = (high - low)[start:stop]
+        a = np.repeat(asked[start:stop], many)
+        b = of[np.repeat(low[start:stop] - (np.cumsum(many) - many), many) + np.arange(len(a))]
+        x, y = own[a], own[b]
+        i, j = places[a], places[b]
+        least = _least_common(n[x], n[y])
+        near = np.flatnonzero((when[x] > when[y]) & (np.minimum(i, j) + np.minimum(n[x] - i, n[y] - j) >= least))
+        x, y, least = x[near], y[near], least[near]
+        # bits in which the signatures differ: at most the words that only one of the two has
+        apart = np.bitwise_count(marks[x] ^ marks[y]).sum(axis=1, dtype=np.int64)
+        alike = apart <= n[x] + n[y] - 2 * least
+        met.append(np.unique(x[alike] * len(ids) + y[alike]))
+        start = stop
+    pairs = np.unique(np.concatenate(met)) if met else np.zeros(0, np.int64)
+    x, y = pairs // max(1, len(ids)), pairs % max(1, len(ids))
+    alike = np.ones(len(pairs), bool)
+    both = np.flatnonzero((n[x] >= WIDE_FROM) & (n[y] >= WIDE_FROM))
+    for start in range(0, len(both), AT_ONCE // (WIDE_BITS // 64)):
+        part = both[start : start + AT_ONCE // (WIDE_BITS // 64)]
+        a, b = x[part], y[part]
+        apart = np.bitwise_count(wide[wide_at[a]] ^ wide[wide_at[b]]).sum(axis=1, dtype=np.int64)
+        alike[part] = apart <= n[a] + n[b] - 2 * _least_common(n[a], n[b])
+    x, y = x[alike], y[alike]
+    return pa.table([pa.array(ids[x]), pa.array(ids[y])], names=["row_id", "other_id"])
+
+
 def _routed(table: DataFrame, first_batch: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(the suffixes with the shard of each, pairs with the first records of hot beginnings).
 
@@ -272,15 +415,33 @@ def duplicates(conversations: DataFrame, first_batch: int | None = None) -> Data
     pairs = materialize(covered.filter(F.col("hits") >= COVERAGE * F.col("starts")).select("row_id", "other_id"), "pairs")
     links = materialize(_links(pairs, first), "links")
     # a neighbour may itself repeat an accepted record that was further off in the array: compare with that as well
-    for _ in range(2):
+    tried = pairs
+    while True:
         order = first.select(F.col("row_id").alias("other_id"), "batch_no")
         root = links.join(order, "other_id").groupBy("row_id").agg(F.min(F.struct("batch_no", "other_id")).alias("r")).select(F.col("row_id").alias("other_id"), F.col("r.other_id").alias("root"))
-        more = links.join(root, "other_id").select("row_id", F.col("root").alias("other_id")).distinct().join(links, ["row_id", "other_id"], "left_anti")
+        more = links.join(root, "other_id").select("row_id", F.col("root").alias("other_id")).distinct().join(tried, ["row_id", "other_id"], "left_anti")
+        more = materialize(more, "more")
+        if more.isEmpty():
+            break
+        tried = tried.unionByName(more)
+        links = materialize(links.unionByName(_links(more, first)), "links")
+    # every record meets every accepted one, until no record is newly accepted
+    ahead = materialize(prefixes(first), "prefixes").withColumn("asks", F.lit(True) if first_batch is None else F.col("batch_no") >= first_batch)
+    met = first.select("row_id").limit(0)
+    while True:
+        settled = materialize(_settle(links), "settled")
+        fresh = first.select("row_id").join(settled.select("row_id"), "row_id", "left_anti").join(met, "row_id", "left_anti")
+        fresh = materialize(fresh, "fresh")
+        if fresh.isEmpty():
+            break
+        met = met.unionByName(fresh)
+        flagged = ahead.join(fresh.withColumn("accepted", F.lit(True)), "row_id", "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))
+        more = flagged.groupBy("shard").applyInArrow(_meet, "row_id long, other_id long").distinct().join(tried, ["row_id", "other_id"], "left_anti")
         more = materialize(more, "more")
         if more.isEmpty():
             break
+        tried = tried.unionByName(more)
         links = materialize(links.unionByName(_links(more, first)), "links")
-    settled = _settle(links)
     order = first.select(F.col("row_id").alias("other_id"), "batch_no")
     best = settled.join(order, "other_id").groupBy("row_id").agg(F.min(F.struct((-F.col("share")).alias("share"), "batch_no", "other_id")).alias("b"))
     best = best.select("row_id", F.col("b.other_id").alias("accepted_id"), (-F.col("b.share")).alias("share"))

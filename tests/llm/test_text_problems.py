@@ -154,6 +154,30 @@ def test_edited_copies_of_one_long_text(spark, monkeypatch):
     assert {tuple(x) for x in history_dedup.found(spark.createDataFrame(rows, CONV)).collect()} == _brute(rows)
 
 
+def test_every_fifth_word_replaced(spark):
+    r = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(9))
+    source = [f"w{i}" for i in range(45)]
+    rows = [(i, 1, " ".join(f"v{r.randrange(300)}" for _ in range(45))) for i in range(20)] + [(100, 1, " ".join(source))]
+    rows += [(101 + k, 2, " ".join(f"x{k}-{i}".replace("-", "y") if i % 5 == k else w for i, w in enumerate(source))) for k in range(5)]
+    # many accepted rows begin with the same passage, the right one in the middle of them
+    rows += [(200 + i, 3, f"{passage} " + " ".join(f"u{i}a{k}" for k in range(36))) for i in range(12)]
+    rows += [(300 + i, 4, f"{passage} " + " ".join(f"z{k}" if k % 4 == 3 else f"u{i}a{k}" for k in range(36))) for i in range(12)]
+    got = {tuple(x) for x in history_dedup.found(spark.createDataFrame(rows, CONV)).collect()}
+    assert {(100, 101 + k) for k in range(5)} <= got
+    assert got == _brute(rows)
+
+
+def test_exact_search_alone(spark, monkeypatch):
+    monkeypatch.setattr(history_dedup, "COVERAGE", 1e9)
+    r = random.Random(12)
+    base = [_prose(r, n) for n in (5, 8, 45, 90, 330, 500, 1100) for _ in range(3)]
+    rows = [(i, 1, t) for i, t in enumerate(base)] + [(100 + i, 2 + i % 3, _edited(r, t, share)) for i, t in enumerate(base * 3) for share in (0.05 * (1 + i % 4),)]
+    expected = _brute(rows)
+    assert len(expected) > 40
+    assert {tuple(x) for x in history_dedup.found(spark.createDataFrame(rows, CONV)).collect()} == expected
+
+
 def test_history_of_nothing(spark):
     assert history_dedup.found(spark.createDataFrame([], CONV)).count() == 0
 
