@@ -65,7 +65,7 @@ def pdf_to_markdown(data: bytes) -> tuple[dict[str, str], str]:
         raise ValueError("skipped: pypdf is not installed") from e
     reader = pypdf.PdfReader(io.BytesIO(data))
     pages = [(p.extract_text() or "").strip() for p in reader.pages]
-    meta = {"source": "pdf", "page_count": str(len(pages)), "likely_scanned": str(sum(map(len, pages[:10])) < 20 * min(10, len(pages))).lower()}
+    meta = {"source": "pdf", "page_count": str(len(pages)), "likely_scanned": str(sum(map(len, pages)) < 20 * len(pages)).lower()}
     return meta, "\n\n".join(f"## Page {i}\n\n{t}" for i, t in enumerate(pages, 1)) + "\n"
 
 

@@ -130,3 +130,18 @@ def test_stream_takes_each_export_once(spark, tmp_path):
     take_in(stream, str(tmp_path / "ledger"), lambda df: seen.extend(r["export_key"] for r in df.collect()), str(tmp_path / "cp")).awaitTermination()
     assert sorted(seen) == ["e1", "e2", "e3"]
     assert windowed(spark.createDataFrame([], "ts timestamp, user_id long, event_type string, value double")).count() == 0
+
+
+def test_scanned_pdf_by_all_pages(monkeypatch):
+    import sys
+    from types import SimpleNamespace
+
+    from folioscope.sources import convert
+
+    def flag(texts):
+        pages = [SimpleNamespace(extract_text=lambda t=t: t) for t in texts]
+        monkeypatch.setitem(sys.modules, "pypdf", SimpleNamespace(PdfReader=lambda data: SimpleNamespace(pages=pages)))
+        return convert.pdf_to_markdown(b"")[0]["likely_scanned"]
+
+    assert flag([""] * 10 + ["x" * 500] * 5) == "false"
+    assert flag(["x" * 25] * 10 + [""] * 10) == "true"
