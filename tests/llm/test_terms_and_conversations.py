@@ -111,3 +111,13 @@ def test_interleaved_channel(spark):
     links = {r["msg_uuid"]: r["parent_uuid"] for r in conversations.reply_links(df).collect()}
     assert links["c"] == "a" and links["d"] == "b" and links["a"] is None and links["e"] is None
     assert {r["thread_uuid"] for r in conversations.threads(df).collect()} >= {"a", "e"}
+
+
+def test_parent_far_back_in_a_busy_channel(spark):
+    start = datetime(2024, 1, 1, 10)
+    rows = [(0, "p", None, "asked", None, "human", start, "Which kettle did Marigold recommend yesterday?")]
+    rows += [(i, "p", None, f"noise{i:02}", None, "human", start + timedelta(seconds=i), f"filler{chr(96 + i)} chatter{chr(96 + i)}") for i in range(1, 20)]
+    rows.append((30, "p", None, "reply", None, "assistant", start + timedelta(seconds=40), "The kettle Marigold did recommend yesterday"))
+    table = spark.createDataFrame(rows, "row_id long, project_uuid string, conv_uuid string, msg_uuid string, parent_uuid string, sender string, created_at timestamp, text string")
+    links = {r["msg_uuid"]: r["parent_uuid"] for r in conversations.reply_links(table).collect()}
+    assert links["reply"] == "asked"
