@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.boosting import Boosted
+from folioscope.runtime import materialize
 
 KINDS = ["email", "phone", "id_number", "address", "name"]
 #: Made-up labelled candidates for each kind that the models are fitted on.
@@ -269,7 +270,7 @@ def name_spans(text: str, usual: Usual, lex: Lexicon) -> list[Span]:
     for run in _RUN.finditer(text):
         tokens = [(t.start() + run.start(), t.end() + run.start(), t.group()) for t in _ONE.finditer(run.group())]
         line = text[text.rfind("\n", 0, run.start()) + 1 : run.start()]
-        led = [*_around(text, run.start(), run.end())[0][-1:], tokens[0][2].lower()]
+        led = [*_around(text, run.start(), run.end())[0][-1:], *(t[2].lower() for t in tokens)]
         for size in (2, 3, 4):
             for k in range(len(tokens) - size + 1):
                 part = tokens[k : k + size]
@@ -287,7 +288,7 @@ def name_spans(text: str, usual: Usual, lex: Lexicon) -> list[Span]:
                 out.append((start, end, [
                     float(size), float(titled), float(core[0] in lex.given), float(last in lex.given), float(any(w in lex.given for w in core)), float(initials), float(len(words[0]) == 1), float(len(last) == 1), float("," in text[start:end]),
                     float(text[start:end].isupper()), float(len(text[start:end].split()) - size), float(opening in ("", ".", "!", "?", "\n")), float(any(len(w) > 1 and (w in lex.function or w in lex.articles) for w in words)), float(sum(w in lex.bodies for w in words)), float(last in lex.bodies),
-                    float(prior in lex.articles), float(any(w in lex.articles for w in led)), float(prior in lex.places), float(bool(after) and after[0] in lex.acts), float(bool(after) and after[0] in lex.bodies), float(bool(after) and after[0][:1].isdigit()), float(prior[:1].isdigit()),
+                    float(prior in lex.articles), float(any(w in lex.articles for w in led[: k + 1])), float(prior in lex.places), float(bool(after) and after[0] in lex.acts), float(bool(after) and after[0] in lex.bodies), float(bool(after) and after[0][:1].isdigit()), float(prior[:1].isdigit()),
                     float(len(last)), float(len(core[0])), float(known[0]), float(known[-1]), float(max(known)), float(sum(x > 0 for x in known) / len(known)), float(len(tokens) - size), float(k), float("#" in line or "|" in line),
                     *_cues(lex.persons, before, lex.others),
                 ]))
@@ -337,7 +338,7 @@ def statistics(texts: DataFrame) -> Usual:
     Words below ``WORD_SHARE`` of all are left out, which bounds the table whatever the collection's size.
     """
     words = texts.select("texts").mapInArrow(_count, "word string, capital long, low long").groupBy("word").agg(F.sum("capital").alias("capital"), F.sum("low").alias("low"))
-    words = words.withColumn("n", F.col("capital") + F.col("low"))
+    words = materialize(words.withColumn("n", F.col("capital") + F.col("low")), "spellings")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     kept = words.filter(F.col("n") >= max(WORD_FROM, WORD_SHARE * total)).select("word", F.when(F.col("low") * 2 >= F.col("n"), 1).when(F.col("low") * 20 < F.col("n"), -1).otherwise(0).alias("usual"))
     return {r["word"]: r["usual"] for r in kept.collect()}
