@@ -6,7 +6,7 @@ lines handle the rest: a line and the next one (is the word between them cut?),
 of its file (is it a running header?), a line's number and the numbering of its file (is it the page number?).
 
 The models are fitted on bounded samples: words of the collection that are corrupted or cut by rule (``SAMPLE_WORDS``), and
-made-up books (``SAMPLE_BOOKS``). Counts, candidates and templates cover all pages.
+made-up books (``SAMPLE_BOOKS``). Counts, candidates and recurring lines cover all pages, and no list of a file is cut short.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ import random
 import re
 from collections import Counter
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 from functools import lru_cache
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +38,14 @@ BETTER = 3
 Q = 3
 #: Known words that must share each trigram of a word that is put right without a candidate.
 LEAST_USUAL = 8
-#: Recurring lines and numberings of a file that are compared with its lines, the best supported.
-TEMPLATES, NUMBERINGS = 6, 12
 #: A line and a recurring line are a pair from this likeness on; without one, a line is not judged as a header.
 PAIR_FROM = 0.6
-#: Non-blank lines at either edge of a page that may be header or page number.
-EDGE = 2
+#: Non-blank lines at either edge of a page that may be header or page number; where they are short, so are all short lines that follow.
+EDGE, SHORT = 2, 0.75
+#: Buckets of the counts by which grams are rare or usual: what the driver holds of them.
+GRAM_BUCKETS = 1 << 16
+#: A key of this share of all rows is hot; there are at most 1 / HOT_SHARE of them, whatever the collection's size.
+HOT_SHARE = 0.001
 
 # What recognition takes for what. (read, true)
 CONFUSIONS = [
@@ -138,16 +140,38 @@ def page_words(lines: list[str]) -> Iterator[tuple[int, str, bool, str]]:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n, low = Counter(), Counter()
+
+    def add(units: tuple[tuple[tuple[str, bool], ...], str], times: int) -> None:
+        for word, lower in units[0]:
+            n[word] += times
+            low[word] += lower * times
+        if units[1]:
+            n[units[1]] += times * len(units[0])
+
     for batch in batches:
-        n, low = Counter(), Counter()
+        # tokens are counted as they stand and split into words once each; those that depend on their line are looked at alone
+        tokens: Counter = Counter()
         for text in batch.column("text").to_pylist():
-            for _, word, lower, compound in page_words(page_lines(text)):
-                n[word] += 1
-                low[word] += lower
-                if compound:
-                    n[compound] += 1
-        words = list(n)
-        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([n[w] for w in words], pa.int64()), pa.array([low[w] for w in words], pa.int64())], names=["word", "n", "low"])
+            lines = page_lines(text)
+            tokens.update((text or "").split())
+            skip = -1
+            for i, line in enumerate(lines):
+                cut, dropped = _cut(line), {0} if skip == i else set()
+                own = line.split() if cut or dropped or "!" in line or "(" in line else ()
+                if cut:
+                    dropped.add(len(own) - 1)
+                    skip = _next_body(lines, i) or -1
+                for k in dropped:
+                    tokens[own[k]] -= 1
+                for k, token in enumerate(own):
+                    if token[0] in "!(" and k not in dropped:
+                        add(_units_of(token, line), 1)
+        for token, times in tokens.items():
+            if times > 0 and token[0] not in "!(":
+                add(_units(token), times)
+    words = list(n)
+    yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([n[w] for w in words], pa.int64()), pa.array([low[w] for w in words], pa.int64())], names=["word", "n", "low"])
 
 
 def vocabulary(pages: DataFrame) -> DataFrame:
@@ -255,11 +279,16 @@ def fit_words(sample: list[tuple[str, int, int]], likely: Likely) -> Boosted:
     return Boosted(trees=80).fit(np.array(rows), np.array(classes))
 
 
+def undone(word: str) -> list[str]:
+    """The word with one confusion undone, at every place where it may be."""
+    return sorted({word[:i] + true + word[i + len(read) :] for read, true in CONFUSIONS for i in range(len(word) - len(read) + 1) if word[i : i + len(read)] == read})
+
+
 def suspicious(word: str, n: int, low: int, likely: Likely, sure: float) -> bool:
     """Whether a word is looked up at all: seldom and, if it may be a name, with an unusual sequence of characters."""
     if not word.isalpha() or any(c.isupper() for c in word[1:]):
         return len(word) >= 3 and sum(c.isalpha() for c in word) >= 2
-    if n >= sure or len(word) < 4:
+    if n >= sure or len(word) < 3:
         return False
     return low * 2 >= n or likely.rarest(word) <= 3
 
@@ -294,9 +323,9 @@ def _reread(likely: Likely):
 def _suspects(likely: Likely, sure: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(w, n, low, sorted(set(grams(w)))) for w, n, low in zip(*(batch.column(c).to_pylist() for c in ("word", "n", "low"))) if "-" not in w and suspicious(w, n, low, likely, sure)]
-            columns = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string())))], names=["word", "n", "low", "grams"])
+            rows = [(w, n, low, sorted(set(grams(w))), undone(w)) for w, n, low in zip(*(batch.column(c).to_pylist() for c in ("word", "n", "low"))) if "-" not in w and suspicious(w, n, low, likely, sure)]
+            columns = list(zip(*rows)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string())))], names=["word", "n", "low", "grams", "undone"])
 
     return run
 
@@ -325,6 +354,13 @@ def _rank(model: Boosted, likely: Likely):
     return run
 
 
+def salted(asked: DataFrame, held: DataFrame, key: str, salts: int = 8) -> DataFrame:
+    """asked joined with held by a key that either side may hold often: each row of held meets asked in ``salts`` parts."""
+    left = asked.withColumn("_salt", F.pmod(F.xxhash64(*asked.columns), F.lit(salts)).cast("int"))
+    right = held.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+    return left.join(right, [key, "_salt"]).drop("_salt")
+
+
 def thresholds(words: DataFrame) -> tuple[float, float]:
     """Occurrences from which a word is known, and beyond doubt; both grow with the collection."""
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -341,13 +377,15 @@ def corrections(words: DataFrame) -> DataFrame:
     # by hash: the same words on every run and at every size
     sample = [tuple(r) for r in known.select("word", "n", "low").orderBy(F.xxhash64("word")).limit(SAMPLE_WORDS).collect()]
     model = fit_words(sample, likely)
-    suspects = words.mapInArrow(_suspects(likely, sure), "word string, n long, low long, grams array<string>")
-    suspects = materialize(suspects.withColumn("size", F.length("word")), "suspects")
+    suspects = materialize(words.mapInArrow(_suspects(likely, sure), "word string, n long, low long, grams array<string>, undone array<string>"), "suspects")
     targets = known.select("word", "n").mapInArrow(_known_grams, "true string, true_n long, grams array<string>")
-    inverted = targets.select("true", "true_n", F.length("true").alias("true_size"), F.explode("grams").alias("gram"))
-    asked = suspects.select("word", "n", "low", "size", F.size("grams").alias("of"), F.explode("grams").alias("gram"))
-    met = asked.join(inverted, "gram").filter((F.abs(F.col("size") - F.col("true_size")) <= 1) & (F.col("word") != F.col("true")) & (F.col("true_n") >= BETTER * F.col("n")))
-    shared = met.groupBy("word", "n", "low", "of", "true", "true_n").agg(F.count("*").alias("shared")).filter(F.col("shared") * 10 >= F.col("of") * 4)
+    inverted = targets.select("true", "true_n", F.length("true").alias("true_size"), F.size("grams").alias("true_of"), F.explode("grams").alias("gram"))
+    asked = suspects.select("word", "n", "low", F.length("word").alias("size"), F.size("grams").alias("of"), F.explode("grams").alias("gram"))
+    met = salted(asked, inverted, "gram").filter((F.abs(F.col("size") - F.col("true_size")) <= 1) & (F.col("word") != F.col("true")) & (F.col("true_n") >= BETTER * F.col("n")))
+    shared = met.groupBy("word", "n", "low", "of", "true", "true_n").agg(F.count("*").alias("shared")).filter(F.col("shared") * 10 >= F.col("of") * 4).select("word", "n", "low", "true", "true_n")
+    # what differs by one confusion is met whatever grams that leaves
+    near = suspects.select("word", "n", "low", F.explode("undone").alias("true")).join(targets.select("true", "true_n"), "true").filter((F.col("word") != F.col("true")) & (F.col("true_n") >= BETTER * F.col("n")))
+    shared = shared.unionByName(near).distinct()
     ranked = shared.repartition(slices(spark)).mapInArrow(_rank(model, likely), "word string, true string, chance double")
     ranked = ranked.unionByName(suspects.select("word").mapInArrow(_reread(likely), "word string, true string, chance double"))
     return ranked.groupBy("word").agg(F.max(F.struct("chance", "true")).alias("b")).select("word", F.col("b.true").alias("true"))
@@ -387,15 +425,29 @@ def fit_joins(words: list[tuple[str, int, int]]) -> Boosted:
 
 def _page_tokens(known: frozenset[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        strange: dict[str, tuple[str, ...]] = {}  # the unknown words of a token, mostly none
+
+        def unknown(token: str, line: str) -> tuple[str, ...]:
+            if token[0] in "!(":
+                return tuple(w for w, _ in _units_of(token, line)[0] if w not in known)
+            if token not in strange:
+                if len(strange) > 1 << 18:
+                    strange.clear()
+                strange[token] = tuple(w for w, _ in _units(token)[0] if w not in known)
+            return strange[token]
+
         for batch in batches:
             out: list[tuple] = []
             for page_id, text in zip(batch.column("page_id").to_pylist(), batch.column("text").to_pylist()):
                 lines = page_lines(text)
-                seen = set()
-                for i, word, _, _ in page_words(lines):
-                    if word not in known and (i, word) not in seen:
-                        seen.add((i, word))
-                        out.append(("word", page_id, i + 1, word, None, None))
+                skip = -1
+                for i, line in enumerate(lines):
+                    tokens, cut = line.split(), _cut(line)
+                    own = tokens[skip == i : len(tokens) - (cut is not None)]
+                    found = {w for token in own for w in unknown(token, line)}
+                    out += [("word", page_id, i + 1, w, None, None) for w in found]
+                    if cut:
+                        skip = _next_body(lines, i) or -1
                 for i, line in enumerate(lines):
                     if cut := _cut(line):
                         follow = _next_body(lines, i)
@@ -476,12 +528,28 @@ def canonical(head: str) -> str:
 
 
 def edges(lines: list[str]) -> list[tuple[int, int, bool]]:
-    """(index, place: 0, 1 from the top, -1, -2 from the bottom, whether a blank line or the edge separates it)."""
+    """(index, place: 0, 1 .. from the top, -1, -2 .. from the bottom, whether a blank line or the edge separates it).
+
+    The first ``EDGE`` non-blank lines of either edge, and those that follow on them while all are short.
+    """
     full = [i for i, line in enumerate(lines) if line.strip()]
+    sizes = [len(lines[i].rstrip()) for i in full]
+    width = sorted(sizes)[len(sizes) * 3 // 4] if sizes else 0
+    n = len(full)
+
+    def block(own: list[int]) -> int:
+        short = 0
+        while short < n and own[short] < SHORT * width:
+            short += 1
+        return max(min(EDGE, n), short)
+
+    top, bottom = block(sizes), block(sizes[::-1])
     out = []
-    for k, i in list(enumerate(full[:EDGE])) + [(k - len(full), full[k]) for k in range(max(EDGE, len(full) - EDGE), len(full))]:
-        gap = (i + 1 >= len(lines) or not lines[i + 1].strip()) if k >= 0 else (i == 0 or not lines[i - 1].strip())
-        out.append((i, k, gap))
+    for k, i in enumerate(full):
+        if k < top or k >= n - bottom:
+            place = k if k < top and (k < n - bottom or k <= n - 1 - k) else k - n
+            gap = (i + 1 >= len(lines) or not lines[i + 1].strip()) if place >= 0 else (i == 0 or not lines[i - 1].strip())
+            out.append((i, place, gap))
     return out
 
 
@@ -512,31 +580,45 @@ def _edge_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
-def header_features(head: str, shape: str, place: int, apart: bool, width: int, templates: list[tuple[str, int]], pages: int) -> list[float]:
-    """Of the pair (line, the recurring line of its file most like it)."""
-    best, support = 0.0, 0
-    for other, n in templates:
-        # as alike as the lines look; lengths and letters bound the likeness, and below PAIR_FROM there is no pair
-        least = max(best, PAIR_FROM)
-        if not shape or 2 * min(len(shape), len(other)) / (len(shape) + len(other)) < least:
-            continue
-        ratio = 1.0
-        if shape != other:
-            pair = SequenceMatcher(None, shape, other, autojunk=False)
-            ratio = pair.ratio() if pair.quick_ratio() >= least else 0.0
-        if ratio >= least and (ratio, n) > (best, support):
-            best, support = ratio, n
+def likeness(a: str, b: str) -> float:
+    """Characters two shapes have in common order, as a share of both."""
+    if a == b:
+        return 1.0
+    total = len(a) + len(b)
+    if 2 * min(len(a), len(b)) < PAIR_FROM * total:
+        return 0.0
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    state = full
+    for c in b:
+        if c in places:
+            hit = state & places[c]
+            state = ((state + hit) | (state - hit)) & full
+    return 2 * (len(a) - state.bit_count()) / total
+
+
+def shape_grams(shape: str) -> list[str]:
+    text = f"^{shape}$"
+    return sorted({text[i : i + Q] for i in range(len(text) - Q + 1)})
+
+
+def rarest_grams(shape: str, usual: np.ndarray) -> list[int]:
+    """The rarest grams of a shape, so many that two shapes a few edits apart share one: an edit changes ``Q`` of them at most."""
+    found = sorted({crc32(g.encode()) for g in shape_grams(shape)}, key=lambda g: (usual[g % GRAM_BUCKETS], g))
+    return found[: (len(shape) // 5 + 1) * Q + 1]
+
+
+def header_features(head: str, place: int, apart: bool, width: int, best: float, support: int, pages: int) -> list[float]:
+    """Of the pair (line, the recurring line of its file most like it); support counts the pages of all recurring lines like it."""
     words = head.split()
-    return [best, float(support), support / max(1, pages), float(place == 0), float(place == -1), float(apart), float(len(words)), len(head) / max(1, width), float(head[-1:] in ".,;:?!"), sum(w[:1].isupper() for w in words) / max(1, len(words)), float(head.isupper())]
+    return [best, float(support), support / max(1, pages), float(place == 0), float(place == -1), float(min(place if place >= 0 else -1 - place, 4)), float(apart), float(len(words)), len(head) / max(1, width), float(head[-1:] in ".,;:?!"), sum(w[:1].isupper() for w in words) / max(1, len(words)), float(head.isupper())]
 
 
-def number_features(number: int, plain: float, page_no: int, place: int, apart: bool, listed: bool, alone: bool, numberings: list[tuple[int, int]], pages: int) -> list[float]:
-    """Of the pair (number of a line, numbering of its file)."""
-    off = number - page_no
-    same = next((n for o, n in numberings if o == off), 0)
-    near = sum(n for o, n in numberings if abs(o - off) <= 2)
-    total = sum(n for _, n in numberings)
-    return [float(same), float(near), near / max(1, total), near / max(1, pages), plain, float(place in (0, -1)), float(place < 0), float(apart), float(listed), float(alone), float(number), min((abs(o - off) for o, n in numberings if n > 1), default=99)]
+def number_features(number: int, plain: float, place: int, apart: bool, listed: bool, alone: bool, same: int, near: int, total: int, pages: int) -> list[float]:
+    """Of the pair (number of a line, numbering of its file): pages of the same numbering, of those at most 2 off, of all."""
+    return [float(same), float(near), near / max(1, total), near / max(1, pages), plain, float(place in (0, -1)), float(place < 0), float(min(place if place >= 0 else -1 - place, 4)), float(apart), float(listed), float(alone), float(number)]
 
 
 def _made_book(r: random.Random) -> tuple[list[tuple[int, str]], dict[tuple[int, int], set[str]]]:
@@ -544,13 +626,15 @@ def _made_book(r: random.Random) -> tuple[list[tuple[int, str]], dict[tuple[int,
     word = lambda: "".join(r.choice("mor vel tar an ish dun gal ric os fen kar lin bar tho we qui".split()) for _ in range(r.randrange(1, 4)))
     title = lambda: r.choice([f"The {word()} {word()} of {word().capitalize()}", f"{word().capitalize()} {word().capitalize()}", f"Chapter {r.randrange(1, 20)}: {word()} {word()}"])
     upper = r.random() < 0.3
-    heads = [title(), title()] if r.random() < 0.5 else [title()] * 2
+    chapters = [[title(), title()] if r.random() < 0.5 else [title()] * 2 for _ in range(r.choice([1, 1, 1, 2, 3, 5]))]
+    above = title() if r.random() < 0.15 else ""  # a line that stands over the header on every page
     has_head, has_number = r.random() < 0.7, r.random() < 0.75
     style = r.choice(["{}", "[{}]", "- {} -", "— {} —", "Page {}", "p. {} of 99", "{} |", "roman"])
     together, bottom = r.random() < 0.3, r.random() < 0.6
-    first, pages, kinds = r.choice([0, 0, 1, 2, 10, 100, 120]), [], {}
+    first, pages, kinds, last = r.choice([0, 0, 1, 2, 10, 100, 120]), [], {}, r.randrange(4, 34)
     shift, closing = 0, word() if r.random() < 0.6 else ""
-    for page_no in range(1, r.randrange(4, 30)):
+    for page_no in range(1, last):
+        heads = chapters[page_no * len(chapters) // last]
         shift += r.random() < 0.05
         width = r.randrange(50, 75)
         body = []
@@ -564,7 +648,7 @@ def _made_book(r: random.Random) -> tuple[list[tuple[int, str]], dict[tuple[int,
             body += ["", *rows] if r.random() < 0.5 else [""]
             body = body if r.random() < 0.5 else [*rows, "", *body]
         if closing and r.random() < 0.3:
-            body.append(r.choice([f"table {closing.upper()}{r.randrange(1, 30)}.", f"{closing} patience.", f"on {closing} {r.randrange(1, 30)}."]))
+            body.append(r.choice([f"{closing} {word()[:1].upper()}{r.randrange(1, 30)}.", f"{closing} {word()}.", f"{closing} {r.randrange(1, 30)}."]))
         if r.random() < 0.2:
             body = [title(), "", *body]
         n = first + page_no + shift
@@ -584,6 +668,8 @@ def _made_book(r: random.Random) -> tuple[list[tuple[int, str]], dict[tuple[int,
             top = [(head, {"header"})] if head else []
             if number:
                 (foot if bottom else top).append((number, {"page_number"}))
+        if above and top:
+            top.insert(0, (above, {"header"}))
         gap = [""] * r.randrange(0, 2)
         lines = [t for t, _ in top] + gap + body + gap + [t for t, _ in foot]
         for k, (_, kind) in enumerate(top):
@@ -601,10 +687,6 @@ def _roman(n: int) -> str:
     return out
 
 
-def _top(counts: Counter, n: int) -> list[tuple]:
-    return sorted(((k, c) for k, c in counts.items() if c > 1), key=lambda x: (-x[1], x[0]))[:n]
-
-
 @lru_cache(maxsize=1)
 def line_models() -> tuple[Boosted, Boosted]:
     """(header, page number), fitted on made-up books."""
@@ -614,36 +696,36 @@ def line_models() -> tuple[Boosted, Boosted]:
     for _ in range(SAMPLE_BOOKS):
         pages, kinds = _made_book(r)
         found = [row for page_no, text in pages for row in _edge_rows(0, page_no, page_no, text)]
-        shapes = Counter(row[8] for row in found if len(row[8]) >= 4 and row[4] in (0, -1))
-        offs = Counter(row[9] - row[2] for row in found if row[9] is not None and row[4] in (0, -1))
+        shapes = Counter(shape for _, shape in {(row[2], row[8]) for row in found if len(row[8]) >= 4})
+        offs = Counter(off for _, off in {(row[2], row[9] - row[2]) for row in found if row[9] is not None})
+        recurring, numberings = [(s, n) for s, n in shapes.items() if n > 1], {o: n for o, n in offs.items() if n > 1}
         for _, page_no, _, line_no, place, apart, _, head, shape, number, plain, listed, width in found:
             kind = kinds.get((page_no, line_no - 1), set())
-            pair = header_features(head, shape, place, apart, width, _top(shapes, TEMPLATES), len(pages)) if head else [0.0]
-            if pair[0] >= PAIR_FROM:
-                rows[0].append(pair)
+            alike = [(x, n) for s, n in recurring if (x := likeness(shape, s)) >= PAIR_FROM] if head and len(shape) >= 4 else []
+            if alike:
+                rows[0].append(header_features(head, place, apart, width, max(x for x, _ in alike), sum(n for _, n in alike), len(pages)))
                 classes[0].append(float("header" in kind))
             if number is not None:
-                rows[1].append(number_features(number, plain, page_no, place, apart, listed, not head, _top(offs, NUMBERINGS), len(pages)))
+                off = number - page_no
+                near = sum(numberings.get(off + k, 0) for k in range(-2, 3))
+                rows[1].append(number_features(number, plain, place, apart, listed, not head, numberings.get(off, 0), near, sum(numberings.values()), len(pages)))
                 classes[1].append(float("page_number" in kind))
     return Boosted().fit(np.array(rows[0]), np.array(classes[0])), Boosted().fit(np.array(rows[1]), np.array(classes[1]))
 
 
 def _judge_edges(models: tuple[Boosted, Boosted]):
+    names = ["page_id", "line_no", "place", "apart", "width", "head", "number", "plain", "listed", "pages", "best", "support", "same", "near", "total"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             which, rows = ([], []), ([], [])
-            for row in batch.to_pylist():
-                pages = row["pages"] or 1
-                if row["head"]:
-                    templates = [(t["shape"], t["n"]) for t in row["templates"] or ()]
-                    pair = header_features(row["head"], row["shape"], row["place"], row["apart"], row["width"], templates, pages)
-                    if pair[0] >= PAIR_FROM:
-                        which[0].append((row["page_id"], row["line_no"], "header"))
-                        rows[0].append(pair)
-                if row["number"] is not None and row["page_no"] is not None:
-                    numberings = [(t["off"], t["n"]) for t in row["numberings"] or ()]
-                    which[1].append((row["page_id"], row["line_no"], "page_number"))
-                    rows[1].append(number_features(row["number"], row["plain"], row["page_no"], row["place"], row["apart"], row["listed"], not row["head"], numberings, pages))
+            for page_id, line_no, place, apart, width, head, number, plain, listed, pages, best, support, same, near, total in zip(*(batch.column(c).to_pylist() for c in names)):
+                if head and best is not None:
+                    which[0].append((page_id, line_no, "header"))
+                    rows[0].append(header_features(head, place, apart, width, best, support, pages or 1))
+                if number is not None:
+                    which[1].append((page_id, line_no, "page_number"))
+                    rows[1].append(number_features(number, plain, place, apart, listed, not head, same or 0, near or 0, total or 0, pages or 1))
             hits = [w for k in (0, 1) if rows[k] for w, hit in zip(which[k], models[k].holds(np.array(rows[k]))) if hit]
             columns = list(zip(*hits)) or [()] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.string()))], names=["page_id", "line_no", "noise_kind"])
@@ -651,28 +733,86 @@ def _judge_edges(models: tuple[Boosted, Boosted]):
     return run
 
 
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(GRAM_BUCKETS, np.int64)
+    for batch in batches:
+        for shape in batch.column("shape").to_pylist():
+            for g in shape_grams(shape):
+                counts[crc32(g.encode()) % GRAM_BUCKETS] += 1
+    at = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], names=["bucket", "n"])
+
+
+def _key_grams(usual: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([rarest_grams(s, usual) for s in batch.column("shape").to_pylist()], pa.list_(pa.int64()))], names=["pdf_id", "shape", "n", "grams"])
+
+    return run
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [likeness(a, b) for a, b in zip(batch.column("shape").to_pylist(), batch.column("other").to_pylist())]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=["pdf_id", "shape", "other", "m", "alike"])
+
+
+def recurring_lines(shapes: DataFrame) -> DataFrame:
+    """(pdf_id, shape, best, support) of the shapes that are like a recurring one of their file. shapes: (pdf_id, shape, n).
+
+    Every distinct shape meets the recurring ones of its file that share one of its rarest grams; likeness decides. A shape that
+    itself recurs is like itself.
+    """
+    spark = shapes.sparkSession
+    counted = shapes.select("shape").mapInArrow(_count_grams, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # GRAM_BUCKETS rows at most
+    usual = np.zeros(GRAM_BUCKETS, np.int64)
+    usual[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
+    keyed = materialize(shapes.repartition(slices(spark)).mapInArrow(_key_grams(usual), "pdf_id long, shape string, n long, grams array<long>"), "shapes")
+    asked = keyed.select("pdf_id", "shape", F.explode("grams").alias("gram"))
+    held = keyed.filter("n > 1").select("pdf_id", F.col("shape").alias("other"), F.col("n").alias("m"), F.explode("grams").alias("gram"))
+    size = F.abs(F.length("shape") - F.length("other")) <= F.greatest(F.length("shape"), F.length("other")) / 5 + 1
+    met = asked.join(held, ["pdf_id", "gram"]).filter((F.col("shape") != F.col("other")) & size).select("pdf_id", "shape", "other", "m").distinct()
+    alike = met.mapInArrow(_alike, "pdf_id long, shape string, other string, m long, alike double").filter(F.col("alike") >= PAIR_FROM).select("pdf_id", "shape", "alike", "m")
+    own = keyed.filter("n > 1").select("pdf_id", "shape", F.lit(1.0).alias("alike"), F.col("n").alias("m"))
+    return alike.unionByName(own).groupBy("pdf_id", "shape").agg(F.max("alike").alias("best"), F.sum("m").alias("support"))
+
+
+def with_lookup(rows: DataFrame, lookup: DataFrame, keys: list[str], weights: DataFrame, total: int) -> DataFrame:
+    """rows with the columns of lookup, which has each key once. weights: (keys, rows) tells how many rows a key has.
+
+    Keys of at least ``HOT_SHARE`` of all rows, of which there is a bounded number, are sent to their rows; the others meet by shuffle.
+    """
+    more = [c for c in lookup.columns if c not in keys]
+    least = max(2, int(total * HOT_SHARE))
+    hot = lookup.join(weights.filter(F.col("rows") >= least).select(*keys), keys, "left_semi").withColumn("_hot", F.lit(True))
+    first = rows.join(F.broadcast(hot), keys, "left")
+    rest = first.filter(F.col("_hot").isNull()).drop(*more, "_hot").join(lookup, keys, "left")
+    return first.filter(F.col("_hot").isNotNull()).drop("_hot").select(*rest.columns).unionByName(rest)
+
+
 def furniture(pages: DataFrame) -> DataFrame:
     """(page_id, line_no, noise_kind): running headers and page numbers.
 
-    Recurring lines and numberings are counted by file before they meet its lines, and only the best
-    supported are kept, so a file of any length gives a bounded row.
+    Recurring lines and numberings are counted by file and joined to the lines they belong to, all of them; a file of any length
+    and any number of headers gives rows of fixed size.
     """
-    found = materialize(pages.select("pdf_id", "page_id", "page_no", "text").mapInArrow(_edge_pass, EDGES), "edges")
-    outer = found.filter(F.col("place").isin(0, -1))
-    shapes = outer.filter(F.length("shape") >= 4).groupBy("pdf_id", "shape").agg(F.countDistinct("page_no").alias("n")).filter("n > 1")
-    offs = outer.filter("number is not null").groupBy("pdf_id", (F.col("number") - F.col("page_no")).alias("off")).agg(F.countDistinct("page_no").alias("n")).filter("n > 1")
-    best = lambda table, key, size: table.groupBy("pdf_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("rank"), key, "n"))), 1, size).alias("x"))
-    templates = best(_ranked(shapes, TEMPLATES), "shape", TEMPLATES).withColumnRenamed("x", "templates")
-    numberings = best(_ranked(offs, NUMBERINGS), "off", NUMBERINGS).withColumnRenamed("x", "numberings")
-    size = pages.groupBy("pdf_id").agg(F.countDistinct("page_no").cast("int").alias("pages"))
-    files = size.join(templates, "pdf_id", "left").join(numberings, "pdf_id", "left")
-    return found.join(files, "pdf_id", "left").mapInArrow(_judge_edges(line_models()), "page_id long, line_no int, noise_kind string")
-
-
-def _ranked(table: DataFrame, size: int) -> DataFrame:
-    from pyspark.sql import Window
-
-    return table.withColumn("rn", F.row_number().over(Window.partitionBy("pdf_id").orderBy(F.desc("n"), table.columns[1]))).filter(F.col("rn") <= size).drop("rn")
+    # rows without a file belong to a file of their own
+    found = materialize(pages.select("pdf_id", "page_id", "page_no", "text").mapInArrow(_edge_pass, EDGES).withColumn("pdf_id", F.coalesce("pdf_id", F.lit(-1))), "edges")
+    found = found.withColumn("off", F.col("number") - F.col("page_no"))
+    n_rows = found.count()
+    shapes = found.filter(F.length("shape") >= 4).groupBy("pdf_id", "shape").agg(F.countDistinct("page_no").alias("n"), F.count("*").alias("rows"))
+    shapes = materialize(shapes, "line-shapes")
+    offs = materialize(found.filter("off is not null").groupBy("pdf_id", "off").agg(F.countDistinct("page_no").alias("n"), F.count("*").alias("rows")), "numberings")
+    kept = offs.filter("n > 1")
+    near = kept.select("pdf_id", F.explode(F.array(*[F.col("off") + k for k in range(-2, 3)])).alias("off"), "n").groupBy("pdf_id", "off").agg(F.sum("n").alias("near"))
+    numberings = near.join(kept.select("pdf_id", "off", F.col("n").alias("same")), ["pdf_id", "off"], "left")
+    sizes = found.groupBy("pdf_id").agg(F.countDistinct("page_no").cast("int").alias("pages"), F.count("*").alias("rows"))
+    files = materialize(sizes.join(kept.groupBy("pdf_id").agg(F.sum("n").alias("total")), "pdf_id", "left"), "files")
+    lines = with_lookup(found, recurring_lines(shapes.select("pdf_id", "shape", "n")), ["pdf_id", "shape"], shapes, n_rows)
+    lines = lines.filter("best is not null or number is not null")
+    lines = with_lookup(lines, numberings, ["pdf_id", "off"], offs, n_rows)
+    lines = with_lookup(lines, files.select("pdf_id", "pages", "total"), ["pdf_id"], files, n_rows)
+    return lines.mapInArrow(_judge_edges(line_models()), "page_id long, line_no int, noise_kind string")
 
 
 # --- the operator --------------------------------------------------------------------------------

@@ -66,6 +66,28 @@ def test_noise_of_a_book(spark):
     assert "orchard" in fixed[6] and "0rchard" not in fixed[6] and fixed[100] == ""
 
 
+def test_a_header_for_each_chapter(spark):
+    """No number of headers is too many for a file, and a header may stand under other lines."""
+    r = random.Random(4)
+    names = ["Distant Candle", "Narrow Orchard", "Silver Parcel", "Gentle Kitchen", "Upper Tavern", "Bright Island", "Yellow Folder", "Quiet Window", "Amber Journal", "Village Editor", "Market River", "Lantern Harbour"]
+    pages, want = [], set()
+    for c, name in enumerate(names):
+        for k in range(6):
+            n = c * 6 + k + 1
+            top = ["Collected Letters", "of the county", name] if c % 2 else [name]
+            top = [x for x in top if k or x != name]  # a chapter's first page has none
+            want |= {(n, top.index(name) + 1)} if k else set()
+            body = [" ".join(r.choice(WORDS) for _ in range(9)) + r.choice(["", ".", ","]) for _ in range(14)]
+            pages.append((n, 1, n, "\n".join([*top, "", *body, "", str(n + 2)])))
+    got = {(r["page_id"], r["line_no"]) for r in scan_noise.found(spark.createDataFrame(pages, "page_id long, pdf_id long, page_no int, text string")).filter("noise_kind = 'header'").collect()}
+    assert len(want) == 60 and want <= got, sorted(want - got)
+
+
+def test_words_that_grams_alone_do_not_meet():
+    for read, true in {"tvvice": "twice", "clraft": "draft", "inclex": "index", "giiarded": "guarded", "spht": "split", "thc": "the", "srnith": "smith"}.items():
+        assert true in scan_noise.undone(read), read
+
+
 def test_no_pages(spark):
     assert scan_noise.found(spark.createDataFrame([], "page_id long, pdf_id long, page_no int, text string")).count() == 0
 
