@@ -28,7 +28,7 @@ from folioscope.llm.boosting import Boosted
 from folioscope.runtime import materialize, slices
 
 #: Known words sampled to fit the word and join models, and books made up for the line models.
-SAMPLE_WORDS, SAMPLE_BOOKS = 4_000, 120
+SAMPLE_WORDS, SAMPLE_BOOKS = 2_500, 120
 #: Words sent to executors so that they need no look-up: the most frequent ones.
 KNOWN_WORDS = 5_000
 #: A word is known from this share of all words on, and from ``KNOWN_FROM`` occurrences; it is beyond doubt from ``SURE_SHARE`` on.
@@ -713,22 +713,12 @@ def line_models() -> tuple[Boosted, Boosted]:
     return Boosted().fit(np.array(rows[0]), np.array(classes[0])), Boosted().fit(np.array(rows[1]), np.array(classes[1]))
 
 
-def _judge_edges(models: tuple[Boosted, Boosted]):
-    names = ["page_id", "line_no", "place", "apart", "width", "head", "number", "plain", "listed", "pages", "best", "support", "same", "near", "total"]
-
+def _judge(model: Boosted, kind: str, names: list[str], features):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            which, rows = ([], []), ([], [])
-            for page_id, line_no, place, apart, width, head, number, plain, listed, pages, best, support, same, near, total in zip(*(batch.column(c).to_pylist() for c in names)):
-                if head and best is not None:
-                    which[0].append((page_id, line_no, "header"))
-                    rows[0].append(header_features(head, place, apart, width, best, support, pages or 1))
-                if number is not None:
-                    which[1].append((page_id, line_no, "page_number"))
-                    rows[1].append(number_features(number, plain, place, apart, listed, not head, same or 0, near or 0, total or 0, pages or 1))
-            hits = [w for k in (0, 1) if rows[k] for w, hit in zip(which[k], models[k].holds(np.array(rows[k]))) if hit]
-            columns = list(zip(*hits)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.string()))], names=["page_id", "line_no", "noise_kind"])
+            rows = [features(*x) for x in zip(*(batch.column(c).to_pylist() for c in names))]
+            hit = pa.array(np.flatnonzero(model.holds(np.array(rows))) if rows else [], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("page_id").take(hit), batch.column("line_no").take(hit), pa.array([kind] * len(hit), pa.string())], names=["page_id", "line_no", "noise_kind"])
 
     return run
 
@@ -777,17 +767,14 @@ def recurring_lines(shapes: DataFrame) -> DataFrame:
     return alike.unionByName(own).groupBy("pdf_id", "shape").agg(F.max("alike").alias("best"), F.sum("m").alias("support"))
 
 
-def with_lookup(rows: DataFrame, lookup: DataFrame, keys: list[str], weights: DataFrame, total: int) -> DataFrame:
-    """rows with the columns of lookup, which has each key once. weights: (keys, rows) tells how many rows a key has.
+def with_lookup(rows: DataFrame, lookup: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """rows joined with lookup, which has each key once and tells by ``rows`` how many rows have it.
 
     Keys of at least ``HOT_SHARE`` of all rows, of which there is a bounded number, are sent to their rows; the others meet by shuffle.
     """
-    more = [c for c in lookup.columns if c not in keys]
     least = max(2, int(total * HOT_SHARE))
-    hot = lookup.join(weights.filter(F.col("rows") >= least).select(*keys), keys, "left_semi").withColumn("_hot", F.lit(True))
-    first = rows.join(F.broadcast(hot), keys, "left")
-    rest = first.filter(F.col("_hot").isNull()).drop(*more, "_hot").join(lookup, keys, "left")
-    return first.filter(F.col("_hot").isNotNull()).drop("_hot").select(*rest.columns).unionByName(rest)
+    hot, cold = lookup.filter(F.col("rows") >= least).drop("rows"), lookup.filter(F.col("rows") < least).drop("rows")
+    return rows.join(F.broadcast(hot), keys).unionByName(rows.join(cold, keys))
 
 
 def furniture(pages: DataFrame) -> DataFrame:
@@ -797,22 +784,24 @@ def furniture(pages: DataFrame) -> DataFrame:
     and any number of headers gives rows of fixed size.
     """
     # rows without a file belong to a file of their own
-    found = materialize(pages.select("pdf_id", "page_id", "page_no", "text").mapInArrow(_edge_pass, EDGES).withColumn("pdf_id", F.coalesce("pdf_id", F.lit(-1))), "edges")
-    found = found.withColumn("off", F.col("number") - F.col("page_no"))
-    n_rows = found.count()
-    shapes = found.filter(F.length("shape") >= 4).groupBy("pdf_id", "shape").agg(F.countDistinct("page_no").alias("n"), F.count("*").alias("rows"))
-    shapes = materialize(shapes, "line-shapes")
+    found = materialize(pages.select("pdf_id", "page_id", "page_no", "text").mapInArrow(_edge_pass, EDGES).withColumn("pdf_id", F.coalesce("pdf_id", F.lit(-1))).withColumn("off", F.col("number") - F.col("page_no")), "edges")
+    total = found.count()
+    sizes = found.groupBy("pdf_id").agg(F.countDistinct("page_no").alias("pages"), F.count("*").alias("rows"))
+    shapes = materialize(found.filter(F.length("shape") >= 4).groupBy("pdf_id", "shape").agg(F.countDistinct("page_no").alias("n"), F.count("*").alias("rows")), "line-shapes")
     offs = materialize(found.filter("off is not null").groupBy("pdf_id", "off").agg(F.countDistinct("page_no").alias("n"), F.count("*").alias("rows")), "numberings")
     kept = offs.filter("n > 1")
-    near = kept.select("pdf_id", F.explode(F.array(*[F.col("off") + k for k in range(-2, 3)])).alias("off"), "n").groupBy("pdf_id", "off").agg(F.sum("n").alias("near"))
-    numberings = near.join(kept.select("pdf_id", "off", F.col("n").alias("same")), ["pdf_id", "off"], "left")
-    sizes = found.groupBy("pdf_id").agg(F.countDistinct("page_no").cast("int").alias("pages"), F.count("*").alias("rows"))
-    files = materialize(sizes.join(kept.groupBy("pdf_id").agg(F.sum("n").alias("total")), "pdf_id", "left"), "files")
-    lines = with_lookup(found, recurring_lines(shapes.select("pdf_id", "shape", "n")), ["pdf_id", "shape"], shapes, n_rows)
-    lines = lines.filter("best is not null or number is not null")
-    lines = with_lookup(lines, numberings, ["pdf_id", "off"], offs, n_rows)
-    lines = with_lookup(lines, files.select("pdf_id", "pages", "total"), ["pdf_id"], files, n_rows)
-    return lines.mapInArrow(_judge_edges(line_models()), "page_id long, line_no int, noise_kind string")
+    files = materialize(sizes.join(kept.groupBy("pdf_id").agg(F.sum("n").alias("total")), "pdf_id", "left").na.fill(0, ["total"]), "files")
+    alike = materialize(recurring_lines(shapes.select("pdf_id", "shape", "n")), "recurring")
+    headed = materialize(with_lookup(alike.join(shapes.select("pdf_id", "shape", F.col("rows").alias("held")), ["pdf_id", "shape"]), files, ["pdf_id"], total).withColumnRenamed("held", "rows"), "headed")
+    around = kept.select("pdf_id", F.explode(F.array(*[F.col("off") + k for k in range(-2, 3)])).alias("off"), "n").groupBy("pdf_id", "off").agg(F.sum("n").alias("near"))
+    numbered = offs.select("pdf_id", "off", F.when(F.col("n") > 1, F.col("n")).otherwise(0).alias("same"), F.col("rows").alias("held")).join(around, ["pdf_id", "off"], "left").na.fill(0, ["near"])
+    numbered = materialize(with_lookup(numbered, files, ["pdf_id"], total).withColumnRenamed("held", "rows"), "numbered")
+    models, schema = line_models(), "page_id long, line_no int, noise_kind string"
+    heads = with_lookup(found.filter("head <> ''").select("pdf_id", "shape", "page_id", "line_no", "head", "place", "apart", "width"), headed, ["pdf_id", "shape"], total)
+    numbers = with_lookup(found.filter("off is not null").select("pdf_id", "off", "page_id", "line_no", "number", "plain", "place", "apart", "listed", (F.col("head") == "").alias("alone")), numbered, ["pdf_id", "off"], total)
+    return heads.mapInArrow(_judge(models[0], "header", ["head", "place", "apart", "width", "best", "support", "pages"], header_features), schema).unionByName(
+        numbers.mapInArrow(_judge(models[1], "page_number", ["number", "plain", "place", "apart", "listed", "alone", "same", "near", "total", "pages"], number_features), schema)
+    )
 
 
 # --- the operator --------------------------------------------------------------------------------
