@@ -13,22 +13,25 @@ Suffixes are spread over tasks by their first five words (by more of them where
 meets one shard only. Every word of a short record starts a suffix; of a long one, those whose hash
 says so, the same in both texts. Exact copies are found by digest first and never become pairs.
 
-The suffixes of accepted records are a table of their own (``suffixes``): a later run reads it as the history and looks
-up its new batches only, see ``first_batch``.
+``History`` keeps what was accepted on storage: segments that are never changed once written, one for each intake, merged
+logarithmically. A new batch is checked against them without reading the texts of history again: it reads the shards its own
+rarest pairs fall into, and the texts of the records it may repeat.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import re
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.runtime import materialize, slices
@@ -39,8 +42,8 @@ SHARE = 0.8
 LEAST_WORDS, LEVELS = 5, 5
 #: Share of a record's suffixes that must match another record before the pair is verified.
 COVERAGE = 0.08
-#: One in so many words starts a suffix, by the words of the record: (below, one in).
-SAMPLING = ((128, 1), (1024, 4), (1 << 62, 16))
+#: One in so many words starts a suffix, by the words of the record: (below, one in). What this misses the exact search finds.
+SAMPLING = ((32, 1), (256, 4), (1 << 62, 16))
 #: Suffixes of one shard, and the neighbours looked at on either side.
 SHARD, NEIGHBOURS = 200_000, 2
 #: A match of this share of all suffixes is hot; there are at most 1 / HOT of them at a level.
@@ -54,9 +57,11 @@ TEXTS = "row_id long, batch_no long, n int, digest string, words string"
 SUFFIXES = "key binary, row_id long, batch_no long, n int, starts int"
 PAIRS = "row_id long, other_id long, starts int, hits long"
 #: Buckets of the counts by which pairs of words are rare or usual, bits of a record's signature, and those from so many words on.
-BUCKETS, BITS, WIDE_BITS, WIDE_FROM = 1 << 20, 512, 8192, 300
-#: Pairs of records compared at once within a shard.
-AT_ONCE = 2_000_000
+BUCKETS, BITS, WIDE_BITS, WIDE_FROM = 1 << 20, 512, 2048, 300
+#: Pairs of records compared at once within a shard, and pairs of words of one shard.
+AT_ONCE, PREFIX_SHARD = 1_000_000, 2_000_000
+#: Shards of a history on storage.
+STORED_SHARDS = 64
 
 PREFIXES = "shard int, row_id long, batch_no long, n int, marks binary, wide binary, keys binary, places binary"
 
@@ -163,33 +168,30 @@ def _first_words(keys: np.ndarray) -> np.ndarray:
     return keys.view(np.uint8).reshape(len(keys), WIDTH)[:, :8].copy().view(np.uint64).ravel()
 
 
-def _shard(first_batch: int | None):
-    def run(table: pa.Table) -> pa.Table:
-        raw = np.frombuffer(b"".join(table["key"].to_pylist()), np.uint8)
-        keys = raw.reshape(-1, WIDTH).copy().view(f"S{WIDTH}").ravel()
-        ids, numbers, sizes, starts = (table[c].to_numpy() for c in ("row_id", "batch_no", "n", "starts"))
-        order = np.lexsort((ids, numbers))
-        segments, pairs = Segments(), []
-        bounds = np.flatnonzero(np.diff(numbers[order])) + 1
-        for own in np.split(order, bounds):
-            asked = keys[own]
-            if first_batch is None or numbers[own[0]] >= first_batch:
-                pairs += [(own[which], place) for which, place in segments.near(asked)]
-                alone = Segments()
-                alone.add(asked, own)
-                pairs += [(own[which], place) for which, place in alone.near(asked)]
-            segments.add(asked, own)
-        a = np.concatenate([p[0] for p in pairs]) if pairs else np.zeros(0, np.int64)
-        b = np.concatenate([p[1] for p in pairs]) if pairs else np.zeros(0, np.int64)
-        later = (numbers[a] > numbers[b]) | ((numbers[a] == numbers[b]) & (ids[a] > ids[b]))
-        alike = np.minimum(sizes[a], sizes[b]) >= SHARE * np.maximum(sizes[a], sizes[b])
-        a, b = a[later & alike], b[later & alike]
-        # a suffix counts once for a record
-        once = np.unique(np.stack((a, ids[b])), axis=1) if len(a) else np.zeros((2, 0), np.int64)
-        pair, hits = np.unique(np.stack((ids[once[0]], once[1], starts[once[0]])), axis=1, return_counts=True)
-        return pa.table([pa.array(pair[0], pa.int64()), pa.array(pair[1], pa.int64()), pa.array(pair[2].astype(np.int32)), pa.array(hits.astype(np.int64))], names=["row_id", "other_id", "starts", "hits"])
-
-    return run
+def _shard(table: pa.Table) -> pa.Table:
+    """Pairs of records of one shard whose suffixes are neighbours, batch by batch."""
+    raw = np.frombuffer(b"".join(table["key"].to_pylist()), np.uint8)
+    keys = raw.reshape(-1, WIDTH).copy().view(f"S{WIDTH}").ravel()
+    ids, numbers, sizes, starts = (table[c].to_numpy() for c in ("row_id", "batch_no", "n", "starts"))
+    order = np.lexsort((ids, numbers))
+    segments, pairs = Segments(), []
+    bounds = np.flatnonzero(np.diff(numbers[order])) + 1
+    for own in np.split(order, bounds):
+        asked = keys[own]
+        pairs += [(own[which], place) for which, place in segments.near(asked)]
+        alone = Segments()
+        alone.add(asked, own)
+        pairs += [(own[which], place) for which, place in alone.near(asked)]
+        segments.add(asked, own)
+    a = np.concatenate([p[0] for p in pairs]) if pairs else np.zeros(0, np.int64)
+    b = np.concatenate([p[1] for p in pairs]) if pairs else np.zeros(0, np.int64)
+    later = (numbers[a] > numbers[b]) | ((numbers[a] == numbers[b]) & (ids[a] > ids[b]))
+    alike = np.minimum(sizes[a], sizes[b]) >= SHARE * np.maximum(sizes[a], sizes[b])
+    a, b = a[later & alike], b[later & alike]
+    # a suffix counts once for a record
+    once = np.unique(np.stack((a, ids[b])), axis=1) if len(a) else np.zeros((2, 0), np.int64)
+    pair, hits = np.unique(np.stack((ids[once[0]], once[1], starts[once[0]])), axis=1, return_counts=True)
+    return pa.table([pa.array(pair[0], pa.int64()), pa.array(pair[1], pa.int64()), pa.array(pair[2].astype(np.int32)), pa.array(hits.astype(np.int64))], names=["row_id", "other_id", "starts", "hits"])
 
 
 def common_words(a: list[str], b: list[str]) -> int:
@@ -224,10 +226,10 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.float64()))], names=["row_id", "other_id", "share"])
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(row_id, other_id, share) of the pairs that hold, whole texts compared."""
+def _links(pairs: DataFrame, texts: DataFrame, others: DataFrame | None = None) -> DataFrame:
+    """(row_id, other_id, share) of the pairs that hold, whole texts compared. others: where the other record's text is."""
     own = texts.select("row_id", "words")
-    other = texts.select(F.col("row_id").alias("other_id"), F.col("words").alias("other_words"))
+    other = (texts if others is None else others).select(F.col("row_id").alias("other_id"), F.col("words").alias("other_words"))
     both = pairs.select("row_id", "other_id").join(own, "row_id").join(other, "other_id")
     return both.repartition(slices(pairs.sparkSession)).mapInArrow(_verify, "row_id long, other_id long, share double")
 
@@ -295,7 +297,7 @@ def _prefix(usual: np.ndarray, shards: int):
                 shard = (both[own] >> np.uint64(20)) % np.uint64(shards)
                 for k in np.unique(shard):
                     at = own[shard == k]
-                    rows.append((int(k), row_id, batch_no, n, marks, wide, both[at].tobytes(), at.astype(np.int32).tobytes()))
+                    rows.append((int(k), row_id, batch_no, n, marks, wide, (both[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), at.astype(np.int32).tobytes()))
             columns = list(zip(*rows)) or [()] * 8
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["shard", "row_id", "batch_no", "n", "marks", "wide", "keys", "places"])
@@ -303,58 +305,74 @@ def _prefix(usual: np.ndarray, shards: int):
     return run
 
 
-def prefixes(texts: DataFrame) -> DataFrame:
-    """The rarest pairs of adjacent words of each text (row_id, batch_no, n, words), by shard.
-
-    Any order of the pairs gives exact results if it is the same for all texts; rare ones first gives few meetings. Counts
-    are kept in ``BUCKETS`` sums, which bounds what the driver holds.
-    """
+def usual_pairs(texts: DataFrame) -> np.ndarray:
+    """How often the pairs of adjacent words occur, in ``BUCKETS`` sums, which bounds what the driver holds."""
     counted = texts.select("words").mapInArrow(_count_pairs, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     usual = np.zeros(BUCKETS, np.int64)
     usual[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
-    shards = max(slices(texts.sparkSession), int(usual.sum()) // SHARD + 1)
+    return usual
+
+
+def prefixes(texts: DataFrame, usual: np.ndarray, shards: int) -> DataFrame:
+    """The rarest pairs of adjacent words of each text (row_id, batch_no, n, words), by shard.
+
+    Any order of the pairs gives exact results if it is the same for all texts; rare ones first gives few meetings. Of a pair
+    the shard and 32 bits of its hash are kept: others that fall on them only add candidates.
+    """
     return texts.select("row_id", "batch_no", "words").mapInArrow(_prefix(usual, shards), PREFIXES)
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """(row_id, other_id) of one shard: records and earlier accepted ones that may have enough words in common order."""
+    """(row_id, other_id) of one shard: records and earlier accepted ones that may have enough words in common order.
+
+    The pairs of words of all records stand sorted by pair and length; each looks ahead to the last that is not too long, found
+    by binary search, so that two records meet once.
+    """
     ids, numbers, n = (table[c].to_numpy() for c in ("row_id", "batch_no", "n"))
-    n = n.astype(np.int64)
+    n = n.astype(np.int32)
     asks, held = (table[c].to_numpy(zero_copy_only=False).astype(bool) for c in ("asks", "accepted"))
     marks = np.frombuffer(b"".join(table["marks"].to_pylist()), np.uint64).reshape(-1, BITS // 64)
     wide = np.frombuffer(b"".join(table["wide"].to_pylist()), np.uint64).reshape(-1, WIDE_BITS // 64)
     wide_at = np.cumsum(n >= WIDE_FROM) - 1
     raw = table["keys"].to_pylist()
-    own = np.repeat(np.arange(len(ids)), [len(k) // 8 for k in raw])
-    keys = np.unique(np.frombuffer(b"".join(raw), np.uint64), return_inverse=True)[1].astype(np.int64)
-    places = np.frombuffer(b"".join(table["places"].to_pylist()), np.int32).astype(np.int64)
-    when = np.empty(len(ids), np.int64)
-    when[np.lexsort((ids, numbers))] = np.arange(len(ids))
-    of = np.flatnonzero(held[own])
-    sorting = (keys[of] << 32) | n[own[of]]
+    own = np.repeat(np.arange(len(ids), dtype=np.int32), [len(k) // 4 for k in raw])
+    keys = np.frombuffer(b"".join(raw), np.uint32).astype(np.int64)
+    places = np.frombuffer(b"".join(table["places"].to_pylist()), np.int32)
+    when = np.empty(len(ids), np.int32)
+    when[np.lexsort((ids, numbers))] = np.arange(len(ids), dtype=np.int32)
+    sorting = (keys << 31) | n[own]
     order = np.argsort(sorting, kind="stable")
-    of, sorting = of[order], sorting[order]
-    asked = np.flatnonzero(asks[own])
-    size = n[own[asked]]
-    low = np.searchsorted(sorting, (keys[asked] << 32) | np.ceil(SHARE * size - 1e-9).astype(np.int64), "left")
-    high = np.searchsorted(sorting, (keys[asked] << 32) | np.floor(size / SHARE + 1e-9).astype(np.int64), "right")
-    ends = np.cumsum(high - low)
+    sorting, own, places = sorting[order], own[order], places[order]
+    longest = np.floor(n[own] / SHARE + 1e-9).astype(np.int64)
+    ahead = np.searchsorted(sorting, (sorting >> 31 << 31) | longest, "right") - np.arange(len(own)) - 1
+    ends = np.cumsum(ahead)
     met, start = [], 0
-    while start < len(asked):
+    least_of = np.ceil(SHARE * np.arange(int(n.max(initial=0)) + 1) - 1e-9).astype(np.int32)
+    while start < len(own):
         done = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, done + AT_ONCE, "right")))
-        many = (high - low)[start:stop]
-        a = np.repeat(asked[start:stop], many)
-        b = of[np.repeat(low[start:stop] - (np.cumsum(many) - many), many) + np.arange(len(a))]
+        many = ahead[start:stop]
+        a = np.repeat(np.arange(start, stop, dtype=np.int32), many)
+        b = a + 1 + (np.arange(len(a)) - np.repeat(np.cumsum(many) - many, many)).astype(np.int32)
         x, y = own[a], own[b]
         i, j = places[a], places[b]
-        least = _least_common(n[x], n[y])
-        near = np.flatnonzero((when[x] > when[y]) & (np.minimum(i, j) + np.minimum(n[x] - i, n[y] - j) >= least))
-        x, y, least = x[near], y[near], least[near]
+        least = least_of[n[y]]  # y is the longer one
+        near = np.minimum(i, j) + np.minimum(n[x] - i, n[y] - j) >= least
+        later = when[x] > when[y]
+        near &= np.where(later, asks[x] & held[y], asks[y] & held[x]) & (x != y)
+        near = np.flatnonzero(near)
+        x, y, least, later = x[near], y[near], least[near], later[near]
         # bits in which the signatures differ: at most the words that only one of the two has
-        apart = np.bitwise_count(marks[x] ^ marks[y]).sum(axis=1, dtype=np.int64)
-        alike = apart <= n[x] + n[y] - 2 * least
-        met.append(np.unique(x[alike] * len(ids) + y[alike]))
+        room = n[x] + n[y] - 2 * least
+        apart = np.bitwise_count(marks[x, 0] ^ marks[y, 0]).astype(np.int32)
+        for k in range(1, BITS // 64):
+            left = np.flatnonzero(apart <= room)
+            if len(left) < len(x):
+                x, y, later, room, apart = x[left], y[left], later[left], room[left], apart[left]
+            apart += np.bitwise_count(marks[x, k] ^ marks[y, k])
+        left = np.flatnonzero(apart <= room)
+        x, y = np.where(later[left], x[left], y[left]), np.where(later[left], y[left], x[left])
+        met.append(np.unique(x.astype(np.int64) * len(ids) + y))
         start = stop
     pairs = np.unique(np.concatenate(met)) if met else np.zeros(0, np.int64)
     x, y = pairs // max(1, len(ids)), pairs % max(1, len(ids))
@@ -369,7 +387,7 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(ids[x]), pa.array(ids[y])], names=["row_id", "other_id"])
 
 
-def _routed(table: DataFrame, first_batch: int | None = None) -> tuple[DataFrame, DataFrame]:
+def _routed(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(the suffixes with the shard of each, pairs with the first records of hot beginnings).
 
     Where the first words are hot, more of them decide on the shard, up to 80; beyond, the record does. Members of
@@ -389,68 +407,194 @@ def _routed(table: DataFrame, first_batch: int | None = None) -> tuple[DataFrame
         table = table.join(F.broadcast(hot), "route", "left")
         alike = F.least("n", "first.n") >= SHARE * F.greatest("n", "first.n")
         asked = table.filter(F.col("first").isNotNull() & (F.struct("batch_no", "row_id") > F.struct("first.batch_no", "first.row_id")) & alike)
-        asked = asked if first_batch is None else asked.filter(F.col("batch_no") >= first_batch)
         firsts = firsts.unionByName(asked.groupBy("row_id", F.col("first.row_id").alias("other_id")).agg(F.max("starts").alias("starts"), F.count("*").alias("hits")))
         more = F.substring("key", 1, 8 + 4 * depth) if depth < LEVELS else F.concat("route", F.pmod("row_id", F.lit(64)).cast("string").cast("binary"))
         table = table.withColumn("route", F.when(F.col("first").isNotNull(), more).otherwise(F.col("route"))).drop("first")
     return table.withColumn("shard", F.pmod(F.xxhash64("route"), F.lit(shards))).drop("route"), firsts
 
 
-def duplicates(conversations: DataFrame, first_batch: int | None = None) -> DataFrame:
-    """(accepted_id, duplicate_id, share): each repeated record with the accepted one it repeats.
-
-    Rows are taken by batch_no, then conv_row_id; rows without either, and texts without a word, are left out. A
-    record that repeats several accepted ones is given with the one that shares most, of equals the first. With
-    ``first_batch``, batches before it are history that is not looked up again. An empty table gives no rows.
-    """
+def normalised(conversations: DataFrame) -> DataFrame:
+    """(row_id, batch_no, n, digest, words) of the rows that have an id, a batch and at least one word; a repeated id counts once."""
     picked = conversations.select(F.col("conv_row_id").cast("long").alias("row_id"), F.col("batch_no").cast("long").alias("batch_no"), F.col("transcript").alias("text"))
     picked = picked.filter(F.col("row_id").isNotNull() & F.col("batch_no").isNotNull() & F.col("text").isNotNull())
-    texts = materialize(picked.mapInArrow(_normal, TEXTS).dropDuplicates(["row_id"]), "texts")
-    head = texts.groupBy("digest").agg(F.min(F.struct("batch_no", "row_id")).alias("first"))
-    first = texts.join(head.select(F.col("first.row_id").alias("row_id")), "row_id", "left_semi")
-    first = materialize(first, "first")
-    routed, firsts = _routed(materialize(suffixes(first), "suffixes"), first_batch)
-    near = routed.groupBy("shard").applyInArrow(_shard(first_batch), PAIRS).unionByName(firsts)
+    return materialize(picked.mapInArrow(_normal, TEXTS).dropDuplicates(["row_id"]), "texts")
+
+
+def _first_search(first: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(links, pairs tried) of neighbours in the suffix arrays, followed to the records they lead back to."""
+    routed, firsts = _routed(materialize(suffixes(first), "suffixes"))
+    near = routed.groupBy("shard").applyInArrow(_shard, PAIRS).unionByName(firsts)
     covered = near.groupBy("row_id", "other_id").agg(F.sum("hits").alias("hits"), F.max("starts").alias("starts"))
-    pairs = materialize(covered.filter(F.col("hits") >= COVERAGE * F.col("starts")).select("row_id", "other_id"), "pairs")
-    links = materialize(_links(pairs, first), "links")
+    tried = materialize(covered.filter(F.col("hits") >= COVERAGE * F.col("starts")).select("row_id", "other_id"), "pairs")
+    links = materialize(_links(tried, first), "links")
+    order = first.select(F.col("row_id").alias("other_id"), "batch_no")
     # a neighbour may itself repeat an accepted record that was further off in the array: compare with that as well
-    tried = pairs
     while True:
-        order = first.select(F.col("row_id").alias("other_id"), "batch_no")
         root = links.join(order, "other_id").groupBy("row_id").agg(F.min(F.struct("batch_no", "other_id")).alias("r")).select(F.col("row_id").alias("other_id"), F.col("r.other_id").alias("root"))
         more = links.join(root, "other_id").select("row_id", F.col("root").alias("other_id")).distinct().join(tried, ["row_id", "other_id"], "left_anti")
         more = materialize(more, "more")
         if more.isEmpty():
-            break
+            return links, tried
         tried = tried.unionByName(more)
         links = materialize(links.unionByName(_links(more, first)), "links")
+
+
+def _resolved(first: DataFrame, usual: np.ndarray, shards: int, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(links from duplicates to accepted records, prefixes) of records none of which is an exact copy of another.
+
+    known: links (row_id, other_id, share) of some of them to records accepted earlier.
+    """
+    links, tried = _first_search(first)
+    if known is not None:
+        links = materialize(links.unionByName(known), "links")
     # every record meets every accepted one, until no record is newly accepted
-    ahead = materialize(prefixes(first), "prefixes").withColumn("asks", F.lit(True) if first_batch is None else F.col("batch_no") >= first_batch)
+    ahead = materialize(prefixes(first, usual, shards), "prefixes")
     met = first.select("row_id").limit(0)
     while True:
         settled = materialize(_settle(links), "settled")
         fresh = first.select("row_id").join(settled.select("row_id"), "row_id", "left_anti").join(met, "row_id", "left_anti")
         fresh = materialize(fresh, "fresh")
         if fresh.isEmpty():
-            break
+            return settled, ahead
         met = met.unionByName(fresh)
-        flagged = ahead.join(fresh.withColumn("accepted", F.lit(True)), "row_id", "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))
+        flagged = ahead.withColumn("asks", F.lit(True)).join(fresh.withColumn("accepted", F.lit(True)), "row_id", "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))
         more = flagged.groupBy("shard").applyInArrow(_meet, "row_id long, other_id long").distinct().join(tried, ["row_id", "other_id"], "left_anti")
         more = materialize(more, "more")
         if more.isEmpty():
-            break
+            return settled, ahead
         tried = tried.unionByName(more)
         links = materialize(links.unionByName(_links(more, first)), "links")
-    order = first.select(F.col("row_id").alias("other_id"), "batch_no")
-    best = settled.join(order, "other_id").groupBy("row_id").agg(F.min(F.struct((-F.col("share")).alias("share"), "batch_no", "other_id")).alias("b"))
-    best = best.select("row_id", F.col("b.other_id").alias("accepted_id"), (-F.col("b.share")).alias("share"))
-    copies = texts.select("row_id", "digest").join(head.select("digest", F.col("first.row_id").alias("head")), "digest")
-    found = copies.join(best.withColumnRenamed("row_id", "head"), "head", "left")
+
+
+def _heads(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(digest, head) of all texts, and the first record of each text."""
+    head = texts.groupBy("digest").agg(F.min(F.struct("batch_no", "row_id")).alias("first")).select("digest", F.col("first.row_id").alias("head"))
+    return head, materialize(texts.join(head.select(F.col("head").alias("row_id")), "row_id", "left_semi"), "first")
+
+
+def _reported(texts: DataFrame, head: DataFrame, settled: DataFrame, order: DataFrame) -> DataFrame:
+    """(accepted_id, duplicate_id, share): of several accepted records that with most in common, of equals the first; copies as their head."""
+    best = settled.join(order.select(F.col("row_id").alias("other_id"), "batch_no"), "other_id").groupBy("row_id").agg(F.min(F.struct((-F.col("share")).alias("share"), "batch_no", "other_id")).alias("b"))
+    best = best.select(F.col("row_id").alias("head"), F.col("b.other_id").alias("accepted_id"), (-F.col("b.share")).alias("share"))
+    found = texts.select("row_id", "digest").join(head, "digest").join(best, "head", "left")
     found = found.filter(F.col("accepted_id").isNotNull() | (F.col("row_id") != F.col("head")))
     return found.select(F.coalesce("accepted_id", "head").alias("accepted_id"), F.col("row_id").alias("duplicate_id"), F.coalesce("share", F.lit(1.0)).alias("share"))
 
 
+def duplicates(conversations: DataFrame) -> DataFrame:
+    """(accepted_id, duplicate_id, share): each repeated record with the accepted one it repeats.
+
+    Rows are taken by batch_no, then conv_row_id; rows without either, and texts without a word, are left out. A
+    record that repeats several accepted ones is given with the one that shares most, of equals the first. An empty table
+    gives no rows. All batches are history and intake in one; ``History`` takes them in as they come.
+    """
+    texts = normalised(conversations)
+    head, first = _heads(texts)
+    usual = usual_pairs(first)
+    settled, _ = _resolved(first, usual, max(slices(first.sparkSession), int(usual.sum()) // PREFIX_SHARD + 1))
+    return _reported(texts, head, settled, first)
+
+
+class History:
+    """Accepted records on storage, in a folder that all executors share: segments of texts and of their rarest pairs, by shard.
+
+    A segment is written once and never changed. An intake adds one; while the one before is less than twice as large, both
+    are written as one new segment (as many rows are rewritten as the logarithm of all intakes). A numbered manifest names the segments that
+    count: one that is interrupted leaves the last manifest, and with it the history, as it was. The order of pairs is that of the first intake.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path.rstrip("/")
+        jvm = spark.sparkContext._jvm
+        self._root = jvm.org.apache.hadoop.fs.Path(self.path)
+        self._fs = self._root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _numbers(self) -> list[int]:
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path + "/manifests")
+        if not self._fs.exists(place):
+            return []
+        return sorted(int(s.getPath().getName()) for s in self._fs.listStatus(place) if s.getPath().getName().isdigit() and self._fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
+
+    def manifest(self) -> dict:
+        """{segments: [{name, rows}], usual}; nothing was taken in yet where there are no segments."""
+        numbers = self._numbers()
+        if not numbers:
+            return {"number": 0, "segments": [], "usual": None}
+        return json.loads(self.spark.read.text(f"{self.path}/manifests/{numbers[-1]}").first()[0])
+
+    def _publish(self, state: dict) -> None:
+        number = state["number"] + 1
+        self.spark.createDataFrame([(json.dumps({**state, "number": number}),)], "value string").coalesce(1).write.text(f"{self.path}/manifests/{number}")
+
+    def _read(self, state: dict, kind: str, schema: str) -> DataFrame:
+        parts = [f"{self.path}/{kind}/segment={s['name']}" for s in state["segments"]]
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/{kind}").parquet(*parts).select(*[c.split()[0] for c in schema.split(", ")])
+
+    def _usual(self, state: dict) -> np.ndarray:
+        table = self.spark.read.parquet(f"{self.path}/{state['usual']}").toArrow()  # BUCKETS rows at most
+        usual = np.zeros(BUCKETS, np.int64)
+        usual[table["bucket"].to_numpy()] = table["n"].to_numpy()
+        return usual
+
+    def accepted(self) -> DataFrame:
+        """(row_id, batch_no, n, digest, words) of all accepted records."""
+        return self._read(self.manifest(), "texts", TEXTS)
+
+    def take_in(self, conversations: DataFrame) -> DataFrame:
+        """(accepted_id, duplicate_id, share) of the new rows; what is accepted of them is history from then on.
+
+        The rows are later than all of history whatever their batch_no; among themselves they are taken by batch_no, then id.
+        """
+        state = self.manifest()
+        texts = normalised(conversations)
+        held = self._read(state, "texts", TEXTS)
+        copies = materialize(texts.select("row_id", "digest").join(held.select("digest", F.col("row_id").alias("accepted_id")), "digest").select("accepted_id", F.col("row_id").alias("duplicate_id"), F.lit(1.0).alias("share")), "copies")
+        rest = materialize(texts.join(copies.select(F.col("duplicate_id").alias("row_id")), "row_id", "left_anti"), "rest")
+        head, first = _heads(rest)
+        if state["usual"] is None:
+            usual, name = usual_pairs(first), f"usual-{uuid.uuid4().hex}"
+            at = np.flatnonzero(usual)
+            self.spark.createDataFrame(pa.table({"bucket": at, "n": usual[at]})).write.parquet(f"{self.path}/{name}")
+            state = {**state, "usual": name}
+        else:
+            usual = self._usual(state)
+        known = self._known(state, first, held, usual) if state["segments"] else None
+        settled, ahead = _resolved(first, usual, STORED_SHARDS, known)
+        order = first.select("row_id", "batch_no").unionByName(held.select("row_id", (F.col("batch_no") - (1 << 40)).alias("batch_no")))
+        result = materialize(_reported(rest, head, settled, order).unionByName(copies), "result")
+        kept = first.join(settled.select("row_id"), "row_id", "left_anti")
+        self._append(state, kept, ahead.join(kept.select("row_id"), "row_id", "left_semi"))
+        return result
+
+    def _known(self, state: dict, first: DataFrame, held: DataFrame, usual: np.ndarray) -> DataFrame:
+        """Links of new records to accepted ones. Only the shards that the new records fall into are read."""
+        asked = materialize(prefixes(first, usual, STORED_SHARDS), "asked")
+        shards = [r["shard"] for r in asked.select("shard").distinct().collect()]  # STORED_SHARDS at most
+        old = self._read(state, "prefixes", PREFIXES).filter(F.col("shard").isin(shards))
+        # ids of history stand before all new ones, whatever their number
+        both = asked.withColumn("asks", F.lit(True)).withColumn("accepted", F.lit(False)).unionByName(old.withColumn("batch_no", F.col("batch_no") - (1 << 40)).withColumn("asks", F.lit(False)).withColumn("accepted", F.lit(True)))
+        pairs = materialize(both.groupBy("shard").applyInArrow(_meet, "row_id long, other_id long").distinct(), "met")
+        wanted = held.join(pairs.select(F.col("other_id").alias("row_id")).distinct(), "row_id", "left_semi")
+        return materialize(_links(pairs, first, wanted), "known")
+
+    def _append(self, state: dict, texts: DataFrame, ahead: DataFrame) -> None:
+        texts = materialize(texts.select("row_id", "batch_no", "n", "digest", "words"), "kept")
+        rows = texts.count()
+        if not rows:
+            return self._publish(state) if state["number"] == 0 else None
+        segments = list(state["segments"])
+        while segments and segments[-1]["rows"] < 2 * rows:
+            last = segments.pop()
+            old = {**state, "segments": [last]}
+            texts, ahead, rows = texts.unionByName(self._read(old, "texts", TEXTS)), ahead.unionByName(self._read(old, "prefixes", PREFIXES).select(*ahead.columns)), rows + last["rows"]
+        name = f"{state['number']:06d}-{uuid.uuid4().hex[:8]}"
+        texts.write.option("compression", "zstd").parquet(f"{self.path}/texts/segment={name}")
+        ahead.repartition("shard").sortWithinPartitions("shard", "row_id").write.option("compression", "zstd").partitionBy("shard").parquet(f"{self.path}/prefixes/segment={name}")
+        self._publish({**state, "segments": [*segments, {"name": name, "rows": rows}]})
+
+
 def _settle(links: DataFrame) -> DataFrame:
     """The links that lead from a duplicate to an accepted record.
 
@@ -477,3 +621,19 @@ def _settle(links: DataFrame) -> DataFrame:
 
 def found(conversations: DataFrame) -> DataFrame:
     return duplicates(conversations).select("accepted_id", "duplicate_id")
+
+
+def incremental(conversations: DataFrame, path: str, steps: int = 3) -> DataFrame:
+    """(accepted_id, duplicate_id, share) as ``duplicates`` gives, but taken in by ``steps`` intakes of neighbouring batches.
+
+    Intakes are cut so that each holds about as many batches.
+    """
+    numbers = [r["batch_no"] for r in conversations.select("batch_no").filter("batch_no is not null").distinct().orderBy("batch_no").collect()]  # one for each batch
+    history = History(conversations.sparkSession, path)
+    parts = [numbers[i * len(numbers) // steps : (i + 1) * len(numbers) // steps] for i in range(steps)]
+    found = [history.take_in(conversations.filter(F.col("batch_no").between(part[0], part[-1]))) for part in parts if part]
+    schema = "accepted_id long, duplicate_id long, share double"
+    result = conversations.sparkSession.createDataFrame([], schema)
+    for part in found:
+        result = result.unionByName(part)
+    return result

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from folioscope.llm import conversations, history_dedup, leakage, mojibake, packing, pii, scan_noise, term_counts, term_residuals
-from folioscope.runtime import spread
+from folioscope.runtime import shared_dir, spread
 from folioscope.runtime import table as stored
 
 
@@ -32,6 +33,7 @@ def queries() -> dict[str, Query]:
         "p6_residuals": lambda s, d: term_residuals.most_characteristic(table(s, d, "digested_docs")),
         "p7_found": lambda s, d: history_dedup.found(table(s, d, "export_conversations")),
         "p7_duplicates": lambda s, d: history_dedup.duplicates(table(s, d, "export_conversations")),
+        "p7_incremental": lambda s, d: history_dedup.incremental(table(s, d, "export_conversations"), f"{shared_dir(s)}/folioscope/history-{uuid.uuid4().hex}"),
         "p8_containers": lambda s, d: packing.containers(table(s, d, "documents")),
         "p8_fill": lambda s, d: packing.fill(packing.containers(table(s, d, "documents"))),
         "p9_found": lambda s, d: leakage.found(table(s, d, "documents"), table(s, d, "eval_items")),

@@ -226,6 +226,27 @@ def test_exact_search_alone(spark, monkeypatch):
     assert {tuple(x) for x in history_dedup.found(spark.createDataFrame(rows, CONV)).collect()} == expected
 
 
+def test_history_taken_in_by_parts(spark, tmp_path):
+    r = random.Random(21)
+    base = [_prose(r, r.choice([20, 45, 90, 350])) for _ in range(20)]
+    rows = [(i, 1 + i % 3, t) for i, t in enumerate(base)]
+    for k in range(60):
+        source = r.choice(base)
+        rows.append((1000 + k, r.randrange(1, 9), r.choice([source, _edited(r, source, 0.08), _edited(r, source, 0.16), source + " " + _prose(r, len(source.split()) // 2)])))
+    want = _brute(rows)
+    df = spark.createDataFrame(rows, CONV)
+    history = history_dedup.History(spark, f"file://{tmp_path}/history")
+    got = set()
+    for low, high in ((1, 3), (4, 4), (5, 6), (7, 9)):
+        found = {(x["accepted_id"], x["duplicate_id"]) for x in history.take_in(df.filter(F.col("batch_no").between(low, high))).collect()}
+        assert found == {w for w in want if any(x[0] == w[1] and low <= x[1] <= high for x in rows)}, (low, high)
+        got |= found
+    assert got == want
+    sizes = [s["rows"] for s in history.manifest()["segments"]]
+    assert all(a >= 2 * b for a, b in zip(sizes, sizes[1:])) and sum(sizes) == history.accepted().count() == len(rows) - len(want)
+    assert history.take_in(df.limit(0)).count() == 0
+
+
 def test_history_of_nothing(spark):
     assert history_dedup.found(spark.createDataFrame([], CONV)).count() == 0
 
