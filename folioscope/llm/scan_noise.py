@@ -754,6 +754,9 @@ def recurring_lines(shapes: DataFrame) -> DataFrame:
     itself recurs is like itself.
     """
     spark = shapes.sparkSession
+    # a line longer than all recurring ones of its file is like none of them
+    longest = shapes.filter("n > 1").groupBy("pdf_id").agg(F.max(F.length("shape")).alias("longest"))
+    shapes = shapes.join(longest, "pdf_id").filter(F.length("shape") * 4 <= F.col("longest") * 5 + 5).select("pdf_id", "shape", "n")
     counted = shapes.select("shape").mapInArrow(_count_grams, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # GRAM_BUCKETS rows at most
     usual = np.zeros(GRAM_BUCKETS, np.int64)
     usual[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
