@@ -249,8 +249,14 @@ def _least_common(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def _marks(coded: np.ndarray, bits: int) -> bytes:
-    """A bit for each bucket of words: whether their number is odd. A word that only one of two texts has flips one bit."""
-    return np.packbits(np.bincount((coded % np.uint64(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+    """A bit for each bucket of words, the first, second .. time a word stands counting as words of their own: whether their
+    number is odd. A word that only one of two texts has flips one bit."""
+    order = np.sort(coded)
+    new = np.concatenate(([True], order[1:] != order[:-1]))
+    first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+    with np.errstate(over="ignore"):
+        one = (order ^ (np.arange(len(order), dtype=np.uint64) - first.astype(np.uint64)) * _BASE) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.packbits(np.bincount(((one >> np.uint64(40)) % np.uint64(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
 
 
 def _word_pairs(found: list[str], codes: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
