@@ -319,12 +319,22 @@ def test_leaks_against_brute_force(spark):
     assert leakage.found(df.limit(0), table).count() == 0 and leakage.found(df, table.limit(0)).count() == 0
 
 
-def test_leaks_in_several_passes(spark, monkeypatch):
-    monkeypatch.setattr(leakage, "ITEMS_PER_PASS", 2)
+def test_leaks_by_several_indexes(spark, monkeypatch):
+    monkeypatch.setattr(leakage, "INDEX_WORDS", 60)
     passages = [" ".join(f"w{i}x{k}" for k in range(15)) for i in range(5)]
-    table = spark.createDataFrame([(i, p, None, None) for i, p in enumerate(passages)], "item_id long, passage string, question string, answer string")
+    table = spark.createDataFrame([(i, p, "what was w0x1", "w0x2") for i, p in enumerate(passages)], "item_id long, passage string, question string, answer string")
     docs = spark.createDataFrame([(1, passages[4] + " and " + passages[0])], "doc_id long, text string")
-    assert {tuple(x) for x in leakage.found(docs, table).collect()} == {(1, 0), (1, 4)}
+    found = {(r["doc_id"], r["item_id"]): r["extent"] for r in leakage.leaks(docs, table).collect()}
+    assert found == {(1, 0): "passage and answer", (1, 4): "passage and answer"}
+
+
+def test_blocks_are_left_early():
+    """Of many items only those are scored that a run can be from."""
+    r = random.Random(6)
+    index = leakage.Index([(i, " ".join(r.choice(WORDS) + str(r.randrange(40)) for _ in range(60)), None, None) for i in range(3000)])
+    run = index.passages[1234][20:33]
+    assert {c[1] for c in index.candidates(np.concatenate((run, [len(index.ids)], run[::-1].copy())).astype(np.int32)) if index.holds(c[1], run)} == {1234}
+    assert len(list(index.candidates(run))) == 1
 
 
 # --- wrong encodings -----------------------------------------------------------------------------
@@ -349,6 +359,24 @@ def test_garbled_texts_are_found_and_restored(spark, charset):
     assert fixed[400] == ("The café of 5", "restored")
 
 
+@pytest.mark.parametrize("chain", [(("cp1252", "cp1251"),), (("mac_roman", "cp1252"),), ("gbk",)])
+def test_characters_swapped_one_for_one(spark, chain):
+    docs = [(i, CLEAN[i % 6] + f" {i}") for i in range(90)]
+    bad = [(100 + i, mojibake.misread(CLEAN[i % 3], chain) + f" {i}") for i in range(9)]
+    good = [(300, "Θάλασσα и море"), (301, "Он ждёт: café, naïve, Straße"), (302, "quoted `" + mojibake.misread("é", chain) + "` only"), (303, "中文 and 茅台")]
+    df = spark.createDataFrame([*docs, *bad, *good], "doc_id long, text string")
+    got = {r["doc_id"] for r in mojibake.found(df).collect()}
+    assert {i for i, _ in bad} <= got and not got & {i for i, _ in docs} and not got & {300, 301, 302}, sorted(got ^ {i for i, _ in bad})
+    fixed = {r["doc_id"]: r["restored"] for r in mojibake.restored(df).collect()}
+    assert sum(fixed[100 + i] == CLEAN[i % 3] + f" {i}" for i in range(9)) >= 6
+
+
+def test_decodings_are_learned_from_aligned_pairs():
+    pairs = {(mojibake.misread(c, (("cp1252", "cp1251"),)), c): 3 for c in "éèàü"} | {(mojibake.misread(c, ("koi8_r",)), c): 4 for c in "éñ"} | {("é", "è"): 9}
+    found, done = mojibake.explaining(pairs)
+    assert set(found) == {(("cp1252", "cp1251"),), (("utf-8", "koi8-r"),)} and ("é", "è") not in done
+
+
 def test_no_documents(spark):
     assert mojibake.found(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert mojibake.restored(spark.createDataFrame([(1, "plain")], "doc_id long, text string")).count() == 0
