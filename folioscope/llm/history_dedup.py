@@ -282,7 +282,18 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], names=["bucket", "n"])
 
 
-def _prefix(usual: np.ndarray, shards: int):
+def shard_names(spark: SparkSession, shards: int) -> np.ndarray:
+    """Numbers that name shards so that a shuffle into as many partitions puts one shard in each."""
+    names: dict[int, int] = {}
+    low, step = 0, 16 * shards
+    while len(names) < shards:
+        for r in spark.range(low, low + step).select(F.col("id").cast("int").alias("i"), F.pmod(F.hash(F.col("id").cast("int")), F.lit(shards)).alias("p")).collect():
+            names.setdefault(r["p"], r["i"])
+        low += step
+    return np.array([names[p] for p in range(shards)], np.int64)
+
+
+def _prefix(usual: np.ndarray, names: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes: dict[str, int] = {}
@@ -300,10 +311,10 @@ def _prefix(usual: np.ndarray, shards: int):
                 # all places of a pair that is in the prefix at one
                 own = np.flatnonzero((rank < rank[last]) | ((rank == rank[last]) & (both <= both[last])))
                 marks, wide = _marks(coded, BITS), _marks(coded, WIDE_BITS) if n >= WIDE_FROM else b""
-                shard = (both[own] >> np.uint64(20)) % np.uint64(shards)
+                shard = (both[own] >> np.uint64(32)) % np.uint64(len(names))
                 for k in np.unique(shard):
                     at = own[shard == k]
-                    rows.append((int(k), row_id, batch_no, n, marks, wide, (both[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), at.astype(np.int32).tobytes()))
+                    rows.append((int(names[k]), row_id, batch_no, n, marks, wide, (both[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), at.astype(np.int32).tobytes()))
             columns = list(zip(*rows)) or [()] * 8
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["shard", "row_id", "batch_no", "n", "marks", "wide", "keys", "places"])
@@ -325,7 +336,7 @@ def prefixes(texts: DataFrame, usual: np.ndarray, shards: int) -> DataFrame:
     Any order of the pairs gives exact results if it is the same for all texts; rare ones first gives few meetings. Of a pair
     the shard and 32 bits of its hash are kept: others that fall on them only add candidates.
     """
-    return texts.select("row_id", "batch_no", "words").mapInArrow(_prefix(usual, shards), PREFIXES)
+    return texts.select("row_id", "batch_no", "words").mapInArrow(_prefix(usual, shard_names(texts.sparkSession, shards)), PREFIXES)
 
 
 def _meet(table: pa.Table) -> pa.Table:
@@ -464,7 +475,7 @@ def _resolved(first: DataFrame, usual: np.ndarray, shards: int, known: DataFrame
             return settled, ahead
         met = met.unionByName(fresh)
         flagged = ahead.withColumn("asks", F.lit(True)).join(fresh.withColumn("accepted", F.lit(True)), "row_id", "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))
-        more = flagged.groupBy("shard").applyInArrow(_meet, "row_id long, other_id long").distinct().join(tried, ["row_id", "other_id"], "left_anti")
+        more = flagged.repartition(shards, "shard").groupBy("shard").applyInArrow(_meet, "row_id long, other_id long").distinct().join(tried, ["row_id", "other_id"], "left_anti")
         more = materialize(more, "more")
         if more.isEmpty():
             return settled, ahead
@@ -581,7 +592,7 @@ class History:
         old = self._read(state, "prefixes", PREFIXES).filter(F.col("shard").isin(shards))
         # ids of history stand before all new ones, whatever their number
         both = asked.withColumn("asks", F.lit(True)).withColumn("accepted", F.lit(False)).unionByName(old.withColumn("batch_no", F.col("batch_no") - (1 << 40)).withColumn("asks", F.lit(False)).withColumn("accepted", F.lit(True)))
-        pairs = materialize(both.groupBy("shard").applyInArrow(_meet, "row_id long, other_id long").distinct(), "met")
+        pairs = materialize(both.repartition(STORED_SHARDS, "shard").groupBy("shard").applyInArrow(_meet, "row_id long, other_id long").distinct(), "met")
         wanted = held.join(pairs.select(F.col("other_id").alias("row_id")).distinct(), "row_id", "left_semi")
         return materialize(_links(pairs, first, wanted), "known")
 

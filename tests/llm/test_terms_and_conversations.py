@@ -121,3 +121,39 @@ def test_parent_far_back_in_a_busy_channel(spark):
     table = spark.createDataFrame(rows, "row_id long, project_uuid string, conv_uuid string, msg_uuid string, parent_uuid string, sender string, created_at timestamp, text string")
     links = {r["msg_uuid"]: r["parent_uuid"] for r in conversations.reply_links(table).collect()}
     assert links["reply"] == "asked"
+
+
+def test_planted_threads_of_interleaved_channels(spark):
+    """Talks of two to five turns, a dozen at a time in each channel; nine in ten replies go to the message they answer."""
+    import random
+
+    r = random.Random(31)
+    syllables = "bar ven tol mir ka rus quin lo fen dor wex el thi mo gard hal ost pel".split()
+    word = lambda: "".join(r.choice(syllables) for _ in range(3))
+    rows, want = [], {}
+    for channel in ("p1", "p2", None):
+        for talk in range(60):
+            topic, second, parent = [word() for _ in range(5)], r.randrange(0, 7200), None
+            for turn in range(r.randrange(2, 6)):
+                key = f"{channel}-{talk}-{turn}"
+                # each turn takes up some words of the one before and brings new ones
+                said, topic = r.sample(topic, 3), [*r.sample(topic, 3), word(), word()]
+                rows.append((len(rows), channel, None, key, None, "human" if turn % 2 == 0 else "assistant", T0 + timedelta(seconds=second), " ".join([*said, *topic[3:], *(word() for _ in range(3))]), None))
+                want[key] = parent
+                parent, second = key, second + r.randrange(20, 400)
+    links = {x["msg_uuid"]: x["parent_uuid"] for x in conversations.reply_links(spark.createDataFrame(rows, MSG)).collect()}
+    replies = [k for k, p in want.items() if p is not None]
+    assert sum(links[k] == want[k] for k in replies) / len(replies) >= 0.9
+
+
+def test_a_named_parent_outweighs_all_else(spark):
+    talk = [("a", None, 1, "the amber lantern of Karimoor"), ("b", None, 2, "another matter"), ("c", "b", 3, "the amber lantern of Karimoor")]
+    df = spark.createDataFrame([_msg(None, k, p, "human", m, t) for k, p, m, t in talk], MSG)
+    assert {x["msg_uuid"]: x["parent_uuid"] for x in conversations.reply_links(df).collect()}["c"] == "b"
+
+
+def test_repeated_rows_without_id_count_alike(spark):
+    rows = [(None, "p", "c", "a", None, "human", T0, "x", None), (4, "p", "c", "a", "gone", "human", T0, "x", None), (5, "p", "c", "b", "a", "ai", T0 + timedelta(minutes=1), "y", None)]
+    df = spark.createDataFrame(rows, MSG)
+    both = [sorted(tuple(x) for x in conversations.conversations(df, n).collect()) for n in (conversations.IN_ONE_TASK, 0)]
+    assert both[0] == both[1]
