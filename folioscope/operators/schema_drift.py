@@ -1,9 +1,10 @@
 """Schemas that drift between files: read them into one table, and report every change.
 
-Method: similarity flooding. The fields of two successive files of a group are nodes of two schema
-graphs, tied to their level, their name parts, their kind and their values. Match scores of field pairs spread
-over shared neighbours until they settle; the best consistent pairs among fields that went and fields
-that came are renames. Over all files the renames give each field one name, under which its values are
+Method: similarity flooding. Two successive files of a group are two schema graphs: fields are tied to their level, to the
+kind of their values, to the parts of their names and to the values they hold, and levels to the fields that nest them. Pairs
+of nodes that are reached by ties of the same label are neighbours in a graph of pairs, over which match scores spread until they
+settle. The best consistent pairs among fields that went and fields that came are renames, if they settle near
+enough to what fields that stayed reach with themselves. Over all files the renames give each field one name, under which its values are
 cast and united.
 """
 
@@ -12,7 +13,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from datetime import datetime, timezone
 
@@ -32,12 +33,14 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
 #: The level below the top whose entries' keys are fields as well.
 ENTRIES = "conversations"
-#: Values of a field that are kept, the least by hash, to compare fields of long lists.
-SKETCH = 64
 #: Seconds since 1970 that count as a time.
 TIMES = (10**9, 4 * 10**9)
-#: Flooding: share of the first score that each round adds again, when it has settled, and the least final score.
-RESTART, SETTLED, ROUNDS, LEAST = 1.0, 1e-3, 50, 0.3
+#: Flooding: when it has settled, rounds at most, and the least score of a rename as a share of what fields reach with themselves.
+SETTLED, ROUNDS, LEAST = 1e-3, 50, 0.24
+#: What it tells that two fields are of one kind: schemas hold few fields of some kinds, many of others.
+TELLING = {"uuid": 1.0, "time": 1.0}
+#: Renames of this share of all count for the names of the united table, 1 / RENAME_SHARE at most.
+RENAME_SHARE = 1e-4
 
 CHANGES = "file_id long, before_id long, field_name string, old_name string, change_kind string"
 
@@ -75,7 +78,7 @@ def reading(value: object) -> tuple[str, str]:
 
 
 def outline(raw: str | None) -> dict[str, list] | None:
-    """Field -> [JSON types, kind, sketch of values] of a file, or None where it is no valid JSON object."""
+    """Field -> [JSON types, kind, hashes of all its values] of a file, or None where it is no valid JSON object."""
     try:
         data = json.loads(raw)
     except (TypeError, ValueError, RecursionError):
@@ -92,7 +95,7 @@ def outline(raw: str | None) -> dict[str, list] | None:
         types = sorted({t for v in values if (t := json_type(v))})
         read = [reading(v) for v in values if v is not None] or [("null", "")]
         kinds = [k for k, _ in read]
-        held = sorted({zlib.crc32(f"{k}:{v}".encode()) for k, v in read})[:SKETCH] if kinds[0] not in ("object", "array") or field != ENTRIES else []
+        held = sorted({zlib.crc32(f"{k}:{v}".encode()) for k, v in read}) if kinds[0] not in ("object", "array") or field != ENTRIES else []
         found[field] = [types, max(set(kinds), key=lambda k: (kinds.count(k), k)), held]
     return found
 
@@ -118,40 +121,66 @@ def _likeness(a: str, b: str) -> float:
     return max(_share(x, y), 0.9 * begun)
 
 
-def flood(old: dict[str, list], new: dict[str, list]) -> dict[tuple[str, str], float]:
-    """Settled match scores of the fields of one level and kind, 1 at most."""
-    first: dict[tuple[str, str], float] = {}
+def _pair_graph(old: dict[str, list], new: dict[str, list]) -> tuple[dict[tuple, float], dict[tuple, list[tuple[tuple, str]]]]:
+    """(first scores, ties with their labels) of the pairs of nodes of two schema graphs that ties of one label lead to."""
+    first: dict[tuple, float] = {}
+    ties: dict[tuple, list[tuple[tuple, str]]] = defaultdict(list)
+
+    def tie(field: tuple, other: tuple, label: str, score: float) -> None:
+        first[other] = score
+        ties[field].append((other, label))
+        ties[other].append((field, label))
+
     for a, (_, kind_a, values_a) in old.items():
         for b, (_, kind_b, values_b) in new.items():
-            if _level(a)[0] != _level(b)[0] or kind_a != kind_b and "null" not in (kind_a, kind_b):
+            (level_a, name_a), (level_b, name_b) = _level(a), _level(b)
+            if level_a != level_b or kind_a != kind_b and "null" not in (kind_a, kind_b):
                 continue
-            strict = {"uuid": 0.35, "time": 0.35}.get(kind_a, 0.05)
-            same = 0.1 if kind_a == "number" else 0.35  # small numbers agree by chance
-            first[a, b] = 0.45 * _likeness(a, b) + same * _share(set(values_a), set(values_b)) + strict
+            pair = ("field", a, b)
+            first[pair] = _likeness(a, b)
+            tie(pair, ("level", level_a, level_b), "in", 1.0)
+            if kind_a == kind_b:
+                tie(pair, ("kind", level_a, kind_a), "kind", TELLING.get(kind_a, 0.1))
+            for p in _parts(name_a):
+                for q in _parts(name_b):
+                    if p == q or min(len(p), len(q)) >= 2 and (p.startswith(q) or q.startswith(p)):
+                        tie(pair, ("part", p, q), "part", 1.0 if p == q else 0.9)
+            shared = _share(set(values_a), set(values_b))
+            if shared:
+                tie(pair, ("values", a, b), "values", shared * (0.3 if kind_a == "number" else 1.0))  # small numbers agree by chance
+    nested, inner = ("field", ENTRIES, ENTRIES), ("level", ENTRIES, ENTRIES)
+    if nested in first and inner in first:
+        tie(nested, inner, "nests", first[inner])
+    return first, ties
+
+
+def flood(old: dict[str, list], new: dict[str, list]) -> dict[tuple[str, str], float]:
+    """Settled match scores of field pairs of one level and kind, as shares of what fields that stayed reach with themselves.
+
+    Each round a pair of nodes keeps its first score and its own, and takes from each neighbour a share of the neighbour's, which that
+    divides among its ties of one label.
+    """
+    first, ties = _pair_graph(old, new)
     if not first:
         return {}
-    neighbours: dict[tuple, list[tuple[str, str]]] = defaultdict(list)
-    for a, b in first:
-        for tie in (("level", _level(a)[0]), ("kind", _level(a)[0], old[a][1])):
-            neighbours[tie].append((a, b))
+    share = {node: {label: 1.0 / n for label, n in Counter(label for _, label in own).items()} for node, own in ties.items()}
     score = dict(first)
     for _ in range(ROUNDS):
-        spread: dict[tuple[str, str], float] = defaultdict(float)
-        for tie, pairs in neighbours.items():
-            # a hub pair (level, level) or (kind, kind) collects and gives back in shares of the pair's own claim
-            total = sum(score[p] for p in pairs) / len(pairs)
-            for p in pairs:
-                rivals = sum(score[q] for q in pairs if q[0] == p[0] or q[1] == p[1])
-                spread[p] += 0.5 * total * score[p] / rivals if rivals else 0.0
-        after = {p: RESTART * first[p] + score[p] + spread[p] for p in first}
+        held = {node: first[node] + score[node] for node in first}
+        after = dict(held)
+        for node, own in ties.items():
+            for other, label in own:
+                after[other] += held[node] * share[node][label]
         most = max(after.values())
-        after = {p: s / most for p, s in after.items()}
-        moved = max(abs(after[p] - score[p]) for p in first)
+        after = {node: x / most for node, x in after.items()}
+        moved = max(abs(after[node] - score[node]) for node in first)
         score = after
         if moved < SETTLED:
             break
-    # scores are relative to the best pair; what the pair had to begin with keeps them comparable between files
-    return {p: (s * first[p]) ** 0.5 for p, s in score.items()}
+    fields = {node[1:]: x for node, x in score.items() if node[0] == "field"}
+    stayed = [x for (a, b), x in fields.items() if a == b]
+    scale = sum(stayed) / len(stayed) if stayed else max(fields.values(), default=1.0)
+    return {pair: x / scale for pair, x in fields.items()}
 
 
 def changes(old: dict[str, list], new: dict[str, list]) -> list[tuple[str, str | None, str]]:
@@ -249,8 +278,11 @@ TABLE = {
 def correspondences(found_changes: DataFrame) -> dict[str, str]:
     """Each name of a field -> the one it goes by. Renames are counted over all files; names that follow each
     other belong together, by the most frequent rename first and only within a level, so that no chain of
-    rare mistakes joins two fields of ``TABLE``. The result is bounded by the distinct names."""
-    renames = found_changes.filter(F.col("change_kind") == "renamed").groupBy("old_name", "field_name").count()
+    rare mistakes joins two fields of ``TABLE``. Renames below ``RENAME_SHARE`` of all name no column, which bounds what the driver holds."""
+    renamed = found_changes.filter(F.col("change_kind") == "renamed")
+    renames = materialize(renamed.groupBy("old_name", "field_name").count(), "renames")
+    total = renames.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    renames = renames.filter(F.col("count") >= RENAME_SHARE * total)
     known = {source: source for _, source in TABLE.values()}
     group = dict(known)
     for r in sorted(renames.collect(), key=lambda r: (-r["count"], r["old_name"], r["field_name"])):
