@@ -20,12 +20,29 @@ HEADING = r"(?m)^#{1,6}[ \t]+[^\n]+$"
 INDEX_BEGIN, INDEX_END = "<!-- BEGIN AUTO INDEX -->", "<!-- END AUTO INDEX -->"
 INDEX_BLOCK = r"(?s)<!-- BEGIN AUTO INDEX -->.*?<!-- END AUTO INDEX -->\n*"
 
-#: Default stop words; pass a list of your own to tokenise by another.
-STOPWORDS = (
-    "about above after again against also although always among another because been before being below between both cannot could does doing done down during each either else even ever every from further "
-    "have having here hers herself himself however into itself just like made make many more most much must myself neither never none only other others ought ours over same shall should since some such than "
-    "that their theirs them themselves then there these they this those through under until upon very want well were what when where whether which while whom whose will with within without would your yours yourself"
+# Default stop words of the digested format, those that stand alone and those that a rule forms. Pass a list of your own to
+# tokenise by another.
+_ALONE = (
+    "the and for that with this from have has had you your are was were but not they them their there which when where will would could should its into than then about just like over also some more most such other any all two because been being does did out off yes get got make made say said very much many "
+    "each every only even still while upon onto able after again against along among around back both down else ever here hers him his himself however may might must neither never nor once ours ourselves perhaps quite rather same seem since themselves therefore these those though through thus under until versus "
+    "via well whether whose within without yet wont cant dont ive weve theyre lets now new going want need think know see seen give given right good best better first last next user assistant tool system content omitted pointer asset real audio video image transcription container reasoning context particular "
+    "specific interesting important notable worth noting regarding concerning sense side okay sure yeah indeed moreover furthermore although regardless anyway anyhow meanwhile hence noted stated states explanation description suggestion another different similar various several certain actual true false correct "
+    "wrong left high low big small large great little main key major minor simple complex easy hard difficult common rare unique general broad narrow reply replies probably possibly likely simply consider discuss mention discussion"
 ).split()
+_WITH_S = (
+    "answer area case chat conversation describe discussion example explain framework here indicate instance issue kind level look message moment one other part period perspective piece place point problem question response section sort stage step suggest task term that their thing thread time type use way what work"
+).split()
+_WITH_ING, _WITH_ED = ["consider", "discuss", "look", "mention", "work"], ["describ", "discuss", "explain", "indicat", "mention", "suggest", "us"]
+_WITH_LY = "absolute according actual additional basical certain clear consequent definite especial essential exact fundamental general mere obvious particular precise pure real specifical total ultimate".split()
+
+
+def _stopwords() -> list[str]:
+    formed = [*_WITH_S, *(w + "s" for w in _WITH_S), "approach", "approaches", "using", *(w + "ing" for w in _WITH_ING), *(w + "ed" for w in _WITH_ED), *(w + "ly" for w in _WITH_LY)]
+    persons = [who + what for who in ("any", "every", "no", "some") for what in ("thing", "one", "body") if (who, what) != ("no", "one")]
+    return sorted({*_ALONE, *formed, *persons})
+
+
+STOPWORDS = _stopwords()
 
 
 def strip_code(text: Column) -> Column:
@@ -49,8 +66,8 @@ def word_count(body: Column) -> Column:
 
 def tokens(text: Column, stopwords: list[str] | None = None) -> Column:
     """Lower-case words of four characters and more that are no stop words."""
-    stop = F.array(*[F.lit(w) for w in (STOPWORDS if stopwords is None else stopwords)])
-    return F.filter(F.transform(words(text), F.lower), lambda w: (F.length(w) >= 4) & ~F.array_contains(stop, w))
+    stop = STOPWORDS if stopwords is None else stopwords
+    return F.filter(F.transform(words(text), F.lower), lambda w: (F.length(w) >= 4) & ~w.isin(stop))
 
 
 def keyword_count(n: Column, base: int = 10, ceiling: int = 40) -> Column:
@@ -156,9 +173,9 @@ def safe_name(name: Column, fallback: Column, most: int = 120) -> Column:
 
 def path_keywords(name: Column, path: Column, most: int = 10, stopwords: list[str] | None = None) -> Column:
     """Words of a file's name and path of three characters and more, first seen first."""
-    stop = F.array(*[F.lit(w) for w in (STOPWORDS if stopwords is None else stopwords)])
+    stop = STOPWORDS if stopwords is None else stopwords
     parts = F.split(F.lower(F.concat_ws(" ", name, path)), r"[\\/._\-\s]+")
-    return F.slice(F.array_distinct(F.filter(parts, lambda w: (F.length(w) >= 3) & ~F.array_contains(stop, w))), 1, most)
+    return F.slice(F.array_distinct(F.filter(parts, lambda w: (F.length(w) >= 3) & ~w.isin(stop))), 1, most)
 
 
 def capitalised_terms(text: Column) -> Column:

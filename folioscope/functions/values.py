@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # How files begin, as hex.
-MAGIC = [("89504e47", ".png"), ("ffd8ff", ".jpg"), ("474946", ".gif"), ("25504446", ".pdf"), ("494433", ".mp3"), ("fffb", ".mp3"), ("4f676753", ".ogg")]
+MAGIC = [("89504e470d0a1a0a", ".png"), ("ffd8ff", ".jpg"), ("474946383761", ".gif"), ("474946383961", ".gif"), ("255044462d", ".pdf"), ("494433", ".mp3"), ("4f676753", ".ogg")]
+FORMS = [("57454250", ".webp"), ("57415645", ".wav"), ("41564920", ".avi")]
+MIME = {"image/png": ".png", "image/jpeg": ".jpg", "image/gif": ".gif", "image/webp": ".webp", "application/pdf": ".pdf", "audio/mpeg": ".mp3", "audio/wav": ".wav", "audio/x-wav": ".wav", "audio/ogg": ".ogg", "video/mp4": ".mp4", "video/x-msvideo": ".avi"}
 POINTER = r"(?:file-service://|sediment://)(file[-_][A-Za-z0-9_-]+)"
 
 
@@ -24,8 +28,11 @@ def any_date(text: Column) -> Column:
 
 
 def iso_minutes(at: Column, zone: str = "UTC") -> Column:
-    """Local time to the minute with its offset."""
-    return F.date_format(F.from_utc_timestamp(at, zone), "yyyy-MM-dd'T'HH:mm") if zone != "UTC" else F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm"), F.lit("+00:00"))
+    """Local time to the minute with the zone's offset at that time. The session's own zone does not matter."""
+    local = F.convert_timezone(F.current_timezone(), F.lit(zone), at.cast("timestamp_ntz"))
+    shift = F.unix_seconds(F.from_utc_timestamp(at, zone)) - F.unix_seconds(at)
+    offset = F.concat(F.when(shift < 0, "-").otherwise("+"), F.format_string("%02d:%02d", F.floor(F.abs(shift) / 3600), F.floor(F.abs(shift) % 3600 / 60)))
+    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm"), offset)
 
 
 def resolved_date(candidates: list[tuple[str, Column]], file_name: Column, modified: Column) -> tuple[Column, Column]:
@@ -81,12 +88,18 @@ def heading_level(half_points: Column) -> Column:
 
 
 def sniffed_extension(content: Column) -> Column:
-    """A file's extension by its first bytes."""
+    """A file's extension by its first bytes; null where they are none that is known."""
     head = F.lower(F.hex(F.substring(content, 1, 12)))
-    found = F.when(head.startswith("52494646"), F.when(F.substring(head, 17, 8) == "57454250", ".webp").otherwise(".wav"))
-    for magic, ext in MAGIC:
-        found = found.when(head.startswith(magic), ext)
-    return found.when(F.substring(head, 9, 8) == "66747970", ".mp4").otherwise(".bin")
+    tests = [(head.startswith("52494646") & (F.substring(head, 17, 8) == form), ext) for form, ext in FORMS]
+    tests += [(head.startswith(magic), ext) for magic, ext in MAGIC]
+    return reduce(lambda c, t: c.when(*t), [*tests[1:], (F.substring(head, 9, 8) == "66747970", ".mp4")], F.when(*tests[0]))
+
+
+def asset_extension(name: Column, mime: Column, content: Column) -> Column:
+    """An extension for a stored asset: that of its name, else of its media type, else of its first bytes, else ``.bin``."""
+    own = F.nullif(F.lower(F.regexp_extract(name, r".(\.[A-Za-z0-9]{1,8})$", 1)), F.lit(""))
+    typed = F.element_at(F.create_map(*[F.lit(x) for pair in MIME.items() for x in pair]), F.lower(F.trim(F.substring_index(mime, ";", 1))))
+    return F.coalesce(own, typed, sniffed_extension(content), F.lit(".bin"))
 
 
 def data_url_bytes(url: Column) -> Column:

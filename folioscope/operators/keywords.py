@@ -34,7 +34,8 @@ def with_document_frequency(tf: DataFrame, df: DataFrame, n: int) -> DataFrame:
     least = max(2, int(n * HOT_SHARE))
     hot, cold = df.filter(F.col("df") >= least), df.filter(F.col("df") < least)
     first = tf.join(F.broadcast(hot), "term", "left")
-    return first.filter(F.col("df").isNotNull()).unionByName(first.filter(F.col("df").isNull()).drop("df").join(cold, "term"))
+    rest = first.filter(F.col("df").isNull()).drop("df").join(cold, "term")
+    return first.filter(F.col("df").isNotNull()).unionByName(rest)
 
 
 def weight(tf: Column, df: Column, n: int) -> Column:
@@ -73,12 +74,18 @@ def keywords_by_group(docs: DataFrame, group: str, n: int = 10) -> DataFrame:
 
 
 def judged(docs: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
-    """(doc_id, term, score, rank, verdict): the ranked terms with headroom, judged as words or debris.
+    """(doc_id, term, score, rank, wanted, verdict): the ranked terms with headroom, judged as words or debris.
 
     lexicon: (term), lower case; a term counts as known with or without its hyphens.
     """
-    sized = docs.select("doc_id", text.keyword_count(text.word_count(F.col("text"))).alias("wanted"))
-    first = ranked(tfidf(docs).join(sized, "doc_id"), F.col("wanted") + HEADROOM)
+    # one pass over the texts: terms, the number of words, and which terms stand with a capital within a sentence
+    bare = docs.select("doc_id", text.strip_code(F.col("text")).alias("bare"))
+    found = bare.select("doc_id", text.keyword_count(F.size(text.words(F.col("bare")))).alias("wanted"), F.explode(text.tokens(F.col("bare"))).alias("term"))
+    tf = materialize(found.groupBy("doc_id", "wanted", "term").agg(F.count("*").alias("tf")), "tf")
+    df = materialize(document_frequency(tf), "df")
+    n = tf.select("doc_id").distinct().count()
+    scored = with_document_frequency(tf, df, n).withColumn("score", weight(F.col("tf"), F.col("df"), n))
+    first = ranked(scored, F.col("wanted") + HEADROOM)
     known = F.lit(False)
     if lexicon is not None:
         # a lexicon is as large as its files: the planner decides how to join it

@@ -95,6 +95,13 @@ def test_dates_numbers_bytes(spark):
         assert _one(spark, values.sheet_serial(F.lit(given))) == want
     assert [_one(spark, values.column_letters(F.lit(n))) for n in (1, 26, 27, 703)] == ["A", "Z", "AA", "AAA"]
     assert _one(spark, values.column_number(F.lit("AAA"))) == 703
+    for head, ext in {b"\x89PNG\r\n\x1a\nxxxx": ".png", b"\xff\xd8\xff\xe0": ".jpg", b"GIF87axx": ".gif", b"GIF89axx": ".gif", b"ID3\x03": ".mp3", b"OggSxx": ".ogg", b"RIFF1234WEBPxx": ".webp", b"RIFF1234WAVExx": ".wav", b"RIFF1234AVI xx": ".avi", b"xxxxftypisom": ".mp4", b"RIFF1234NONE": None, b"plain": None}.items():
+        assert _one(spark, values.sniffed_extension(F.lit(head))) == ext, head
+    assert _one(spark, values.asset_extension(F.lit("a.JPG"), F.lit(None).cast("string"), F.lit(b"x"))) == ".jpg"
+    assert _one(spark, values.asset_extension(F.lit("a"), F.lit("image/png; q=1"), F.lit(b"x"))) == ".png"
+    assert _one(spark, values.asset_extension(F.lit("a"), F.lit("x/y"), F.lit(b"x"))) == ".bin"
+    assert _one(spark, values.iso_minutes(F.lit("2026-07-01T12:00:00Z").cast("timestamp"), "America/New_York")) == "2026-07-01T08:00-04:00"
+    assert _one(spark, values.iso_minutes(F.lit("2026-01-01T12:00:00Z").cast("timestamp"), "Asia/Kolkata")) == "2026-01-01T17:30+05:30"
     assert _one(spark, values.sniffed_extension(F.lit(b"%PDF-1.7 xxxx"))) == ".pdf"
     assert bytes(_one(spark, values.data_url_bytes(F.lit("data:text/plain;base64,aGk=")))) == b"hi"
     assert _one(spark, values.data_url_bytes(F.lit("http://x"))) is None
