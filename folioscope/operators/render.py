@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions import text
@@ -42,9 +42,13 @@ def rendered_conversations(messages: DataFrame, most: int = 100_000) -> DataFram
     """
     placed = trees.branch_table(messages)
     rendered = messages.filter("conv_uuid is not null and msg_uuid is not null").dropDuplicates(["conv_uuid", "msg_uuid"]).select("conv_uuid", "msg_uuid", message(F.col("sender"), F.col("created_at"), F.col("text"), F.col("content")).alias("markdown"))
-    full = placed.join(rendered, ["conv_uuid", "msg_uuid"])
+    # one running place over all branches, so that parts hold as many messages whatever branches a conversation has
+    sizes = placed.groupBy("conv_uuid", "branch_no").agg(F.count("*").alias("n"))
+    above = Window.partitionBy("conv_uuid").orderBy("branch_no").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("conv_uuid", "branch_no", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("start"))
+    full = placed.join(rendered, ["conv_uuid", "msg_uuid"]).join(starts, ["conv_uuid", "branch_no"])
     head = F.when((F.col("branch_no") > 0) & (F.col("place") == 0), F.concat(F.lit("# Inactive branch "), F.col("branch_no").cast("string"), F.lit("\n\n"))).otherwise("")
-    parts = full.select("conv_uuid", F.floor(F.col("place") / most).cast("int").alias("part_no"), F.struct("branch_no", "place", F.concat(head, "markdown").alias("shown")).alias("m"))
+    parts = full.select("conv_uuid", F.floor((F.col("start") + F.col("place")) / most).cast("int").alias("part_no"), F.struct("branch_no", "place", F.concat(head, "markdown").alias("shown")).alias("m"))
     grouped = parts.groupBy("conv_uuid", "part_no").agg(F.array_sort(F.collect_list("m")).alias("ms"))
     return grouped.select("conv_uuid", "part_no", F.size("ms").alias("messages"), F.size(F.array_distinct(F.transform("ms", lambda m: m["branch_no"]))).alias("branches"), F.array_join(F.transform("ms", lambda m: m["shown"]), "\n\n").alias("markdown"))
 

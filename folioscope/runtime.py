@@ -9,6 +9,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -52,10 +53,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+#: Tables of up to so many bytes may be spread over the cores by a shuffle; larger ones are read as they are split.
+SMALL_BYTES = 1 << 30
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """A table for work on every row: one of fewer partitions than cores, a single small file say, goes over all of them."""
+    """A table for work on every row: a small one of fewer partitions than cores, a single file say, goes over all of them."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > SMALL_BYTES or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
+#: A key of this share of all rows is hot; there are at most 1 / HOT_SHARE of them, whatever the collection's size.
+HOT_SHARE = 0.001
+
+
+def with_lookup(rows: DataFrame, lookup: DataFrame, keys: list[str], total: int, weight: str = "rows") -> DataFrame:
+    """rows joined with lookup, which has each key once and tells by ``weight`` how many rows have it; that column is dropped.
+
+    Hot keys, of which there is a bounded number, are sent to their rows; the others meet by shuffle, so no task gets a hot key's rows.
+    """
+    least = max(2, int(total * HOT_SHARE))
+    hot, cold = lookup.filter(F.col(weight) >= least).drop(weight), lookup.filter(F.col(weight) < least).drop(weight)
+    return rows.join(F.broadcast(hot), keys).unionByName(rows.join(cold, keys))
 
 
 def slices(spark: SparkSession) -> int:

@@ -14,10 +14,8 @@ from folioscope.sources.markup import table_markdown
 W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 S = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
-DATE_FORMATS = {*range(14, 23), *range(45, 48)}
+DATE_FORMATS = {*range(14, 18), 22, *range(27, 32), 36, *range(45, 48), *range(50, 59)}
 MONO = re.compile(r"courier|consolas|mono|menlo", re.I)
-#: Cells that a merged range or a grid may be spread over.
-MOST_CELLS = 200_000
 
 
 def _part(archive: zipfile.ZipFile, name: str) -> ElementTree.Element | None:
@@ -186,7 +184,8 @@ def cell_place(ref: str) -> tuple[int, int]:
 
 
 def serial_date(serial: float) -> str:
-    if serial < 1:
+    """A day number as text; empty below 1 and beyond the calendar."""
+    if not 1 <= serial < 2_958_466:
         return ""
     at = datetime(1899, 12, 30) + timedelta(days=int(serial), seconds=round((serial - int(serial)) * 86_400))
     return at.strftime("%Y-%m-%d" if serial == int(serial) else "%Y-%m-%d %H:%M:%S")
@@ -237,12 +236,14 @@ def workbook_cells(data: bytes) -> tuple[dict[str, str], list[tuple[str, bool, i
                 value = raw
             if value or formula:
                 found[cell_place(c.get("r", ""))] = value, formula
+        rows_used, columns_used = max((r for r, _ in found), default=0), max((c for _, c in found), default=0)
         for merge in root.iter(S + "mergeCell"):
             first, _, last = merge.get("ref", "").partition(":")
             (r1, c1), (r2, c2) = cell_place(first), cell_place(last or first)
-            if (r1, c1) in found and (r2 - r1 + 1) * (c2 - c1 + 1) <= MOST_CELLS:
-                for r in range(r1, r2 + 1):
-                    for k in range(c1, c2 + 1):
+            if (r1, c1) in found:
+                # a merged range reaches no further than the rows and columns in use, so that whole merged columns stay bounded
+                for r in range(r1, min(r2, rows_used) + 1):
+                    for k in range(c1, min(c2, columns_used) + 1):
                         found.setdefault((r, k), (found[r1, c1][0], ""))
         cells += [(name, hidden, r, k, v, f) for (r, k), (v, f) in sorted(found.items())]
     return {"source": "xlsx", "sheet_count": str(len(names)), "sheet_names": ", ".join(names), **core_properties(archive)}, cells
@@ -259,9 +260,12 @@ def xlsx_to_markdown(data: bytes) -> tuple[dict[str, str], str]:
         rows, columns = sorted({r for r, _ in found}), sorted({c for _, c in found})
         span = range(columns[0], columns[-1] + 1)
         escape = lambda v: v.replace("\\", "\\\\").replace("|", "\\|").replace("\n", "<br>")
-        # empty rows inside the grid are shown while the grid stays of a reasonable size
-        shown = range(rows[0], rows[-1] + 1) if (rows[-1] - rows[0] + 1) * len(span) <= MOST_CELLS else rows
-        grid = [["#", *map(column_letters, span)], *[[str(r), *[escape(found.get((r, c), ("", ""))[0]) for c in span]] for r in shown]]
+        grid = [["#", *map(column_letters, span)]]
+        for before, r in zip([rows[0], *rows], rows):
+            # a gap of empty rows is one marked row, however long
+            if r - before > 1:
+                grid.append([f"{before + 1}-{r - 1}" if r - before > 2 else str(r - 1), *[""] * len(span)])
+            grid.append([str(r), *[escape(found.get((r, c), ("", ""))[0]) for c in span]])
         out.append(f"## Sheet: {name}{' (hidden)' if hidden else ''}\n\n{table_markdown(grid)}")
         formulas = [f"- `{column_letters(c)}{r}`: `={f}`" for (r, c), (_, f) in sorted(found.items()) if f]
         if formulas:

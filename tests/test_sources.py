@@ -105,7 +105,7 @@ def test_chat_exports(spark, tmp_path):
     table = convert.files(spark, str(tmp_path))
     assert sorted(tuple(r) for r in convert.export_roots(table).collect()) == [("e", "messages"), ("g", "nodes")]
     assert [(r["conv_uuid"], r["sender"], r["content"][0]["block_type"]) for r in convert.message_conversations(table.filter("path like 'e/%'")).collect()] == [("c", "human", "text")]
-    assert sorted((r["node_id"], r["text"], r["is_current"]) for r in convert.node_conversations(table.filter("path like 'g/%'")).collect()) == [("a", None, False), ("b", "x\ny", True)]
+    assert sorted((r["node_id"], r["parts"], r["is_current"]) for r in convert.node_conversations(table.filter("path like 'g/%'")).collect()) == [("a", None, False), ("b", ["x", "y"], True)]
 
 
 def test_word_lists(spark, tmp_path):
@@ -123,12 +123,28 @@ def test_stream_takes_each_export_once(spark, tmp_path):
     seen = []
     for _ in range(2):
         stream = spark.readStream.schema("export_key string, fingerprint string").parquet(str(source))
-        take_in(stream, str(tmp_path / "ledger"), lambda df: seen.extend(r["export_key"] for r in df.collect()), str(tmp_path / "cp")).awaitTermination()
+        take_in(stream, str(tmp_path / "ledger"), lambda df, name: seen.extend(r["export_key"] for r in df.collect()), str(tmp_path / "cp")).awaitTermination()
         spark.createDataFrame([("e2", "f2"), ("e3", "f3")], "export_key string, fingerprint string").coalesce(1).write.mode("append").parquet(str(source))
     assert sorted(seen) == ["e1", "e2", "e3"]
     stream = spark.readStream.schema("export_key string, fingerprint string").parquet(str(source))
-    take_in(stream, str(tmp_path / "ledger"), lambda df: seen.extend(r["export_key"] for r in df.collect()), str(tmp_path / "cp")).awaitTermination()
+    take_in(stream, str(tmp_path / "ledger"), lambda df, name: seen.extend(r["export_key"] for r in df.collect()), str(tmp_path / "cp")).awaitTermination()
     assert sorted(seen) == ["e1", "e2", "e3"]
+    # an intake that fails after it was recorded is handed over again, under the same name
+    spark.createDataFrame([("e4", "f4")], "export_key string, fingerprint string").coalesce(1).write.mode("append").parquet(str(source))
+    tries = []
+
+    def failing(df, name):
+        tries.append((name, sorted(r["export_key"] for r in df.collect())))
+        if len(tries) == 1:
+            raise RuntimeError("lost")
+
+    for _ in range(2):
+        stream = spark.readStream.schema("export_key string, fingerprint string").parquet(str(source))
+        try:
+            take_in(stream, str(tmp_path / "ledger"), failing, str(tmp_path / "cp")).awaitTermination()
+        except Exception:
+            pass
+    assert len(tries) == 2 and tries[0] == tries[1] and tries[0][1] == ["e4"]
     assert windowed(spark.createDataFrame([], "ts timestamp, user_id long, event_type string, value double")).count() == 0
 
 
