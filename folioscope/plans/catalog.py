@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.functions import artifacts, text, values
-from folioscope.operators import audit, duplicates, exports, inventory, keywords, provenance, render, replay, schema_drift, trees
+from folioscope.operators import assets, audit, catalogue, duplicates, exports, inventory, keywords, nodes, provenance, render, replay, schema_drift, trees
 from folioscope.runtime import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,8 +79,10 @@ def _vetoed(s: SparkSession, d: str) -> DataFrame:
 
 
 def _completeness(s: SparkSession, d: str) -> DataFrame:
-    raw = _files(s, d).select("path", "size", "sha256")
-    kept = _digests(s, d).filter("word_count > 0 and keywords is not null").select(F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("source_file"), F.lit(None).cast("string").alias("source_path"), "source_bytes", "source_sha256")
+    """Files that conversations wrote against the digests and the documents: by path, name, source and content."""
+    written = table(s, d, "file_ops").filter("file_path is not null").groupBy(F.col("file_path").alias("path")).agg(F.max(F.octet_length("text")).cast("long").alias("size"), F.max(F.sha2("text", 256)).alias("sha256"))
+    raw = written.unionByName(_files(s, d).select("path", "size", "sha256"))
+    kept = _digests(s, d).select(F.concat("source_path", F.lit(".md")).alias("path"), text.base_name(F.col("source_path")).alias("source_file"), "source_path", "source_bytes", F.when(F.col("source") != "pdf", F.col("source_sha256")).alias("source_sha256"))
     return audit.unaccounted(raw, kept).select("path")
 
 
@@ -99,7 +101,7 @@ def _stale(s: SparkSession, d: str) -> DataFrame:
 def _renames(s: SparkSession, d: str) -> DataFrame:
     files = _files(s, d).select("path", "size", "sha256")
     moved = files.select(F.concat(F.lit("moved/"), "path").alias("path"), "size", "sha256")
-    return audit.renames(moved.filter(F.col("size") % 2 == 0), files)
+    return audit.renames(moved, files)
 
 
 def _projects_as_names(s: SparkSession, d: str) -> DataFrame:
@@ -115,8 +117,10 @@ def _messages(s: SparkSession, d: str) -> DataFrame:
 
 
 def _ledger(s: SparkSession, d: str) -> DataFrame:
-    now = exports.fingerprints(_messages(s, d))
-    known = exports.fingerprints(_messages(s, d).filter("exported_at < timestamp'2026-01-01'"))
+    """Exports of the last 60 days against a ledger of what was delivered before."""
+    messages = _messages(s, d)
+    last = messages.agg(F.max("exported_at") - F.expr("interval 60 days")).first()[0]
+    now, known = exports.fingerprints(messages), exports.fingerprints(messages.filter(F.col("exported_at") < F.lit(last)))
     return exports.ledger_new(now, known).select("export_key")
 
 
@@ -176,8 +180,15 @@ def _spread_numbers(s: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", values.sheet_serial(serial).alias("serial_date"), letters.alias("letters"), values.column_number(letters).cast("long").alias("number"), values.heading_level(F.col("n_chars") % 60).alias("level"))
 
 
+#: Beginnings of files, each of which some documents get in front: every form that is told apart, and some that are none.
+HEADS = [
+    "89504e470d0a1a0a", "ffd8ffe0", "474946383761", "474946383961", "255044462d312e37", "49443303", "4f676753", "524946460000000057454250", "524946460000000057415645", "524946460000000041564920", "52494646000000004e4f4e45", "000000186674797069736f6d", "89504e47", "00",
+]
+
+
 def _bytes(s: SparkSession, d: str) -> DataFrame:
-    content = F.to_binary(F.concat(F.lit("89504e47"), F.lower(F.hex(F.encode(F.coalesce("text", F.lit("")), "utf-8")))), F.lit("hex"))
+    head = F.element_at(F.array(*map(F.lit, HEADS)), (F.pmod(F.col("n_chars"), F.lit(len(HEADS))) + 1).cast("int"))
+    content = F.to_binary(F.concat(head, F.lower(F.hex(F.encode(F.coalesce("text", F.lit("")), "utf-8")))), F.lit("hex"))
     url = F.concat(F.lit("data:image/png;base64,"), F.base64(F.encode(F.coalesce("text", F.lit("")), "utf-8")))
     return _documents(s, d).select("doc_id", values.sniffed_extension(content).alias("extension"), F.sha2(F.encode(F.coalesce("text", F.lit("")), "utf-8"), 256).alias("sha256"), F.length(values.data_url_bytes(url)).cast("long").alias("payload"))
 
@@ -187,6 +198,58 @@ def _pointer_ids(s: SparkSession, d: str) -> DataFrame:
     return _messages(s, d).select("row_id", F.array_join(values.pointers(made), ",").alias("ids"))
 
 
+def _nodes(s: SparkSession, d: str) -> DataFrame:
+    return nodes.from_messages(_messages(s, d))
+
+
+def _asset_files(s: SparkSession, d: str) -> DataFrame:
+    """A file for each message of a project, its id in the name."""
+    name = F.concat(F.lit("assets/"), F.lower(F.trim(F.coalesce("sender", F.lit("none")))), F.lit("/file-"), F.substring(F.replace("msg_uuid", F.lit("-")), 1, 12), F.lit("-"), F.col("row_id").cast("string"), F.when(F.col("text").isNull(), ".json").otherwise(".dat"))
+    return _messages(s, d).filter("project_uuid is not null").select(F.col("project_uuid").alias("root"), name.alias("path"))
+
+
+def _block_parts(s: SparkSession, d: str) -> DataFrame:
+    """The blocks of all messages as object parts."""
+    blocks = _messages(s, d).select("conv_uuid", "msg_uuid", F.explode("content").alias("b"))
+    part = F.to_json(F.struct(F.col("b.block_type").alias("content_type"), F.col("b.text").alias("text"), F.col("b.tool_name").alias("tool_name")))
+    return blocks.select(F.col("conv_uuid").alias("conv_id"), F.col("msg_uuid").alias("node_id"), F.lit("part").alias("source"), part.alias("part"))
+
+
+def _asset_references(s: SparkSession, d: str) -> DataFrame:
+    """Each message refers to its parent's file."""
+    pointer = F.to_json(F.struct(F.concat(F.lit("file-service://file-"), F.substring(F.replace("parent_uuid", F.lit("-")), 1, 12)).alias("asset_pointer")))
+    parts = _messages(s, d).filter("parent_uuid is not null and conv_uuid is not null").select(F.col("conv_uuid").alias("conv_id"), F.lit("part").alias("source"), pointer.alias("part"))
+    return assets.referenced(parts)
+
+
+def _split_assets(s: SparkSession, d: str) -> DataFrame:
+    buckets = _messages(s, d).filter("conv_uuid is not null").groupBy(F.col("conv_uuid").alias("conv_id")).agg(F.coalesce(F.min("project_uuid"), F.lit("_ungrouped")).alias("bucket"))
+    return assets.split_assets(_asset_references(s, d), assets.asset_index(_asset_files(s, d)), buckets)
+
+
+def _document_files(s: SparkSession, d: str) -> DataFrame:
+    docs = _documents(s, d).dropDuplicates(["doc_id"])
+    return docs.select(F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.when(F.col("source").startswith("pdf"), ".pdf").otherwise(".md")).alias("path"), F.col("n_chars").cast("long").alias("size"), F.col("indexed_at").alias("modified"), F.when(~F.col("source").startswith("pdf"), F.col("text")).alias("content"), F.array(F.col("lang")).alias("keywords"))
+
+
+def _stamped(s: SparkSession, d: str) -> DataFrame:
+    docs = _document_files(s, d).filter("content is not null")
+    made = catalogue.stamped(docs, {"title": text.yaml_quote(text.base_name(F.col("path"))), "date": text.yaml_quote(F.lit("2026-01-01")), "keywords": F.lit("[]")})
+    return made.select("path", F.array_join("missing", ",").alias("missing"), "changed", catalogue.described(F.col("content")).alias("complete"))
+
+
+def _filed(s: SparkSession, d: str) -> DataFrame:
+    found = _found_manifests(s, d)
+    files = table(s, d, "manifest_files").join(found.filter("valid").select("file_id", F.col("file_project").alias("project")), "file_id")
+    stems = table(s, d, "projects").select(F.lower("project_uuid").alias("project"), F.concat(F.lit("projects/"), text.short_uuid(F.col("project_uuid"))).alias("stem"))
+    return catalogue.filed_manifests(files, exports.manifest_problems(found), found.filter("valid").select(F.col("file_project").alias("project")), stems).select("path", F.md5("text").alias("digest"))
+
+
+def _kept_documents(s: SparkSession, d: str) -> DataFrame:
+    written = table(s, d, "file_ops").filter("op = 'create' and conv_uuid is not null").select(F.col("conv_uuid").alias("project"), F.lit(None).cast("string").alias("doc_uuid"), F.col("file_path").alias("name"), F.struct("seq", "op_id").alias("seen_at"), F.md5("text").alias("digest"))
+    return catalogue.kept_documents(written).select("project", "name", "digest")
+
+
 def _common_folders(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "file_ops").filter("file_path is not null").groupBy(text.extension(text.base_name(F.col("file_path"))).alias("extension")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "extension").limit(15)
 
@@ -237,6 +300,7 @@ def queries() -> dict[str, Query]:
         "artifact_soft": _artifacts(artifacts.soft_reason),
         "provenance_structure": _per_document(lambda t: dict(structure=provenance.structure(t, F.col("source")), roles=_joined(F.array_sort(F.array_distinct(provenance.roles(t)))))),
         "structure_tally": lambda s, d: provenance.structure_tally(_documents(s, d)),
+        "weighting": lambda s, d: provenance.weighting(_documents(s, d)),
         "turn_spans": lambda s, d: provenance.turns(_documents(s, d)).select("doc_id", "turn_no", "role", "kind", F.md5("segment").alias("digest")),
         "weighted_terms": lambda s, d: provenance.weighted_terms(_documents(s, d)),
         "keywords_weighted": lambda s, d: provenance.keywords_weighted(_documents(s, d)),
@@ -266,6 +330,19 @@ def queries() -> dict[str, Query]:
         "collapse_reasoning": _reasoning,
         "conversation_counters": _counters,
         "replayed_files": lambda s, d: replay.rebuilt_files(table(s, d, "file_ops")),
+        "node_blocks": lambda s, d: nodes.rendered_nodes(_nodes(s, d)).select("conv_id", "node_id", F.md5("block").alias("digest")),
+        "node_conversations": lambda s, d: nodes.rendered_conversations(_nodes(s, d)).select("conv_id", "active_message_count", "total_node_count", "reasoning_step_count", "is_voice", "last_message_time"),
+        "node_bodies": lambda s, d: nodes.rendered_conversations(_nodes(s, d)).select("conv_id", F.md5("body").alias("digest")),
+        "asset_index": lambda s, d: assets.asset_index(_asset_files(s, d)),
+        "asset_counts": lambda s, d: assets.index_counts(_asset_files(s, d)),
+        "asset_resolution": lambda s, d: assets.resolved(_asset_references(s, d), assets.asset_index(_asset_files(s, d))),
+        "asset_profile": lambda s, d: assets.profile(_block_parts(s, d)),
+        "split_assets": _split_assets,
+        "catalogue_states": lambda s, d: catalogue.catalogued(_document_files(s, d)).select("path", "record_path", "status"),
+        "stamped_documents": _stamped,
+        "manifest_shapes": lambda s, d: table(s, d, "manifest_files").select("file_id", catalogue.manifest_shaped(F.col("raw_json")).alias("manifest"), catalogue.project_shaped(F.col("raw_json")).alias("project")),
+        "filed_manifests": _filed,
+        "kept_documents": _kept_documents,
         "rendered_messages": lambda s, d: render.rendered_messages(_messages(s, d)).select("row_id", F.md5("markdown").alias("digest")),
         "rendered_conversations": lambda s, d: render.rendered_conversations(_messages(s, d)).select("conv_uuid", "part_no", "messages", "branches", F.md5("markdown").alias("digest")),
         "embedded_manifests": lambda s, d: render.embedded_manifests(table(s, d, "file_ops")),

@@ -6,6 +6,8 @@ from folioscope.functions.artifacts import PAIRS, TRIPLE
 from folioscope.functions.text import STOPWORDS
 from folioscope.operators.audit import TOOL_FILES
 from folioscope.operators.inventory import ACCOUNT_FILES, MEDIA
+from folioscope.operators.provenance import MACHINES
+from folioscope.plans.catalog import HEADS
 
 
 def _list(items: list[str]) -> str:
@@ -49,16 +51,19 @@ _LABELS = rf"list_transform(regexp_extract_all({_CLASSIFIABLE}, '(?m)^[ \t]{{0,3
 _STRUCTURE = f"""CASE WHEN list_has_any({_ROLES}, ['Human', 'User']) AND list_has_any({_ROLES}, ['Assistant', 'System', 'Tool']) THEN 'turn-structured'
  WHEN len(list_filter(list_distinct({_LABELS}), lambda n: len(list_filter({_LABELS}, lambda m: m = n)) >= 2)) >= 2 THEN 'speaker-labelled'
  WHEN trim(coalesce(source, '')) <> '' AND NOT regexp_matches(source, '(?i)chatgpt|claude|gpt|openai|anthropic') THEN 'single-voice' ELSE 'unknown' END"""
+_NAMES = f"list_distinct({_LABELS})"
+_PEOPLE = f"list_filter({_NAMES}, lambda n: lower(n) NOT IN ({_list(MACHINES)}))"
 _TURNS = rf"""
-src AS (SELECT doc_id, {_CLASSIFIABLE} AS body FROM documents WHERE {_STRUCTURE} = 'turn-structured'),
-marked AS (SELECT doc_id, regexp_replace(body, '(?m)^(##[ \t]+(?:Human|User|Assistant|System|Tool)\b)', chr(1) || '\1', 'g') AS body FROM src),
-parts AS (SELECT doc_id, generate_subscripts(p, 1) AS place, unnest(p) AS part FROM (SELECT doc_id, string_split(body, chr(1)) AS p FROM marked)),
-roled AS (SELECT doc_id, place, part, nullif(regexp_extract(part, '^##[ \t]+(Human|User|Assistant|System|Tool)\b', 1), '') AS role FROM parts),
+src AS (SELECT doc_id, {_CLASSIFIABLE} AS body, {_STRUCTURE} AS shape, CASE WHEN len({_PEOPLE}) = 1 THEN {_PEOPLE} ELSE [] END AS own FROM documents),
+marked AS (SELECT doc_id, shape, own, CASE WHEN shape = 'turn-structured' THEN regexp_replace(body, '(?m)^(##[ \t]+(?:Human|User|Assistant|System|Tool)\b)', chr(1) || '\1', 'g')
+  ELSE regexp_replace(body, '(?m)^([ \t]{{0,3}}\*\*(?:[A-Z][A-Za-z0-9 .''’-]{{0,39}}):\*\*)', chr(1) || '\1', 'g') END AS body FROM src WHERE shape = 'turn-structured' OR shape = 'speaker-labelled' AND len(own) > 0),
+parts AS (SELECT doc_id, shape, own, generate_subscripts(p, 1) AS place, unnest(p) AS part FROM (SELECT doc_id, shape, own, string_split(body, chr(1)) AS p FROM marked)),
+roled AS (SELECT *, nullif(CASE WHEN shape = 'turn-structured' THEN regexp_extract(part, '^##[ \t]+(Human|User|Assistant|System|Tool)\b', 1) ELSE trim(regexp_extract(part, '^[ \t]{{0,3}}\*\*([A-Z][A-Za-z0-9 .''’-]{{0,39}}):\*\*', 1)) END, '') AS role FROM parts),
 turns AS (SELECT doc_id, CASE WHEN role IS NULL THEN 0 ELSE sum((role IS NOT NULL)::INT) OVER (PARTITION BY doc_id ORDER BY place) END::INT AS turn_no, role,
-  CASE WHEN role IS NULL THEN 'neutral' WHEN role IN ('Human', 'User') THEN 'subject' ELSE 'assistant' END AS kind,
-  regexp_replace(part, '^##[ \t]+(?:Human|User|Assistant|System|Tool)\b[^\n]*', '') AS segment FROM roled WHERE role IS NOT NULL OR part <> ''),
+  CASE WHEN role IS NULL THEN 'neutral' WHEN CASE WHEN shape = 'turn-structured' THEN role IN ('Human', 'User') ELSE list_contains(own, role) END THEN 'subject' ELSE 'assistant' END AS kind,
+  CASE WHEN role IS NULL THEN part WHEN shape = 'turn-structured' THEN regexp_replace(part, '^##[ \t]+(?:Human|User|Assistant|System|Tool)\b[^\n]*', '') ELSE regexp_replace(part, '^[ \t]{{0,3}}\*\*[A-Z][A-Za-z0-9 .''’-]{{0,39}}:\*\*', '') END AS segment FROM roled WHERE role IS NOT NULL OR part <> ''),
 wt AS (SELECT doc_id, term, count(*) AS tf, bool_or(own) AS in_subject, count(*) * CASE WHEN bool_or(own) THEN 128 ELSE 1 END AS weighted
-  FROM (SELECT doc_id, kind = 'subject' AS own, lower(unnest({_WORDS.format('segment')})) AS term FROM turns) WHERE len(term) >= 4 AND term NOT IN ({_STOP}) GROUP BY doc_id, term)
+  FROM (SELECT doc_id, kind = 'subject' AS own, lower(unnest({_WORDS.format(_code('segment'))})) AS term FROM turns) WHERE len(term) >= 4 AND term NOT IN ({_STOP}) GROUP BY doc_id, term)
 """
 _NORMAL = f"list_transform({_WORDS.format(_code(f'regexp_replace({_BODY}, {chr(39)}{_INDEX}{chr(39)}, {chr(39)} {chr(39)}, {chr(39)}g{chr(39)})'))}, lambda w: lower(w))"
 
@@ -97,6 +102,25 @@ _DATE = r"""CASE WHEN regexp_matches(trim(doc_date), '^D:\d{8}') THEN try_cast(r
  WHEN regexp_matches(trim(doc_date), '^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$') THEN try_cast(regexp_replace(trim(doc_date), '^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2})([+-Z].*)?$', '\1 \2:00\3') AS TIMESTAMPTZ) END"""
 _TOTALS = "count(*) AS files"
 
+_NODES = """
+nd AS (SELECT conv_uuid AS conv_id, msg_uuid AS node_id, any_value(nullif(parent_uuid, '00000000-0000-4000-8000-000000000000')) AS parent, any_value(created_at) AS made, any_value(text) AS text,
+ any_value(CASE WHEN lower(trim(coalesce(sender, ''))) IN ('human', 'user') THEN 'user' WHEN lower(trim(coalesce(sender, ''))) IN ('system', 'tool') THEN lower(trim(sender)) ELSE 'assistant' END) AS role,
+ any_value(list_filter(list_transform(coalesce(content, []), lambda b: b.text), lambda x: x IS NOT NULL)) AS said FROM chat_messages WHERE conv_uuid IS NOT NULL AND msg_uuid IS NOT NULL GROUP BY 1, 2),
+sh AS (SELECT *, regexp_replace(CASE WHEN len(said) > 0 THEN array_to_string(said, chr(10)) ELSE coalesce(text, '') END, '^\s+|\s+$', '', 'g') AS shown FROM nd),
+blocks AS (SELECT *, CASE WHEN shown = '' AND role = 'system' THEN NULL WHEN shown = '' AND role = 'assistant' THEN chr(1)
+ ELSE '## ' || upper(role[1]) || role[2:] || coalesce(chr(10) || '*' || strftime(made, '%Y-%m-%d %H:%M:%S') || '*', '') || CASE WHEN shown <> '' THEN chr(10) || chr(10) || shown ELSE '' END END AS block FROM sh)
+"""
+_ASSETS = """
+aa AS (SELECT project_uuid AS root, 'assets/' || lower(trim(coalesce(sender, 'none'))) || '/file-' || substr(replace(msg_uuid, '-', ''), 1, 12) || '-' || row_id || CASE WHEN text IS NULL THEN '.json' ELSE '.dat' END AS path, 'file-' || substr(replace(msg_uuid, '-', ''), 1, 12) AS asset_id FROM chat_messages WHERE project_uuid IS NOT NULL),
+af AS (SELECT * FROM aa WHERE path NOT LIKE '%.json')
+"""
+_REFERENCES = "refs AS (SELECT DISTINCT conv_uuid AS conv_id, 'file-' || substr(replace(parent_uuid, '-', ''), 1, 12) AS asset_id FROM chat_messages WHERE parent_uuid IS NOT NULL AND conv_uuid IS NOT NULL)"
+_DOCFILES = rf"""
+dn AS (SELECT DISTINCT ON (doc_id) * FROM documents),
+df1 AS (SELECT source || '/' || doc_id || CASE WHEN source LIKE 'pdf%' THEN '.pdf' ELSE '.md' END AS path, CASE WHEN source NOT LIKE 'pdf%' THEN text END AS content, chr(10) || {_FRONT} AS b FROM dn),
+df2 AS (SELECT path, content, list_filter(['title', 'keywords', 'date', 'source'], lambda f: coalesce(trim(regexp_replace(trim(coalesce(regexp_extract_all(b, chr(10) || f || ':[ \t]*([^\n]*)', 1)[-1], '')), '^"(.*)"$', '\1')), '') = '') AS missing, len(missing) = 0 AS complete FROM df1)
+"""
+
 SQL: dict[str, str] = {
     "word_count_documents": f"SELECT doc_id, {_N}::INT AS words FROM documents",
     "keyword_count_scale": f"SELECT doc_id, ({_SCALE})::INT AS n FROM documents",
@@ -129,7 +153,10 @@ SQL: dict[str, str] = {
     "artifact_hard": f"WITH {_TF}, r AS (SELECT term, {_HARD} AS reason FROM df) SELECT * FROM r WHERE reason IS NOT NULL",
     "artifact_soft": f"WITH {_TF}, r AS (SELECT term, {_SOFT} AS reason FROM df) SELECT * FROM r WHERE reason IS NOT NULL",
     "provenance_structure": f"SELECT doc_id, {_STRUCTURE} AS structure, array_to_string(list_sort(list_distinct({_ROLES})), chr(10)) AS roles FROM documents",
-    "structure_tally": f"WITH s AS (SELECT {_STRUCTURE} AS structure, coalesce(regexp_matches(source, '(?i)chatgpt|claude|gpt|openai|anthropic'), false) AS ai FROM documents) SELECT structure, count(*) AS documents, count(*) FILTER (ai) AS ai_source FROM s GROUP BY ROLLUP (structure)",
+    "structure_tally": f"""WITH {_TURNS}, s AS (SELECT {_STRUCTURE} AS structure, coalesce(regexp_matches(source, '(?i)chatgpt|claude|gpt|openai|anthropic'), false) AS ai, doc_id IN (SELECT doc_id FROM wt) AS w FROM documents)
+ SELECT structure, count(*) AS documents, count(*) FILTER (ai) AS ai_source, count(*) FILTER (w) AS weighted, count(*) FILTER (structure = 'speaker-labelled' AND NOT w) AS blocked FROM s GROUP BY ROLLUP (structure)""",
+    "weighting": f"""WITH {_TURNS}, s AS (SELECT doc_id, {_STRUCTURE} AS structure, len({_PEOPLE}) = 1 AS known, doc_id IN (SELECT doc_id FROM wt) AS weighted FROM documents)
+ SELECT doc_id, structure, weighted, CASE WHEN weighted THEN NULL WHEN structure NOT IN ('turn-structured', 'speaker-labelled') THEN 'structure is ' || structure WHEN structure = 'speaker-labelled' AND NOT known THEN 'subject could not be identified from the speaker labels' ELSE 'no tokens survived filtering' END AS skipped FROM s""",
     "turn_spans": f"WITH {_TURNS} SELECT doc_id, turn_no, role, kind, md5(segment) AS digest FROM turns",
     "weighted_terms": f"WITH {_TURNS} SELECT doc_id, term, tf, in_subject, weighted FROM wt",
     "keywords_weighted": f"WITH {_TURNS}, wdf AS (SELECT term, count(*) AS df FROM wt GROUP BY term), sc AS (SELECT doc_id, term, round((1 + ln(weighted)) * (ln(((SELECT count(DISTINCT doc_id) FROM wt) + 1.0) / (df + 1.0)) + 1), 6) AS score FROM wt JOIN wdf USING (term)), rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term)::INT AS rank FROM sc) SELECT * FROM rk WHERE rank <= 8",
@@ -137,14 +164,19 @@ SQL: dict[str, str] = {
     "duplicate_classes": f"""WITH RECURSIVE {_windows('w', 'documents')}, l AS (SELECT min(doc_id) AS a, window_hash FROM w GROUP BY window_hash HAVING count(*) > 1), e AS (SELECT DISTINCT a, doc_id AS b FROM w JOIN l USING (window_hash) WHERE doc_id <> a),
  b AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS id, a AS other FROM b UNION SELECT r.id, b.b FROM r JOIN b ON b.a = r.other), c AS (SELECT id, min(other) AS class_id FROM r GROUP BY id)
  SELECT id AS doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size FROM c""",
-    "shared_windows": f"WITH items AS (SELECT item_id AS doc_id, passage AS text FROM eval_items), {_windows('w', 'documents')}, {_windows('x', 'items')} SELECT w.doc_id, x.doc_id AS other_id, count(*) AS windows FROM w JOIN x USING (window_hash) GROUP BY ALL",
-    "completeness_antijoin": f"WITH {_DIGESTS}, {_FILES} SELECT path FROM ff WHERE NOT EXISTS (SELECT 1 FROM dd WHERE word_count > 0 AND keywords IS NOT NULL AND source_bytes = ff.size AND source_sha256 = ff.sha256)",
+    "shared_windows": f"""WITH items AS (SELECT item_id AS doc_id, passage AS text FROM eval_items), {_windows('w', 'documents')}, {_windows('x', 'items')},
+ wc AS (SELECT min(doc_id) AS doc_id FROM (SELECT doc_id, list(window_hash ORDER BY window_hash) AS ws FROM w GROUP BY doc_id) GROUP BY ws), xc AS (SELECT min(doc_id) AS doc_id FROM (SELECT doc_id, list(window_hash ORDER BY window_hash) AS ws FROM x GROUP BY doc_id) GROUP BY ws)
+ SELECT w.doc_id, x.doc_id AS other_id, count(*) AS windows FROM w JOIN x USING (window_hash) WHERE w.doc_id IN (SELECT doc_id FROM wc) AND x.doc_id IN (SELECT doc_id FROM xc) GROUP BY ALL""",
+    "completeness_antijoin": rf"""WITH {_DIGESTS}, {_FILES}, raw AS (SELECT file_path AS path, max(octet_length(encode(text))) AS size, max(sha256(text)) AS sha FROM file_ops WHERE file_path IS NOT NULL GROUP BY 1 UNION ALL SELECT path, size, sha256 FROM ff),
+ r AS (SELECT *, split_part(path, '/', -1) AS name FROM raw) SELECT path FROM r WHERE NOT EXISTS (SELECT 1 FROM dd WHERE source_path || '.md' IN (r.path, regexp_replace(r.path, '\.[^./]*$', '') || '.md', r.path || '.md'))
+ AND name NOT IN (SELECT split_part(source_path, '/', -1) FROM dd WHERE source_path IS NOT NULL) AND path NOT IN (SELECT source_path FROM dd WHERE source_path IS NOT NULL) AND name NOT IN (SELECT split_part(source_path, '/', -1) || '.md' FROM dd WHERE source_path IS NOT NULL)
+ AND NOT EXISTS (SELECT 1 FROM dd WHERE source <> 'pdf' AND source_bytes = r.size AND source_sha256 = r.sha)""",
     "index_differences": f"WITH {_DIGESTS} SELECT digest_id AS id, 'dangling' AS side FROM dd WHERE digest_id NOT IN (SELECT doc_id FROM documents) UNION ALL SELECT doc_id, 'unindexed' FROM documents WHERE doc_id NOT IN (SELECT digest_id FROM dd)",
     "frontmatter_missing": f"WITH {_DIGESTS}, m AS (SELECT provenance_structure, unnest(list_filter([CASE WHEN trim(coalesce(title, '')) = '' THEN 'title' END, CASE WHEN trim(coalesce(array_to_string(keywords, ','), '')) = '' THEN 'keywords' END, CASE WHEN trim(coalesce(doc_date, '')) = '' THEN 'date' END, CASE WHEN trim(coalesce(source, '')) = '' THEN 'source' END], lambda x: x IS NOT NULL)) AS field FROM dd) SELECT provenance_structure, field, count(*) AS records FROM m GROUP BY ALL",
     "filename_conformance": r"SELECT file_id, regexp_matches(file_name, '(?i)^.+-(?:v\d+(?:\.\d+)*|draft\d*)\.[A-Za-z0-9]+$') OR regexp_matches(file_name, '^\d{4}-\d{2}-\d{2}-\d{4}__[a-z0-9]+(?:-[a-z0-9]+)*\.[A-Za-z0-9]+$') AS conforms FROM manifest_files",
     "utility_paths": f"WITH {_DIGESTS}, {_FILES} SELECT digest_id, digest_id % 5 = 0 OR split_part(path, '/', -1) IN ({_list(TOOL_FILES)}) AS utility FROM ff",
     "stale_classification": "WITH k AS (SELECT DISTINCT conv_uuid FROM chat_messages WHERE conv_uuid IS NOT NULL), s AS (SELECT CASE WHEN o.op_id IS NULL THEN 'no-frontmatter' WHEN failed THEN 'retired' WHEN o.conv_uuid IS NULL THEN 'orphan' WHEN k.conv_uuid IS NOT NULL THEN 'ok' ELSE 'absent-conversation' END AS state FROM file_ops o LEFT JOIN k USING (conv_uuid)) SELECT state, count(*) AS records FROM s GROUP BY state",
-    "rename_detection": f"WITH {_DIGESTS}, {_FILES}, w AS (SELECT size, sha256, min(path) AS new_path FROM ff GROUP BY ALL) SELECT 'moved/' || path AS path, new_path FROM ff JOIN w USING (size, sha256) WHERE size % 2 = 0",
+    "rename_detection": f"WITH {_DIGESTS}, {_FILES}, w AS (SELECT size, sha256, min(path) AS new_path FROM ff GROUP BY ALL) SELECT 'moved/' || path AS path, new_path FROM ff  JOIN w USING (size, sha256)",
     "export_times": "SELECT export_key, coalesce(max(created_at), max(exported_at)) AS export_time, count(DISTINCT conv_uuid) AS conversations, count(DISTINCT msg_uuid) AS messages FROM chat_messages GROUP BY export_key",
     "newest_versions": f"WITH {_VERSIONS} SELECT * FROM nv",
     "earlier_versions_kept": f"WITH {_VERSIONS}, h AS (SELECT DISTINCT conv_uuid, export_key, msg_uuid FROM chat_messages WHERE conv_uuid IS NOT NULL), t AS (SELECT h.*, nv.export_key AS nk FROM h JOIN nv USING (conv_uuid)) SELECT conv_uuid, export_key, count(*) AS lost_messages FROM t o WHERE export_key <> nk AND NOT EXISTS (SELECT 1 FROM t n WHERE n.conv_uuid = o.conv_uuid AND n.msg_uuid = o.msg_uuid AND n.export_key = n.nk) GROUP BY ALL",
@@ -175,7 +207,9 @@ SQL: dict[str, str] = {
     "sheet_values": """SELECT doc_id, CASE WHEN n < 1 THEN '' WHEN n = floor(n) THEN strftime(DATE '1899-12-30' + floor(n)::INT, '%Y-%m-%d') ELSE strftime(DATE '1899-12-30' + to_days(floor(n)::INT) + to_seconds(round((n - floor(n)) * 86400)::BIGINT), '%Y-%m-%d %H:%M:%S') END AS serial_date,
  (CASE WHEN c > 18278 THEN chr((65 + ((c - 18279) // 17576) % 26)::INT) ELSE '' END) || (CASE WHEN c > 702 THEN chr((65 + ((c - 703) // 676) % 26)::INT) ELSE '' END) || (CASE WHEN c > 26 THEN chr((65 + ((c - 27) // 26) % 26)::INT) ELSE '' END) || chr((65 + (c - 1) % 26)::INT) AS letters, c AS number,
  CASE WHEN h >= 48 THEN 1 WHEN h >= 36 THEN 2 WHEN h >= 28 THEN 3 END AS level FROM (SELECT doc_id, n_chars + (doc_id % 2) / 2.0 AS n, (n_chars + 1)::BIGINT AS c, n_chars % 60 AS h FROM documents)""",
-    "byte_functions": "SELECT doc_id, '.png' AS extension, sha256(coalesce(text, '')) AS sha256, octet_length(encode(coalesce(text, ''))) AS payload FROM documents",
+    "byte_functions": f"""WITH b AS (SELECT doc_id, coalesce(text, '') AS t, ([{_list(HEADS)}])[n_chars % {len(HEADS)} + 1] || lower(hex(encode(coalesce(text, '')))) AS h FROM documents)
+ SELECT doc_id, CASE WHEN h LIKE '52494646________57454250%' THEN '.webp' WHEN h LIKE '52494646________57415645%' THEN '.wav' WHEN h LIKE '52494646________41564920%' THEN '.avi' WHEN h LIKE '89504e470d0a1a0a%' THEN '.png' WHEN h LIKE 'ffd8ff%' THEN '.jpg'
+ WHEN h LIKE '474946383_61%' AND substr(h, 10, 1) IN ('7', '9') THEN '.gif' WHEN h LIKE '255044462d%' THEN '.pdf' WHEN h LIKE '494433%' THEN '.mp3' WHEN h LIKE '4f676753%' THEN '.ogg' WHEN h LIKE '________66747970%' THEN '.mp4' END AS extension, sha256(t) AS sha256, octet_length(encode(t)) AS payload FROM b""",
     "pointer_ids": "SELECT row_id, 'file_' || row_id || ',file-' || substr(msg_uuid, 1, 8) AS ids FROM chat_messages",
     "common_extensions": "SELECT lower(regexp_extract(split_part(file_path, '/', -1), '.(\\.[^.]+)$', 1)) AS extension, count(*) AS n FROM file_ops WHERE file_path IS NOT NULL GROUP BY 1 ORDER BY n DESC, extension LIMIT 15",
     "index_entries": f"""WITH {_DIGESTS} SELECT digest_id, '{{"digest_id":' || digest_id || coalesce(',"title":"' || title || '"', '') || coalesce(',"source_bytes":' || source_bytes, '') || '}}' AS entry FROM dd""",
@@ -184,4 +218,26 @@ SQL: dict[str, str] = {
  SELECT row_id, md5('## ' || CASE WHEN lower(trim(sender)) IN ('human', 'user') THEN 'Human' WHEN sender IS NULL OR trim(sender) = '' THEN 'Unknown' ELSE 'Assistant' END || chr(10) || chr(10) || coalesce('*' || strftime(created_at, '%Y-%m-%d %H:%M') || ' UTC*' || chr(10) || chr(10), '') || CASE WHEN len(s) > 0 THEN array_to_string(s, chr(10) || chr(10)) ELSE coalesce(text, '') END) AS digest FROM m""",
     "scanned_files": "SELECT pdf_id, coalesce(sum(len(trim(text))), 0)::BIGINT AS chars, count(DISTINCT page_no) AS pages, coalesce(sum(len(trim(text))), 0) < 20 * count(DISTINCT page_no) AS scanned FROM pdf_pages WHERE page_no <= 10 GROUP BY pdf_id",
     "plain_documents": rf"SELECT doc_id, md5(regexp_replace(regexp_replace({_BODY}, '{_INDEX}', '', 'g'), '^\s+', '')) AS digest FROM documents",
+    "ledger_new": "SELECT export_key FROM chat_messages GROUP BY export_key HAVING export_key IS NULL OR count(*) <> count(*) FILTER (exported_at < (SELECT max(exported_at) - INTERVAL 60 DAY FROM chat_messages))",
+    "sidecars": f"""WITH {_DIGESTS}, {_FILES}, n AS (SELECT *, split_part(path, '/', -1) AS name FROM ff) SELECT digest_id, md5('---' || chr(10) || array_to_string(list_filter(['title: "' || name || '"', 'source: "unconvertible"', 'file_type: "' || lower(regexp_extract(name, '.(\.[^.]+)$', 1)) || '"', 'source_path: "' || path || '"', 'size_bytes: ' || size, 'source_sha256: "' || sha256 || '"'], lambda x: x IS NOT NULL), chr(10)) || chr(10) || '---' || chr(10) || chr(10) || '# ' || name || chr(10)) AS digest FROM n""",
+    "allocated_names": rf"""WITH {_DIGESTS}, w AS (SELECT digest_id, regexp_replace(source_path, '/[^/]*$', '') || '/' || coalesce(nullif(substr({_SLUG.format("CASE WHEN contains(title, ' ') THEN split_part(title, ' ', 1) || ' ' || split_part(title, ' ', 2) ELSE title END")}, 1, 60), ''), 'untitled') || '.md' AS wanted FROM dd),
+ t AS (SELECT regexp_extract(left(wanted, -3), '^(.*)-\d{{1,9}}$', 1) AS base, max(regexp_extract(left(wanted, -3), '-(\d{{1,9}})$', 1)::INT) AS most FROM w WHERE regexp_matches(wanted, '-\d{{1,9}}\.md$') GROUP BY 1),
+ n AS (SELECT *, row_number() OVER (PARTITION BY wanted ORDER BY digest_id) AS k FROM w)
+ SELECT digest_id, CASE WHEN k = 1 THEN wanted ELSE left(wanted, -3) || '-' || (greatest(coalesce(most, 1), 1) + k - 1) || '.md' END AS allocated FROM n LEFT JOIN t ON t.base = left(wanted, -3)""",
+    "node_blocks": f"WITH {_NODES} SELECT conv_id, node_id, md5(block) AS digest FROM blocks WHERE block IS NOT NULL",
+    "node_conversations": f"""WITH RECURSIVE {_NODES}, last AS (SELECT conv_id, arg_max(node_id, {{'a': coalesce(made, TIMESTAMPTZ '1900-01-01'), 'i': node_id}}) AS now FROM nd GROUP BY conv_id),
+ up AS (SELECT conv_id, now AS node_id FROM last UNION SELECT u.conv_id, n.parent FROM up u JOIN nd n ON n.conv_id = u.conv_id AND n.node_id = u.node_id JOIN nd p ON p.conv_id = n.conv_id AND p.node_id = n.parent),
+ act AS (SELECT conv_id, count(*) AS c FROM up GROUP BY conv_id), st AS (SELECT conv_id, count(*) FILTER (block = chr(1)) AS s, coalesce(bool_or(contains(shown, '[real_time_user_audio_video_asset_pointer content omitted]') OR contains(shown, '[audio_asset_pointer content omitted]') OR contains(shown, '[audio_transcription content omitted]')), false) AS v FROM blocks WHERE block IS NOT NULL GROUP BY conv_id)
+ SELECT conv_id, any_value(act.c) AS active_message_count, count(*) AS total_node_count, coalesce(any_value(st.s), 0) AS reasoning_step_count, coalesce(any_value(st.v), false) AS is_voice, coalesce(strftime(max(made), '%Y-%m-%d %H:%M:%S'), '') AS last_message_time FROM nd JOIN act USING (conv_id) LEFT JOIN st USING (conv_id) GROUP BY conv_id""",
+    "asset_index": f"WITH {_ASSETS} SELECT root, asset_id, min(path) AS path FROM af GROUP BY ALL",
+    "asset_counts": f"WITH {_ASSETS} SELECT root, count(*) AS files_scanned, 0::BIGINT AS files_without_id FROM aa WHERE path NOT LIKE '%.json' GROUP BY root",
+    "asset_resolution": f"WITH {_ASSETS}, {_REFERENCES} SELECT conv_id, asset_id, path FROM refs LEFT JOIN (SELECT asset_id, min(path) AS path FROM af GROUP BY asset_id) USING (asset_id)",
+    "split_assets": f"WITH {_ASSETS}, {_REFERENCES}, b AS (SELECT conv_uuid AS conv_id, coalesce(min(project_uuid), '_ungrouped') AS bucket FROM chat_messages WHERE conv_uuid IS NOT NULL GROUP BY 1), r AS (SELECT DISTINCT bucket, asset_id, asset_id IN (SELECT asset_id FROM af) AS there FROM refs JOIN b USING (conv_id)) SELECT bucket, count(*) FILTER (there) AS assets, count(*) FILTER (NOT there) AS missing FROM r GROUP BY bucket",
+    "asset_profile": "WITH b AS (SELECT coalesce(u.block_type, '(none)') AS kind, u FROM (SELECT unnest(content) AS u FROM chat_messages)), k AS (SELECT kind, unnest(list_filter([CASE WHEN u.block_type IS NOT NULL THEN 'content_type' END, CASE WHEN u.text IS NOT NULL THEN 'text' END, CASE WHEN u.tool_name IS NOT NULL THEN 'tool_name' END], lambda x: x IS NOT NULL)) AS key FROM b) SELECT kind, NULL AS key, count(*) AS n FROM b GROUP BY kind UNION ALL SELECT kind, key, count(*) FROM k GROUP BY ALL",
+    "catalogue_states": f"WITH {_DOCFILES} SELECT path, path || '.md' AS record_path, CASE WHEN content IS NOT NULL AND complete THEN 'self_describing' ELSE 'written' END AS status FROM df2",
+    "stamped_documents": f"WITH {_DOCFILES} SELECT path, array_to_string(missing, ',') AS missing, len(missing) > 0 AS changed, true AS complete FROM df2 WHERE content IS NOT NULL",
+    "manifest_shapes": "WITH j AS (SELECT file_id, CASE WHEN json_valid(raw_json) THEN raw_json::JSON END AS j FROM manifest_files) SELECT file_id, coalesce(json_type(j, '$.project_uuid') = 'VARCHAR' AND json_type(j, '$.conversations') = 'ARRAY' AND (json_array_length(j, '$.conversations') = 0 OR json_extract(j, '$.conversations[0].uuid') IS NOT NULL), false) AS manifest, coalesce(json_type(j, '$.uuid') = 'VARCHAR' AND json_extract(j, '$.name') IS NOT NULL, false) AS project FROM j",
+    "filed_manifests": f"""WITH {_MANIFESTS}, bad AS (SELECT file_id FROM mf WHERE NOT valid OR declared <> len(entries) OR len(entries) <> len(list_distinct(entries)) OR project <> replace(file_project, '-', '') OR project IS NULL)
+ SELECT DISTINCT 'projects/' || substr(replace(project_uuid, '-', ''), 1, 8) || '_manifests/' || file_name AS path, md5(raw_json) AS digest FROM mf JOIN manifest_files f USING (file_id) JOIN projects p ON lower(p.project_uuid) = file_project WHERE valid AND file_id NOT IN (SELECT file_id FROM bad)""",
+    "kept_documents": "SELECT conv_uuid AS project, file_path AS name, md5(text) AS digest FROM file_ops WHERE op = 'create' AND conv_uuid IS NOT NULL QUALIFY row_number() OVER (PARTITION BY conv_uuid, coalesce(file_path, 'untitled') ORDER BY seq DESC, op_id DESC) = 1",
 }

@@ -24,6 +24,23 @@ def files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     return found.select(F.regexp_replace(relative, r"^file:/+", "/").alias("path"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"), "content")
 
 
+def marked_folders(spark: SparkSession, root: str, marker: str) -> DataFrame:
+    """(root): folders below a root that hold a file of a name which the file reader passes over, as it does with names that begin with an underscore.
+
+    The tree is listed through its file system, as the reader itself lists it.
+    """
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    system = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base = system.makeQualified(top).toUri().getPath().rstrip("/") + "/"
+    listed, found = system.listFiles(top, True), []
+    while listed.hasNext():
+        path = listed.next().getPath()
+        if path.getName() == marker:
+            found.append((path.getParent().toUri().getPath().removeprefix(base),))
+    return spark.createDataFrame(found, "root string")
+
+
 def content_files(table: DataFrame) -> DataFrame:
     """Without tooling and clutter."""
     return table.filter(~audit.utility_path(F.col("path")))
@@ -112,14 +129,24 @@ def name_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def node_conversations(table: DataFrame) -> DataFrame:
-    """(conv_id, node_id, parent, role, at, text, is_current) of exports that store a conversation as a map of nodes; (path, content)."""
-    shape = "struct<conversation_id:string,id:string,title:string,current_node:string,mapping:map<string,struct<parent:string,message:struct<author:struct<role:string>,create_time:double,content:struct<parts:array<string>>>>>>"
+    """Nodes of exports that store a conversation as a map of nodes, as ``operators.nodes`` reads them, with title and source_path; (path, content).
+
+    A file holds a list of conversations, an object with such a list, or a single conversation.
+    """
+    upload = "struct<id:string,name:string,mime_type:string,mimeType:string>"
+    message = f"struct<author:struct<role:string,name:string>,create_time:double,content:struct<parts:array<string>>,metadata:struct<attachments:array<{upload}>>>"
+    shape = f"struct<conversation_id:string,id:string,title:string,current_node:string,mapping:map<string,struct<parent:string,message:{message}>>>"
     raw = F.decode("content", "utf-8")
     listed = F.coalesce(F.from_json(raw, f"array<{shape}>"), F.array())
-    wrapped = F.from_json(raw, f"struct<conversations:array<{shape}>>")["conversations"]
-    found = table.filter(F.lower(text.base_name(F.col("path"))).rlike(r"^conversations(-\d+)?\.json$")).select(F.explode(F.when(F.trim(raw).startswith("["), listed).otherwise(wrapped)).alias("c"))
-    nodes = found.select(F.coalesce("c.conversation_id", "c.id").alias("conv_id"), F.col("c.current_node").alias("now"), F.explode("c.mapping").alias("node_id", "n"))
-    return nodes.select("conv_id", "node_id", F.col("n.parent").alias("parent"), F.col("n.message.author.role").alias("role"), F.timestamp_seconds("n.message.create_time").alias("at"), F.array_join("n.message.content.parts", "\n").alias("text"), (F.col("node_id") == F.col("now")).alias("is_current"))
+    wrapped, single = F.from_json(raw, f"struct<conversations:array<{shape}>>")["conversations"], F.from_json(raw, shape)
+    one = F.when(single["mapping"].isNotNull(), F.array(single))
+    found = table.filter(F.lower(text.base_name(F.col("path"))).rlike(r"^conversations(-\d+)?\.json$")).select("path", F.explode(F.when(F.trim(raw).startswith("["), listed).otherwise(F.coalesce(wrapped, one))).alias("c"))
+    nodes = found.select(F.col("path").alias("source_path"), F.coalesce("c.conversation_id", "c.id").alias("conv_id"), F.col("c.title").alias("title"), F.col("c.current_node").alias("now"), F.posexplode("c.mapping").alias("place", "node_id", "n"))
+    uploads = F.transform(F.coalesce("n.message.metadata.attachments", F.array()), lambda a: F.struct(a["id"].alias("id"), a["name"].alias("name"), F.coalesce(a["mime_type"], a["mimeType"]).alias("mime")))
+    return nodes.select(
+        "conv_id", "node_id", F.col("n.parent").alias("parent"), "place", F.when(F.col("n.message").isNotNull(), F.coalesce("n.message.author.role", F.lit("unknown"))).alias("role"), F.col("n.message.author.name").alias("tool_name"), F.col("n.message.create_time").alias("at"),
+        F.col("n.message.content.parts").alias("parts"), uploads.alias("attachments"), (F.col("node_id") == F.col("now")).alias("is_current"), "title", "source_path",
+    )
 
 
 def message_conversations(table: DataFrame) -> DataFrame:
