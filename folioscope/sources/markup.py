@@ -193,35 +193,55 @@ def html_to_markdown(text: str | None) -> tuple[dict[str, str], str]:
 
 
 _RTF = re.compile(r"\\([a-z]{1,32})(-?\d{1,10})?[ ]?|\\'([0-9a-fA-F]{2})|\\([^a-z])|([{}])|[\r\n]+|([^\\{}\r\n]+)", re.I)
-_RTF_SKIP = {"fonttbl", "colortbl", "stylesheet", "info", "pict", "object", "header", "footer", "generator", "themedata", "listtable", "listoverridetable", "rsidtbl", "xmlnstbl", "datastore", "latentstyles"}
+_RTF_SKIP = {"fonttbl", "colortbl", "stylesheet", "info", "pict", "object", "header", "footer", "generator", "themedata", "listtable", "listoverridetable", "rsidtbl", "xmlnstbl", "datastore", "latentstyles", "pntxta", "pntxtb", "pntext", "listtext"}
 _RTF_SIGNS = {"emdash": "—", "endash": "–", "bullet": "•", "lquote": "‘", "rquote": "’", "ldblquote": "“", "rdblquote": "”", "tab": "\t", "line": "  \n", "~": " "}
 
 
+#: Marks that open and close a run: bold and italics together are one mark, underlining and striking go around it.
+_RTF_MARKS = {(False, False): "", (True, False): "**", (False, True): "*", (True, True): "***"}
+
+
+def _rtf_run(pieces: list[tuple[str, bool, bool, str]]) -> str:
+    """Pieces (mark, underlined, struck, text) of one paragraph or link."""
+    text, mark = "", ""
+    for now, under, struck, piece in pieces:
+        if under and piece.strip():
+            piece = f"<u>{piece}</u>"
+        if struck and piece.strip():
+            piece = f"~~{piece}~~"
+        if now != mark:
+            text, mark = _closed(text, mark) + now, now
+        text += piece
+    return _closed(text, mark)
+
+
 def rtf_to_markdown(data: bytes | None) -> tuple[dict[str, int], str]:
-    """(metadata, Markdown) with bold, italics and headings by size of type."""
+    """(metadata, Markdown) with marks of type, links, bullets and numbers of lists, and headings by size of type."""
     source = (data or b"").decode("latin-1")
-    state = {"b": False, "i": False, "fs": 24, "skip": False, "uc": 1, "cp": "cp1252"}
+    state = {"b": False, "i": False, "ul": False, "strike": False, "fs": 24, "skip": False, "uc": 1, "cp": "cp1252", "field": "", "href": ""}
     stack, paragraphs, run, skip_chars = [], [], [], 0
+    address: list[str] = []
+    bullet = ""
 
     def flush() -> None:
-        sizes = [fs for _, _, fs, t in run if t.strip()]
-        text, mark = "", ""
-        for bold, italic, _, piece in run:
-            now = "***" if bold and italic else "**" if bold else "*" if italic else ""
-            if now != mark:
-                text = _closed(text, mark) + now
-                mark = now
-            text += piece
-        text = _closed(text, mark).strip()
+        sizes = [fs for *_, fs, t in run if t.strip()]
+        parts: list[tuple[str, list]] = []
+        for href, mark, under, struck, _, piece in run:
+            if not parts or parts[-1][0] != href:
+                parts.append((href, []))
+            parts[-1][1].append((mark, under, struck, piece))
+        text = "".join(f"[{_rtf_run(own).strip()}]({href})" if href else _rtf_run(own) for href, own in parts).strip()
         if text:
             size = max(sizes, default=24)
             level = 1 if size >= 48 else 2 if size >= 36 else 3 if size >= 28 else 0
-            paragraphs.append("#" * level + " " + text.replace("*", "").strip() if level else text)
+            paragraphs.append("#" * level + " " + text.replace("*", "").strip() if level else bullet + text)
         run.clear()
 
     def add(piece: str) -> None:
-        if not state["skip"]:
-            run.append((state["b"], state["i"], state["fs"], piece))
+        if state["field"] == "inst":
+            address.append(piece)
+        elif not state["skip"]:
+            run.append((state["href"], _RTF_MARKS[state["b"], state["i"]], state["ul"], state["strike"], state["fs"], piece))
 
     for m in _RTF.finditer(source):
         word, number, code, sign, brace, plain = m.groups()
@@ -250,10 +270,22 @@ def rtf_to_markdown(data: bytes | None) -> tuple[dict[str, int], str]:
                 state["skip"] = True
             elif word in ("par", "sect", "page", "row"):
                 flush()
-            elif word in ("b", "i"):
+            elif word in ("b", "i", "ul", "strike"):
                 state[word] = value != 0
+            elif word == "ulnone":
+                state["ul"] = False
             elif word == "plain":
-                state.update(b=False, i=False, fs=24)
+                state.update(b=False, i=False, ul=False, strike=False, fs=24)
+            elif word == "pard":
+                bullet = ""
+            elif word in ("pnlvlblt", "pnlvlbody", "pndec"):
+                bullet = "- " if word == "pnlvlblt" else "1. "
+            elif word == "fldinst":
+                address.clear()
+                state.update(skip=False, field="inst")
+            elif word == "fldrslt":
+                target = re.search(r'HYPERLINK\s+"?([^"\s]+)', "".join(address))
+                state.update(skip=False, field="", href=target.group(1) if target else "")
             elif word == "fs" and value:
                 state["fs"] = value
             elif word == "ansicpg" and value:

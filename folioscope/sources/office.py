@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import posixpath
 import re
 import zipfile
 from datetime import datetime, timedelta
@@ -199,8 +200,38 @@ def _date_styles(root: ElementTree.Element | None) -> set[int]:
     return {i for i, x in enumerate(styles) if int(x.get("numFmtId", 0)) in own | DATE_FORMATS} if styles is not None else set()
 
 
-def workbook_cells(data: bytes) -> tuple[dict[str, str], list[tuple[str, bool, int, int, str, str]]]:
+def _beside(archive: zipfile.ZipFile, part: str, root: ElementTree.Element) -> dict[str, list]:
+    """What a sheet holds besides its cells: links (row, column, address), comments (place, author, text) and merged ranges."""
+    folder, _, name = part.rpartition("/")
+    targets = _targets(_part(archive, f"{folder}/_rels/{name}.rels"))
+    links = []
+    for h in root.iter(S + "hyperlink"):
+        address = targets.get(h.get(R + "id", ""), ("", ""))[1] or (f"#{h.get('location')}" if h.get("location") else "")
+        first, _, last = h.get("ref", "").partition(":")
+        (r1, c1), (r2, c2) = cell_place(first), cell_place(last or first)
+        links += [(r, c, address) for r in range(r1, r2 + 1) for c in range(c1, c2 + 1) if address]
+    comments = []
+    for kind, target in targets.values():
+        notes = _part(archive, posixpath.normpath(f"{folder}/{target}")) if kind == "comments" else None
+        if notes is not None:
+            authors = [a.text or "" for a in notes.iter(S + "author")]
+            for c in notes.iter(S + "comment"):
+                number = int(c.get("authorId", -1))
+                comments.append((c.get("ref", ""), authors[number] if 0 <= number < len(authors) else "unknown", "".join(t.text or "" for t in c.iter(S + "t")).strip().replace("\n", " ")))
+    return {"links": links, "comments": sorted(comments, key=lambda c: cell_place(c[0])), "merges": [m.get("ref", "") for m in root.iter(S + "mergeCell")]}
+
+
+Cells = list[tuple[str, bool, int, int, str, str]]
+
+
+def workbook_cells(data: bytes) -> tuple[dict[str, str], Cells]:
     """(metadata, cells): (sheet, hidden, row, column, value, formula) in the order of the workbook, merged ranges filled."""
+    meta, cells, _ = workbook(data)
+    return meta, cells
+
+
+def workbook(data: bytes) -> tuple[dict[str, str], Cells, dict[str, dict[str, list]]]:
+    """(metadata, cells, what each sheet holds besides)."""
     try:
         archive = zipfile.ZipFile(io.BytesIO(data))
     except zipfile.BadZipFile as e:
@@ -211,15 +242,18 @@ def workbook_cells(data: bytes) -> tuple[dict[str, str], list[tuple[str, bool, i
     shared = _part(archive, "xl/sharedStrings.xml")
     strings = ["".join(t.text or "" for t in si.iter(S + "t")) for si in shared.findall(S + "si")] if shared is not None else []
     dates, targets = _date_styles(_part(archive, "xl/styles.xml")), _targets(_part(archive, "xl/_rels/workbook.xml.rels"))
-    cells: list[tuple[str, bool, int, int, str, str]] = []
+    cells: Cells = []
+    beside: dict[str, dict[str, list]] = {}
     names = []
     for sheet in book.iter(S + "sheet"):
         name, hidden = sheet.get("name", ""), sheet.get("state", "visible") != "visible"
         names.append(name)
         target = targets.get(sheet.get(R + "id", ""), ("", ""))[1].lstrip("/")
-        root = _part(archive, target if target.startswith("xl/") else f"xl/{target}")
+        part = target if target.startswith("xl/") else f"xl/{target}"
+        root = _part(archive, part)
         if root is None:
             continue
+        beside[name] = _beside(archive, part, root)
         found: dict[tuple[int, int], tuple[str, str]] = {}
         for c in root.iter(S + "c"):
             kind, raw = c.get("t", "n"), c.findtext(S + "v") or ""
@@ -246,12 +280,12 @@ def workbook_cells(data: bytes) -> tuple[dict[str, str], list[tuple[str, bool, i
                     for k in range(c1, min(c2, columns_used) + 1):
                         found.setdefault((r, k), (found[r1, c1][0], ""))
         cells += [(name, hidden, r, k, v, f) for (r, k), (v, f) in sorted(found.items())]
-    return {"source": "xlsx", "sheet_count": str(len(names)), "sheet_names": ", ".join(names), **core_properties(archive)}, cells
+    return {"source": "xlsx", "sheet_count": str(len(names)), "sheet_names": ", ".join(names), **core_properties(archive)}, cells, beside
 
 
 def xlsx_to_markdown(data: bytes) -> tuple[dict[str, str], str]:
     """(metadata, Markdown): a grid with column letters and row numbers for each sheet, and its formulas."""
-    meta, cells = workbook_cells(data)
+    meta, cells, beside = workbook(data)
     by_sheet: dict[tuple[str, bool], dict[tuple[int, int], tuple[str, str]]] = {}
     for name, hidden, r, c, value, formula in cells:
         by_sheet.setdefault((name, hidden), {})[r, c] = value, formula
@@ -259,15 +293,22 @@ def xlsx_to_markdown(data: bytes) -> tuple[dict[str, str], str]:
     for (name, hidden), found in by_sheet.items():
         rows, columns = sorted({r for r, _ in found}), sorted({c for _, c in found})
         span = range(columns[0], columns[-1] + 1)
+        extra = beside.get(name, {})
+        links = {(r, c): address for r, c, address in extra.get("links", ())}
         escape = lambda v: v.replace("\\", "\\\\").replace("|", "\\|").replace("\n", "<br>")
         grid = [["#", *map(column_letters, span)]]
         for before, r in zip([rows[0], *rows], rows):
             # a gap of empty rows is one marked row, however long
             if r - before > 1:
                 grid.append([f"{before + 1}-{r - 1}" if r - before > 2 else str(r - 1), *[""] * len(span)])
-            grid.append([str(r), *[escape(found.get((r, c), ("", ""))[0]) for c in span]])
+            shown = [escape(found.get((r, c), ("", ""))[0]) for c in span]
+            grid.append([str(r), *[f"[{v}]({links[r, c]})" if v and (r, c) in links else v for c, v in zip(span, shown)]])
         out.append(f"## Sheet: {name}{' (hidden)' if hidden else ''}\n\n{table_markdown(grid)}")
+        if extra.get("merges"):
+            out.append("### Merged ranges\n\n" + "\n".join(f"- {m}" for m in extra["merges"]))
         formulas = [f"- `{column_letters(c)}{r}`: `={f}`" for (r, c), (_, f) in sorted(found.items()) if f]
         if formulas:
             out.append("### Formulas\n\n" + "\n".join(formulas))
+        if extra.get("comments"):
+            out.append("### Comments\n\n" + "\n".join(f"- **{place}** — {author}: {said}" for place, author, said in extra["comments"]))
     return meta, "\n\n".join(out) + "\n"

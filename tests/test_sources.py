@@ -59,6 +59,8 @@ def test_rtf():
     meta, body = markup.rtf_to_markdown(data)
     assert body == "# Head\n\nplain **bold** café — end\n" and meta["word_count"] == 5
     assert markup.rtf_to_markdown(b"") == ({"word_count": 0}, "")
+    marked = b'{\\rtf1 see {\\field{\\*\\fldinst HYPERLINK "http://e.example/a"}{\\fldrslt the \\b page\\b0}} and \\ul under\\ulnone  \\strike gone\\strike0 .\\par{\\pntext o}{\\*\\pn\\pnlvlblt}one\\par\\pard plain\\par{\\*\\pn\\pnlvlbody\\pndec}first\\par}'
+    assert markup.rtf_to_markdown(marked)[1] == "see [the **page**](http://e.example/a) and <u>under</u> ~~gone~~.\n\n- one\n\nplain\n\n1. first\n"
 
 
 def test_docx():
@@ -75,6 +77,26 @@ def test_xlsx():
     assert meta["sheet_count"] == "2"
 
 
+def test_what_stands_beside_the_cells():
+    out = io.BytesIO(_xlsx())
+    with zipfile.ZipFile(out, "a") as z:
+        z.writestr("xl/worksheets/_rels/s2.xml.rels", '<Relationships><Relationship Id="h1" Type="x/hyperlink" Target="http://e.example"/><Relationship Id="c1" Type="x/comments" Target="../comments1.xml"/></Relationships>')
+        z.writestr("xl/comments1.xml", f'<comments {S}><authors><author>Ada</author></authors><commentList><comment ref="A1" authorId="0"><text><r><t>why?</t></r></text></comment></commentList></comments>')
+    data = io.BytesIO()
+    with zipfile.ZipFile(out) as old, zipfile.ZipFile(data, "w") as new:
+        for name in old.namelist():
+            body = old.read(name)
+            new.writestr(name, body.replace(b"</worksheet>", b'<hyperlinks><hyperlink ref="A1" r:id="h1"/></hyperlinks></worksheet>') if name.endswith("s2.xml") else body)
+    body = office.xlsx_to_markdown(data.getvalue())[1]
+    for part in ("| 1 | [TRUE](http://e.example) |", "### Comments\n\n- **A1** — Ada: why?", "### Merged ranges\n\n- B3:C3"):
+        assert part in body, (part, body)
+
+
+def test_date_formats_and_far_serials():
+    assert office.DATE_FORMATS >= {*range(27, 32), 36, *range(50, 59)} and not office.DATE_FORMATS & {18, 19, 20, 21}
+    assert office.serial_date(1e12) == "" and office.serial_date(-3) == "" and office.serial_date(45292.5) == "2024-01-01 12:00:00"
+
+
 def test_tree_of_files(spark, tmp_path):
     (tmp_path / "a").mkdir()
     (tmp_path / "_Tools").mkdir()
