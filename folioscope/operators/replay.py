@@ -79,3 +79,29 @@ def rebuilt_files(operations: DataFrame) -> DataFrame:
     columns = ["conv_uuid", "seq", "op_id", "branch", "op", "file_path", "text", "old_str", "new_str", "failed"]
     kept = operations.filter(F.col("conv_uuid").isNotNull()).select(columns)
     return kept.repartition(slices(operations.sparkSession), "conv_uuid").sortWithinPartitions("conv_uuid", "seq", "op_id").mapInArrow(_stream, REBUILT)
+
+
+def unrecoverable(operations: DataFrame, rebuilt: DataFrame) -> DataFrame:
+    """(conv_uuid, file_path, reason): files that a conversation presented though no text of theirs is left.
+
+    An archive is told as such; its members stand among the rebuilt files under their own paths.
+    """
+    held = operations.filter("conv_uuid is not null and file_path is not null and coalesce(failed, false) = false")
+    shown = held.filter((F.col("op").isin("present", "present_files")) & F.coalesce(F.col("branch").isin("active"), F.lit(True))).select("conv_uuid", "file_path").distinct()
+    packed = held.filter("op = 'zip'").select("conv_uuid", "file_path").distinct().withColumn("packed", F.lit(True))
+    lost = shown.join(rebuilt.select("conv_uuid", "file_path"), ["conv_uuid", "file_path"], "left_anti").join(packed, ["conv_uuid", "file_path"], "left")
+    zipped = F.coalesce("packed", F.lit(False)) | F.lower("file_path").endswith(".zip")
+    return lost.select("conv_uuid", "file_path", F.when(zipped, "a zip archive").otherwise("no text in the export; likely binary").alias("reason"))
+
+
+def recovered_folders(rebuilt: DataFrame, lost: DataFrame) -> DataFrame:
+    """(path, text) of recovered outputs: each file word for word in its conversation's folder, and a manifest of what is there and what is lost."""
+    folder = F.concat(F.substring(F.replace("conv_uuid", F.lit("-"), F.lit("")), 1, 8), F.lit("_outputs/"))
+    inner = F.regexp_replace(F.regexp_replace("file_path", f"^{OUTPUTS}", ""), "^/+", "")
+    files = rebuilt.select(F.concat(folder, inner).alias("path"), "text")
+    entry = F.struct(inner.alias("name"), F.col("file_path").alias("path"), "written_as", "presented", "edits_applied", F.when(F.col("edits_failed") > 0, F.col("edits_failed")).alias("edits_not_applied"), F.when(F.col("inactive"), True).alias("inactive_branch"), F.when(F.col("presented"), F.col("compliant")).alias("compliant"))
+    kept = rebuilt.groupBy("conv_uuid").agg(F.array_sort(F.collect_list(entry)).alias("files"))
+    gone = lost.groupBy("conv_uuid").agg(F.array_sort(F.collect_list(F.struct(F.col("file_path").alias("path"), "reason"))).alias("unrecoverable"))
+    both = kept.join(gone, "conv_uuid", "full_outer")
+    body = F.to_json(F.struct(F.col("conv_uuid").alias("conversation_id"), F.coalesce("files", F.array()).alias("files"), F.coalesce("unrecoverable", F.array()).alias("unrecoverable")))
+    return files.unionByName(both.select(F.concat(folder, F.lit("_recovered-outputs.json")).alias("path"), body.alias("text")))

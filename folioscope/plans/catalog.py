@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import artifacts, text, values
 from folioscope.operators import assets, audit, catalogue, duplicates, exports, inventory, keywords, nodes, provenance, render, replay, schema_drift, trees
-from folioscope.runtime import spread, table
+from folioscope.runtime import materialize, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -250,6 +250,12 @@ def _kept_documents(s: SparkSession, d: str) -> DataFrame:
     return catalogue.kept_documents(written).select("project", "name", "digest")
 
 
+def _recovered(s: SparkSession, d: str) -> DataFrame:
+    ops = table(s, d, "file_ops")
+    rebuilt = materialize(replay.rebuilt_files(ops), "rebuilt")
+    return replay.recovered_folders(rebuilt, replay.unrecoverable(ops, rebuilt)).select("path", F.md5("text").alias("digest"))
+
+
 def _common_folders(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "file_ops").filter("file_path is not null").groupBy(text.extension(text.base_name(F.col("file_path"))).alias("extension")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "extension").limit(15)
 
@@ -343,6 +349,8 @@ def queries() -> dict[str, Query]:
         "manifest_shapes": lambda s, d: table(s, d, "manifest_files").select("file_id", catalogue.manifest_shaped(F.col("raw_json")).alias("manifest"), catalogue.project_shaped(F.col("raw_json")).alias("project")),
         "filed_manifests": _filed,
         "kept_documents": _kept_documents,
+        "unrecoverable_outputs": lambda s, d: replay.unrecoverable(table(s, d, "file_ops"), replay.rebuilt_files(table(s, d, "file_ops"))),
+        "recovered_folders": _recovered,
         "rendered_messages": lambda s, d: render.rendered_messages(_messages(s, d)).select("row_id", F.md5("markdown").alias("digest")),
         "rendered_conversations": lambda s, d: render.rendered_conversations(_messages(s, d)).select("conv_uuid", "part_no", "messages", "branches", F.md5("markdown").alias("digest")),
         "embedded_manifests": lambda s, d: render.embedded_manifests(table(s, d, "file_ops")),

@@ -66,6 +66,10 @@ def digest(spark: SparkSession, root: str, out: str) -> DataFrame:
     both = full.unionByName(chat_rows(raw).withColumn("error", F.lit(None).cast("string")))
     placed = materialize(inventory.allocated(both, "wanted", ["source_path"]).withColumn("text", sinks.digest_text(F.col("meta"), F.col("body"))), "digested")
     sinks.write_text_files(placed.select(F.col("allocated").alias("path"), "text"), out)
+    # media go along as they are, pictures inside documents beside their digests
+    media = loose.withColumn("kind", inventory.kind(F.col("path"))).filter("kind = 'media'")
+    sinks.copy_files(media, out)
+    sinks.copy_files(convert.embedded_media(loose).select(F.col("target").alias("path"), "content"), out)
     return placed.select(F.col("allocated").alias("path"), "source_path", "error")
 
 

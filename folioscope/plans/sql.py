@@ -218,6 +218,9 @@ SQL: dict[str, str] = {
  SELECT row_id, md5('## ' || CASE WHEN lower(trim(sender)) IN ('human', 'user') THEN 'Human' WHEN sender IS NULL OR trim(sender) = '' THEN 'Unknown' ELSE 'Assistant' END || chr(10) || chr(10) || coalesce('*' || strftime(created_at, '%Y-%m-%d %H:%M') || ' UTC*' || chr(10) || chr(10), '') || CASE WHEN len(s) > 0 THEN array_to_string(s, chr(10) || chr(10)) ELSE coalesce(text, '') END) AS digest FROM m""",
     "scanned_files": "SELECT pdf_id, coalesce(sum(len(trim(text))), 0)::BIGINT AS chars, count(DISTINCT page_no) AS pages, coalesce(sum(len(trim(text))), 0) < 20 * count(DISTINCT page_no) AS scanned FROM pdf_pages WHERE page_no <= 10 GROUP BY pdf_id",
     "plain_documents": rf"SELECT doc_id, md5(regexp_replace(regexp_replace({_BODY}, '{_INDEX}', '', 'g'), '^\s+', '')) AS digest FROM documents",
+    "unrecoverable_outputs": """WITH o AS (SELECT * FROM file_ops WHERE conv_uuid IS NOT NULL AND file_path IS NOT NULL AND coalesce(failed, false) = false)
+ SELECT DISTINCT conv_uuid, file_path, CASE WHEN lower(file_path) LIKE '%.zip' OR EXISTS (SELECT 1 FROM o z WHERE z.op = 'zip' AND z.conv_uuid = p.conv_uuid AND z.file_path = p.file_path) THEN 'a zip archive' ELSE 'no text in the export; likely binary' END AS reason
+ FROM o p WHERE op = 'present' AND coalesce(branch = 'active', true) AND NOT EXISTS (SELECT 1 FROM o c WHERE c.op = 'create' AND c.conv_uuid = p.conv_uuid AND c.file_path = p.file_path)""",
     "ledger_new": "SELECT export_key FROM chat_messages GROUP BY export_key HAVING export_key IS NULL OR count(*) <> count(*) FILTER (exported_at < (SELECT max(exported_at) - INTERVAL 60 DAY FROM chat_messages))",
     "sidecars": f"""WITH {_DIGESTS}, {_FILES}, n AS (SELECT *, split_part(path, '/', -1) AS name FROM ff) SELECT digest_id, md5('---' || chr(10) || array_to_string(list_filter(['title: "' || name || '"', 'source: "unconvertible"', 'file_type: "' || lower(regexp_extract(name, '.(\.[^.]+)$', 1)) || '"', 'source_path: "' || path || '"', 'size_bytes: ' || size, 'source_sha256: "' || sha256 || '"'], lambda x: x IS NOT NULL), chr(10)) || chr(10) || '---' || chr(10) || chr(10) || '# ' || name || chr(10)) AS digest FROM n""",
     "allocated_names": rf"""WITH {_DIGESTS}, w AS (SELECT digest_id, regexp_replace(source_path, '/[^/]*$', '') || '/' || coalesce(nullif(substr({_SLUG.format("CASE WHEN contains(title, ' ') THEN split_part(title, ' ', 1) || ' ' || split_part(title, ' ', 2) ELSE title END")}, 1, 60), ''), 'untitled') || '.md' AS wanted FROM dd),

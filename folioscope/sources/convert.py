@@ -163,3 +163,56 @@ def cached_pages(pages_by_digest: DataFrame, files_with_digest: DataFrame) -> Da
     """(path, page_no, text): recognised text by content, pages parted by form feeds, blank ones left out."""
     joined = files_with_digest.select("path", "sha256").join(pages_by_digest, "sha256")
     return joined.select("path", F.posexplode(F.split("text", "\f")).alias("p", "text")).filter(F.trim("text") != "").select("path", (F.col("p") + 1).alias("page_no"), "text")
+
+
+def selection_list(spark: SparkSession, path: str, once: bool = True) -> DataFrame:
+    """(name, line) of a list with one name a line; # begins a comment. once: of a name that comes again the first line counts."""
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("line", "v"))
+    named = lines.select(F.trim("v").alias("name"), "line").filter((F.col("name") != "") & ~F.col("name").startswith("#"))
+    return named.groupBy("name").agg(F.min("line").alias("line")) if once else named
+
+
+def listing(spark: SparkSession, path: str) -> DataFrame:
+    """(path, folder, name, size, mime, modified, is_sheet) of the files in a saved listing of a remote drive, a JSON array."""
+    from folioscope.operators.catalogue import sheet
+
+    raw = spark.read.schema("Path string, IsDir boolean, Size long, ModTime string, MimeType string, ID string").option("multiLine", True).json(path)
+    place = F.replace("Path", F.lit("\\"), F.lit("/"))
+    kept = raw.filter(~F.coalesce("IsDir", F.lit(False)) & F.col("Path").isNotNull()).withColumn("place", place)
+    return kept.select(F.col("place").alias("path"), text.parent(F.col("place")).alias("folder"), text.base_name(F.col("place")).alias("name"), F.col("Size").alias("size"), F.col("MimeType").alias("mime"), F.try_to_timestamp("ModTime").alias("modified"), F.coalesce(sheet(F.col("MimeType"), F.col("Size")), F.lit(False)).alias("is_sheet"))
+
+
+def _media(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    import base64
+    import io
+    import re
+    import zipfile
+
+    data_url = re.compile(rb"data:([a-z]+/[a-z0-9.+-]+);base64,([A-Za-z0-9+/=\s]+)", re.I)
+    for batch in batches:
+        rows = []
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+            if path.lower().endswith(".docx"):
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content or b"")) as archive:
+                        rows += [(path, name.rsplit("/", 1)[-1], None, archive.read(name)) for name in sorted(archive.namelist()) if name.startswith("word/media/") and not name.endswith("/")]
+                except (zipfile.BadZipFile, KeyError):
+                    continue  # the converter reports the file
+            else:
+                for i, m in enumerate(data_url.finditer(content or b""), 1):
+                    try:
+                        rows.append((path, f"image-{i}", m.group(1).decode(), base64.b64decode(m.group(2), validate=False)))
+                    except ValueError:
+                        continue
+        columns = list(zip(*rows)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.string(), pa.binary()))], names=["path", "name", "mime", "content"])
+
+
+def embedded_media(table: DataFrame) -> DataFrame:
+    """(path, name, target, content) of the pictures inside Word and HTML files: target is where they go, beside the digest."""
+    from folioscope.functions.values import asset_extension
+
+    found = table.filter(F.lower("path").rlike(r"\.(docx|html?)$")).select("path", "content").mapInArrow(_media, "path string, name string, mime string, content binary")
+    stem = F.regexp_replace("name", r"\.[A-Za-z0-9]+$", "")
+    folder = F.concat(F.regexp_replace("path", r"\.[^./]*$", ""), F.lit("_media/"))
+    return found.select("path", "name", F.concat(folder, stem, asset_extension(F.col("name"), F.col("mime"), F.col("content"))).alias("target"), "content")

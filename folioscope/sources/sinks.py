@@ -17,8 +17,8 @@ def digest_text(meta: Column, body: Column) -> Column:
     return F.concat(F.lit("---\n"), F.array_join(lines, "\n"), F.lit("\n---\n\n"), body)
 
 
-def write_text_files(files: DataFrame, root: str) -> None:
-    """One file for each row (path, text), on a folder that every executor shares. A file that is alike is left untouched."""
+def _put(root: str):
+    """Write rows (path, bytes) below a folder that every executor shares; what is alike is left untouched, and a repeated task ends in the same files."""
 
     def put(rows: Iterator) -> None:
         for row in rows:
@@ -26,7 +26,7 @@ def write_text_files(files: DataFrame, root: str) -> None:
             if not target.startswith(os.path.normpath(root) + os.sep):
                 raise ValueError(f"outside of the target: {row['path']}")
             os.makedirs(os.path.dirname(target), exist_ok=True)
-            data = row["text"].encode("utf-8")
+            data = bytes(row["data"])
             try:
                 with open(target, "rb") as old:
                     if old.read() == data:
@@ -35,9 +35,34 @@ def write_text_files(files: DataFrame, root: str) -> None:
                 pass
             with open(f"{target}.part", "wb") as new:
                 new.write(data)
-            os.replace(f"{target}.part", target)  # a repeated task ends in the same file
+            os.replace(f"{target}.part", target)
+
+    return put
 
-    files.select("path", "text").foreachPartition(put)
+
+def write_text_files(files: DataFrame, root: str) -> None:
+    """One file for each row (path, text)."""
+    files.select("path", F.encode("text", "utf-8").alias("data")).foreachPartition(_put(root))
+
+
+def copy_files(files: DataFrame, root: str) -> None:
+    """Files (path, content) byte for byte: media and whatever is not converted."""
+    files.select("path", F.col("content").alias("data")).foreachPartition(_put(root))
+
+
+def write_report(sections: dict[str, DataFrame], path: str, shown: int = 40) -> str:
+    """A report of named tables as Markdown: how many rows each has, and the first ``shown`` of them. The text is returned as well."""
+    parts = []
+    for name, found in sections.items():
+        n = found.count()
+        rows = [", ".join(str(v) for v in row) for row in found.orderBy(*found.columns[:1]).limit(shown).collect()]
+        more = [f"- ... and {n - shown} more"] if n > shown else []
+        parts.append("\n".join([f"## {name} ({n})", "", *(f"- {r}" for r in rows), *more]))
+    text_of = "\n\n".join(parts) + "\n"
+    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+    with open(path, "w", encoding="utf-8") as out:
+        out.write(text_of)
+    return text_of
 
 
 def write_index(files: DataFrame, path: str) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from folioscope.operators import assets, catalogue, nodes
 from folioscope.plans import corpus
-from folioscope.sources import convert, objects
+from folioscope.sources import convert, objects, sinks
 
 
 def _node(parent, role, parts, at=None, name=None, attachments=()):
@@ -144,3 +144,29 @@ def test_small_rules(spark):
     pages = spark.createDataFrame([("a", "1", True), ("b", "2", True), ("c", "3", False), ("d", "4", True)], "path string, sha256 string, scanned boolean")
     assert tuple(catalogue.recognition_counts(pages, spark.createDataFrame([("1", "text"), ("2", " ")], "sha256 string, text string")).first()) == (4, 3, 1, 1, 1)
     assert {r["folder"] for r in catalogue.unresolved_folders(spark.createDataFrame([("x/project_g-p-1",), ("x/GPT_g-2",), ("x/mine",)], "folder string")).collect()} == {"x/project_g-p-1", "x/GPT_g-2"}
+
+
+def test_lists_listings_and_media(spark, tmp_path):
+    import base64
+    import io
+    import zipfile
+
+    (tmp_path / "sel.txt").write_text("# c\nOne\nTwo\n\nOne\n")
+    assert [r["name"] for r in convert.selection_list(spark, str(tmp_path / "sel.txt")).orderBy("line").collect()] == ["One", "Two"]
+    assert convert.selection_list(spark, str(tmp_path / "sel.txt"), once=False).count() == 3
+    (tmp_path / "l.json").write_text(json.dumps([{"Path": "a/x", "IsDir": False, "Size": -1, "ModTime": "2026-01-01T00:00:00Z", "MimeType": "application/vnd.google-apps.spreadsheet"}, {"Path": "a/x.xlsx", "IsDir": False, "Size": 7, "ModTime": "bad", "MimeType": None}, {"Path": "a", "IsDir": True}]))
+    got = {r["path"]: (r["folder"], r["is_sheet"], r["modified"] is None) for r in convert.listing(spark, str(tmp_path / "l.json")).collect()}
+    assert got == {"a/x": ("a", True, False), "a/x.xlsx": ("a", False, True)}
+    png = b"\x89PNG\r\n\x1a\nrest"
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        z.writestr("word/media/image1.png", png)
+    rows = [("d/a.docx", data.getvalue()), ("d/bad.docx", b"no zip"), ("d/p.html", b'<img src="data:image/gif;base64,' + base64.b64encode(b"GIF89axx") + b'">'), ("d/n.txt", None)]
+    found = convert.embedded_media(spark.createDataFrame(rows, "path string, content binary"))
+    assert {r["target"]: bytes(r["content"]) for r in found.collect()} == {"d/a_media/image1.png": png, "d/p_media/image-1.gif": b"GIF89axx"}
+    sinks.copy_files(found.select(F.col("target").alias("path"), "content"), str(tmp_path / "out"))
+    assert (tmp_path / "out/d/a_media/image1.png").read_bytes() == png
+    said = sinks.write_report({"numbers": spark.range(5)}, str(tmp_path / "r.md"), 3)
+    assert said == "## numbers (5)\n\n- 0\n- 1\n- 2\n- ... and 2 more\n" == (tmp_path / "r.md").read_text()
+    with pytest.raises(Exception, match="outside"):
+        sinks.copy_files(spark.createDataFrame([("../x", b"x")], "path string, content binary"), str(tmp_path / "out"))
