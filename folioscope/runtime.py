@@ -29,6 +29,17 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's own folder below the shared one. It is deleted when the application ends."""
+    path = f"{shared_dir(spark)}/folioscope/{spark.sparkContext.applicationId}"
+    if getattr(spark, "_folioscope_scratch", None) != path:
+        jvm = spark.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+        spark._folioscope_scratch = path
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back.
 
@@ -36,15 +47,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     later reads column-pruned. Nothing is held on one machine.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/folioscope/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Delete every table that ``materialize`` wrote for this session's folder."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(shared_dir(spark) + "/folioscope")
+    """Delete every table that ``materialize`` wrote for this application, before it ends."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
