@@ -13,7 +13,7 @@ from __future__ import annotations
 import base64
 import bisect
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from pathlib import Path
 
 import numpy as np
@@ -30,8 +30,8 @@ TOKENIZERS, VOCABULARY = "/opt/tokenizers", "byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Items of a shard; shards whose leftovers meet; fill from which a container is closed for good.
 SHARD_ITEMS, SHARDS_TOGETHER, CLOSED = 2_000, 64, 0.97
-#: BM25, and how many of an item's terms, the most telling ones, are asked for.
-K1, B, QUERY_TERMS = 1.2, 0.75, 24
+#: BM25, and the share of a shard's items from which on a term tells nothing and is not asked for.
+K1, B, COMMON = 1.2, 0.75, 0.1
 
 ITEMS = "doc_id long, piece_no int, tokens int, terms binary, counts binary"
 PLACED = "container_id long, doc_id long, piece_no int, tokens int"
@@ -56,7 +56,7 @@ def _pieces(folder: str, name: str, capacity: int):
                 for piece_no, start in enumerate(range(0, max(1, len(tokens)), capacity)):
                     part = tokens[start : start + capacity]
                     terms, counts = np.unique(part, return_counts=True)
-                    rows.append((doc_id, piece_no, len(part), terms.astype(np.uint32).tobytes(), np.minimum(counts, 255).astype(np.uint8).tobytes()))
+                    rows.append((doc_id, piece_no, len(part), terms.astype(np.uint32).tobytes(), counts.astype(np.uint16).tobytes()))
             columns = list(zip(*rows)) or [()] * 5
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "piece_no", "tokens", "terms", "counts"])
@@ -84,7 +84,8 @@ class Index:
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused items that share a telling term with the seed, best first."""
         at = np.searchsorted(self.vocabulary, self.terms[seed])
-        at = at[np.argsort(-self.idf[at], kind="stable")[:QUERY_TERMS]]
+        telling = at[self.last[at] - self.first[at] <= COMMON * len(unused)]
+        at = telling if len(telling) else at
         score = np.zeros(len(unused), np.float32)
         for term in at:
             own = slice(self.first[term], self.last[term])
@@ -134,7 +135,7 @@ def _packed(capacity: int, indexed: bool):
         index = None
         if indexed:
             terms = [np.frombuffer(x, np.uint32) for x in table["terms"].to_pylist()]
-            counts = [np.frombuffer(x, np.uint8) for x in table["counts"].to_pylist()]
+            counts = [np.frombuffer(x, np.uint16) for x in table["counts"].to_pylist()]
             index = Index(terms, counts, tokens)
         groups = pack(tokens, index, capacity)
         order = pa.array([i for g in groups for i in g], pa.int64())
@@ -165,6 +166,18 @@ def containers(docs: DataFrame, capacity: int = CAPACITY, folder: str = TOKENIZE
     return marked.filter("closed").drop("closed").unionByName(again.groupBy("shard").applyInArrow(_packed(capacity, False), PLACED))
 
 
+def faults(docs: DataFrame, placed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """(fault, n): what a packing must not have, each with how often it has it."""
+    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null").select("doc_id").distinct()
+    sizes = placed.groupBy("doc_id").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("pieces"), F.countDistinct("piece_no").alias("distinct"), F.count_if(F.col("tokens") == capacity).alias("full"))
+    tests = {
+        "document that is nowhere": wanted.join(sizes, "doc_id", "left_anti"), "document that is not in the table": sizes.join(wanted, "doc_id", "left_anti"), "piece placed twice": sizes.filter(F.col("pieces") > F.col("distinct")),
+        "container above its capacity": placed.groupBy("container_id").agg(F.sum("tokens").alias("t")).filter(F.col("t") > capacity), "document split though it fits": sizes.filter((F.col("pieces") > 1) & (F.col("tokens") <= capacity)),
+        "piece cut short": sizes.filter((F.col("pieces") > 1) & (F.col("full") < F.col("pieces") - 1)),
+    }
+    return reduce(DataFrame.unionByName, [t.agg(F.count("*").alias("n")).select(F.lit(k).alias("fault"), "n") for k, t in tests.items()])
+
+
 def fill(placed: DataFrame) -> DataFrame:
     """(containers, items, tokens, least_containers, unused_share) of a packing."""
     each = placed.groupBy("container_id").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("items"))
