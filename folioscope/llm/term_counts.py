@@ -24,7 +24,10 @@ BLOCKS_PER_ARRAY = 64
 RARE_RECORDS = 2
 COMMON_PERCENT = 5
 
-ARRAYS = "id_range long, occurrences array<long>, records array<long>"
+#: Bytes of a place in a count array, and of a term in a list of those that occur: the shorter of both is sent.
+DENSE_BYTES, SPARSE_BYTES = 16, 20
+
+ARRAYS = "id_range long, ids array<int>, occurrences array<long>, records array<long>"
 COUNTS = "term_id long, occurrences long, records long"
 
 
@@ -51,17 +54,16 @@ def dense_dictionary(blockwise: DataFrame) -> DataFrame:
 
 
 def _scatter(table: pa.Table) -> pa.Table:
+    """The count arrays of one range and group of blocks. Where most places are empty, those that are not are listed with their numbers."""
     span = int(table["id_range"][0].as_py())
     ids = table["term_id"].to_numpy() - span * RANGE
     total = [np.zeros(RANGE, np.int64) for _ in range(2)]
     for array, name in zip(total, ("occurrences", "records")):
         np.add.at(array, ids, table[name].to_numpy())
-    return _arrays([span], *[[x] for x in total])
-
-
-def _arrays(spans: list[int], occurrences: list[np.ndarray], found: list[np.ndarray]) -> pa.Table:
-    lists = [pa.array(x, pa.list_(pa.int64())) for x in (occurrences, found)]
-    return pa.table([pa.array(spans, pa.int64()), *lists], names=["id_range", "occurrences", "records"])
+    used = np.flatnonzero(total[1])
+    sparse = len(used) * SPARSE_BYTES < RANGE * DENSE_BYTES
+    lists = [pa.array([x[used] if sparse else x], pa.list_(pa.int64())) for x in total]
+    return pa.table([pa.array([span], pa.int64()), pa.array([used.astype(np.int32) if sparse else None], pa.list_(pa.int32())), *lists], names=["id_range", "ids", "occurrences", "records"])
 
 
 def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,8 +71,11 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, span = None, 0
     for batch in batches:
         span = int(batch.column("id_range")[0].as_py())
-        now = [batch.column(n).flatten().to_numpy().reshape(-1, RANGE).sum(axis=0) for n in ("occurrences", "records")]
-        total = now if total is None else [a + b for a, b in zip(total, now)]
+        total = total or [np.zeros(RANGE, np.int64) for _ in range(2)]
+        for ids, *counts in zip(*(batch.column(n) for n in ("ids", "occurrences", "records"))):
+            at = ids.values.to_numpy() if ids.is_valid else slice(None)
+            for array, own in zip(total, counts):
+                array[at] += own.values.to_numpy()
     if total is not None:
         used = np.flatnonzero(total[1])
         yield pa.RecordBatch.from_arrays([pa.array(span * RANGE + used), pa.array(total[0][used]), pa.array(total[1][used])], names=["term_id", "occurrences", "records"])
