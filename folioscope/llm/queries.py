@@ -6,9 +6,10 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folioscope.llm import conversations, history_dedup, leakage, mojibake, packing, pii, scan_noise, term_counts, term_residuals
-from folioscope.runtime import shared_dir, spread
+from folioscope.runtime import materialize, scratch_dir, spread
 from folioscope.runtime import table as stored
 
 
@@ -19,6 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.faults(docs, materialize(packing.containers(docs), "containers"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "p1_found": lambda s, d: term_counts.found(table(s, d, "digested_docs")),
@@ -33,10 +39,12 @@ def queries() -> dict[str, Query]:
         "p6_residuals": lambda s, d: term_residuals.most_characteristic(table(s, d, "digested_docs")),
         "p7_found": lambda s, d: history_dedup.found(table(s, d, "export_conversations")),
         "p7_duplicates": lambda s, d: history_dedup.duplicates(table(s, d, "export_conversations")),
-        "p7_incremental": lambda s, d: history_dedup.incremental(table(s, d, "export_conversations"), f"{shared_dir(s)}/folioscope/history-{uuid.uuid4().hex}"),
+        "p7_incremental": lambda s, d: history_dedup.incremental(table(s, d, "export_conversations"), f"{scratch_dir(s)}/history-{uuid.uuid4().hex}"),
         "p8_containers": lambda s, d: packing.containers(table(s, d, "documents")),
+        "p8_faults": _faults,
         "p8_fill": lambda s, d: packing.fill(packing.containers(table(s, d, "documents"))),
         "p9_found": lambda s, d: leakage.found(table(s, d, "documents"), table(s, d, "eval_items")),
+        "p9_extent": lambda s, d: leakage.leaks(table(s, d, "documents"), table(s, d, "eval_items")).select("doc_id", "item_id", "runs", F.round("question_share", 6).alias("question_share"), "answer_seen", "extent"),
         "p9_leaks": lambda s, d: leakage.leaks(table(s, d, "documents"), table(s, d, "eval_items")),
         "p10_found": lambda s, d: mojibake.found(table(s, d, "documents")),
         "p10_restored": lambda s, d: mojibake.restored(table(s, d, "documents")),
@@ -110,8 +118,22 @@ SELECT DISTINCT doc_id, item_id FROM dr JOIN ir USING (h)
 """
 
 
+_EXTENT = """
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(lower(passage), '[\\p{L}\\p{N}]+') AS w, list_distinct(regexp_extract_all(lower(coalesce(question, '')), '[\\p{L}\\p{N}]+')) AS q, regexp_extract_all(lower(coalesce(answer, '')), '[\\p{L}\\p{N}]+') AS a FROM eval_items),
+dr AS (SELECT doc_id, hash(array_to_string(w[k : k + 12], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d)),
+ir AS (SELECT DISTINCT item_id, hash(array_to_string(w[k : k + 12], ' ')) AS h FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) AS k FROM i)),
+m AS (SELECT doc_id, item_id, count(*)::INT AS runs FROM dr JOIN ir USING (h) GROUP BY ALL),
+x AS (SELECT doc_id, item_id, runs, CASE WHEN len(q) > 0 THEN round(len(list_intersect(q, list_distinct(d.w))) / len(q), 6) ELSE 0 END AS question_share, len(a) > 0 AND list_has_all(d.w, a) AS answer_seen, len(q) > 0 AS posed FROM m JOIN d USING (doc_id) JOIN i USING (item_id))
+SELECT doc_id, item_id, runs, question_share, answer_seen, CASE WHEN answer_seen AND posed AND question_share >= 0.8 THEN 'whole item' WHEN answer_seen THEN 'passage and answer' WHEN posed AND question_share >= 0.8 THEN 'passage and question' ELSE 'passage' END AS extent FROM x
+"""
+_NO_FAULTS = "SELECT unnest(['document that is nowhere', 'document that is not in the table', 'piece placed twice', 'container above its capacity', 'document split though it fits', 'piece cut short']) AS fault, 0::BIGINT AS n"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p8_faults": _NO_FAULTS,
+        "p9_extent": _EXTENT,
         "p1_found": _COUNTS + "SELECT field_name, term, mark FROM marked WHERE mark IS NOT NULL",
         "p1_term_counts": _COUNTS + "SELECT field_name, term, occurrences, records, mark FROM marked",
         "p3_found": _CONVERSATIONS,

@@ -64,6 +64,7 @@ def _first(scored: DataFrame, by: str) -> DataFrame:
 
 
 def found(docs: DataFrame) -> DataFrame:
+    """(digest_id, term): the term of the highest ``weight``, which is the contract's measure over the margins that the residuals are made of."""
     return _first(term_residuals(docs), "weight")
 
 
