@@ -110,12 +110,17 @@ def yaml_quote(value: Column) -> Column:
     return F.concat(F.lit('"'), F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'))
 
 
-def emit_frontmatter(values: list[tuple[str, Column]]) -> Column:
-    """A block of the fields that are not null; strings are quoted, arrays bracketed, the rest bare."""
-    lines = F.array(*[F.concat(F.lit(f"{name}: "), shown) for name, shown in values])
+def emit_frontmatter(values: list[tuple[str, Column]], empty: bool = False) -> Column:
+    """A block of the fields that are not null, or with ``empty`` of all, null ones as ``""``; strings are quoted, arrays bracketed, the rest bare."""
+    lines = F.array(*[F.concat(F.lit(f"{name}: "), F.coalesce(shown, F.lit('""')) if empty else shown) for name, shown in values])
     return F.concat(F.lit("---\n"), F.array_join(F.filter(lines, lambda x: x.isNotNull()), "\n"), F.lit("\n---\n"))
 
 
+def bracketed(items: Column) -> Column:
+    """A list as a field shows it."""
+    return F.concat(F.lit("["), F.array_join(F.transform(items, yaml_quote), ", "), F.lit("]"))
+
+
 def headings(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(HEADING), F.lit(0))
 

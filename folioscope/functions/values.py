@@ -53,6 +53,12 @@ def name_date(name: Column) -> Column:
     return F.to_date(F.try_to_timestamp(F.nullif(found, F.lit("")), F.lit("yyyy-MM-dd")))
 
 
+def record_date(name: Column, head: Column) -> Column:
+    """The day of a record: that its file's name begins with, else the date within the first 2,048 characters of its frontmatter."""
+    found = F.regexp_extract(F.substring(head, 1, 2048), r'(?m)^date:[ \t]*"?(\d{4}-\d{2}-\d{2})', 1)
+    return F.coalesce(name_date(name), F.to_date(F.try_to_timestamp(F.nullif(found, F.lit("")), F.lit("yyyy-MM-dd"))))
+
+
 def date_text(at: Column) -> Column:
     return F.coalesce(F.date_format(at, "yyyy-MM-dd"), F.lit("unknown"))
 

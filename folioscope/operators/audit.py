@@ -14,6 +14,9 @@ TOOL_FOLDERS = ["_audit", "_Tools", "_ocr-cache", "__pycache__", "node_modules"]
 TOOL_FILES = ["DIRTREE.txt", "FILETREE.txt", "tree.txt", ".DS_Store", "Thumbs.db", "desktop.ini"]
 REQUIRED = ["title", "keywords", "date", "source"]
 RETIRED = ["true", "yes", "1", "on"]
+SKIPPED_SOURCES = [
+    "Claude export (project metadata)", "Claude export (project knowledge)", "Claude export (memory)", "Claude export (project memory)", "Claude export (account)", "ChatGPT export auxiliary file",
+]
 VERSIONED = r"(?i)^.+-(?:v\d+(?:\.\d+)*|draft\d*)\.[A-Za-z0-9]+$"
 TIMESTAMPED = r"^\d{4}-\d{2}-\d{2}-\d{4}__[a-z0-9]+(?:-[a-z0-9]+)*\.[A-Za-z0-9]+$"
 
@@ -86,6 +89,11 @@ def stale_state(has_fields: Column, retired: Column, skipped: Column, in_files:
     )
 
 
+def skipped_source(source: Column) -> Column:
+    """Whether a record stands for an object of an export that is no conversation, so that its source cannot be missed."""
+    return F.coalesce(source.isin(SKIPPED_SOURCES), F.lit(False))
+
+
 def renames(absent: DataFrame, raw: DataFrame) -> DataFrame:
     """(path, new_path): absent records (path, size, sha256) whose content stands elsewhere in raw (path, size, sha256).
 

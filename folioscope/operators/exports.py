@@ -43,12 +43,13 @@ def earlier_kept(messages: DataFrame) -> DataFrame:
 
 
 def merge_report(messages: DataFrame) -> DataFrame:
-    """One row: exports, conversations, in_several_exports, messages."""
+    """One row: exports, conversations, in_several_exports, messages, earlier_versions_kept."""
     per = versions(messages).groupBy("conv_uuid").agg(F.count("*").alias("n"))
     counts = per.agg(F.count("*").alias("conversations"), F.count_if(F.col("n") > 1).alias("in_several_exports"))
     rows = messages.agg(F.countDistinct("export_key").alias("exports"), F.countDistinct("msg_uuid").alias("messages"))
+    kept = earlier_kept(messages).agg(F.count("*").alias("earlier_versions_kept"))
     one = F.lit(1).alias("one")
-    return rows.select("*", one).join(counts.select("*", one), "one").drop("one")
+    return rows.select("*", one).join(counts.select("*", one), "one").join(kept.select("*", one), "one").drop("one")
 
 
 def as_of_labels(messages: DataFrame) -> DataFrame:
@@ -103,6 +104,23 @@ def revision_check(found: DataFrame) -> DataFrame:
     return kept.select("file_id", "file_project", "revision", "before", F.coalesce(F.col("revision") > F.col("before"), F.lit(True)).alias("rises"))
 
 
+def resolution(found: DataFrame, problems: DataFrame) -> DataFrame:
+    """(file_project, file_id, state, prior, climbs): the newest readable manifest of each project, ``chosen`` or ``rejected`` by its own problems.
+
+    One without a time is older than any other. Older ones with problems are passed over. A numbered newest one must be higher than the
+    latest numbered one before it that has no problems. Aggregates before it shuffles, so a project may have any share of the files.
+    """
+    bad = problems.select("file_id").distinct().withColumn("bad", F.lit(True))
+    kept = found.filter("valid").join(bad, "file_id", "left").select("file_project", "file_id", "written_at", "revision", F.coalesce("bad", F.lit(False)).alias("bad"))
+    order = F.struct(F.coalesce(F.unix_micros("written_at"), F.lit(-(1 << 62))).alias("at"), F.col("file_id").alias("i"))
+    placed = kept.withColumn("o", order)
+    last = placed.groupBy("file_project").agg(F.max_by(F.struct("file_id", "revision", "bad"), "o").alias("m"), F.max("o").alias("last"))
+    numbered = placed.filter("not bad and revision is not null").join(last.select("file_project", "last"), "file_project").filter(F.col("o") < F.col("last"))
+    before = numbered.groupBy("file_project").agg(F.max_by("revision", "o").alias("prior"))
+    climbs = F.coalesce(F.col("m.revision") > F.col("prior"), F.lit(True))
+    return last.join(before, "file_project", "left").select("file_project", "m.file_id", F.when(F.col("m.bad"), "rejected").otherwise("chosen").alias("state"), "prior", climbs.alias("climbs"))
+
+
 def placement(found: DataFrame) -> DataFrame:
     """(conv_uuid, project, projects): the project of the first manifest that claims a conversation, and how many do."""
     newest_file = newest(found.filter("valid").select("file_project", "file_id", "written_at", "entries"), ["file_project"], [F.col("written_at"), F.col("file_id")])

@@ -91,11 +91,21 @@ def _missing(s: SparkSession, d: str) -> DataFrame:
     return audit.missing_tally(_digests(s, d).withColumn("missing", audit.missing_fields(fields)), "provenance_structure")
 
 
+#: Where the files of the path query stand: the star is the file's own path.
+PLACES = ["*", "_Tools/*", "a/__pycache__/b/*", ".git/*", "*/.hidden/x", "*/~$lock.docx", "*/x.PYC", "*/Thumbs.db", "_tools/*", "*/notes._audit", "*/.env"]
+
+
 def _stale(s: SparkSession, d: str) -> DataFrame:
-    kept = table(s, d, "chat_messages").select("conv_uuid").filter("conv_uuid is not null").distinct().withColumn("there", F.lit(True))
-    ops = table(s, d, "file_ops").select("op_id", "conv_uuid", "failed").join(kept, "conv_uuid", "left")
-    state = audit.stale_state(F.col("op_id").isNotNull(), F.coalesce(F.col("failed").cast("string"), F.lit("")), F.lit(False), F.lit(False), F.lit(None).cast("string"), F.coalesce("there", F.lit(False)), F.col("conv_uuid"))
-    return ops.groupBy(state.alias("state")).agg(F.count("*").alias("records"))
+    """Digests, calls and messages as records of every kind: of a file, of a conversation, of objects that are neither, and of nothing."""
+    none = F.lit(None).cast("string")
+    digested = _digests(s, d).select(F.col("title").isNotNull().alias("fields"), F.when(F.col("keywords_weighted"), "no").otherwise("on").alias("retired"), F.when(F.col("source").contains("export"), F.lit("Claude export (memory)")).otherwise(F.col("source")).alias("source"), F.when(~F.col("source").contains("export"), text.base_name(F.col("source_path"))).alias("file_name"), none.alias("conv"))
+    called = table(s, d, "file_ops").select(F.lit(True).alias("fields"), F.when(F.col("failed"), "TRUE ").otherwise("").alias("retired"), F.col("op").alias("source"), none.alias("file_name"), F.col("conv_uuid").alias("conv"))
+    files = _documents(s, d).select(text.base_name(F.col("source")).alias("file_name")).distinct().withColumn("in_files", F.lit(True))
+    chats = _messages(s, d).filter("conv_uuid is not null and project_uuid is not null").select(F.col("conv_uuid").alias("conv")).distinct().withColumn("in_chats", F.lit(True))
+    stems = digested.withColumn("file_name", F.regexp_replace("file_name", r"-\d+$", ""))
+    met = stems.unionByName(called).join(files, "file_name", "left").join(chats, "conv", "left")
+    state = audit.stale_state(F.col("fields"), F.col("retired"), audit.skipped_source(F.col("source")), F.coalesce("in_files", F.lit(False)), F.col("file_name"), F.coalesce("in_chats", F.lit(False)), F.col("conv"))
+    return met.groupBy(state.alias("state")).agg(F.count("*").alias("records"))
 
 
 def _renames(s: SparkSession, d: str) -> DataFrame:
@@ -145,9 +155,10 @@ def _selection(s: SparkSession, d: str) -> DataFrame:
 
 
 def _mirror(s: SparkSession, d: str) -> DataFrame:
-    ops = table(s, d, "file_ops").filter("op = 'create' and conv_uuid is not null and coalesce(failed, false) = false")
-    side = lambda branch: ops.filter(F.col("branch") == branch).groupBy(F.concat_ws(":", "conv_uuid", "file_path").alias("path")).agg(F.max(F.length("text")).cast("long").alias("size"), F.max(F.md5("text")).alias("digest"))
-    return inventory.mirror(side("active"), side("inactive")).groupBy("action").agg(F.count("*").alias("files"))
+    """The conversations of the later batches against those of the earlier ones, as files."""
+    rows = table(s, d, "export_conversations").filter("conv_uuid is not null")
+    side = lambda late: exports.newest(rows.filter((F.col("batch_no") > 12) == late).select(F.col("conv_uuid").alias("path"), F.length("transcript").cast("long").alias("size"), F.md5("transcript").alias("digest"), "batch_no", "conv_row_id"), ["path"], [F.col("batch_no"), F.col("conv_row_id")])
+    return inventory.mirror(side(True), side(False)).groupBy("action").agg(F.count("*").alias("files"))
 
 
 def _collisions(s: SparkSession, d: str) -> DataFrame:
@@ -274,6 +285,7 @@ def queries() -> dict[str, Query]:
     return {
         "p5_found": lambda s, d: schema_drift.found(table(s, d, "manifest_files")),
         "p5_changes": lambda s, d: schema_drift.schema_changes(table(s, d, "manifest_files")),
+        "p5_retyped": lambda s, d: schema_drift.found(table(s, d, "manifest_files")).filter("change_kind = 'retyped'").select("file_id", "field_name"),
         "p5_manifests": lambda s, d: schema_drift.united(table(s, d, "manifest_files")),
         "word_count_documents": _per_document(lambda t: dict(words=text.word_count(t))),
         "keyword_count_scale": _per_document(lambda t: dict(n=text.keyword_count(text.word_count(t)))),
@@ -285,7 +297,9 @@ def queries() -> dict[str, Query]:
         "title_documents": _per_document(lambda t: dict(title=text.title(text.body(t), text.base_name(F.col("source"))))),
         "frontmatter_fields": _per_document(lambda t: dict(title=text.field(text.frontmatter(t), "title"), source=text.field(text.frontmatter(t), "source"), keywords=_joined(text.list_items(text.field(text.frontmatter(t), "keywords"))), body=F.md5(text.body(t)))),
         "frontmatter_emit": _emitted,
+        "frontmatter_emit_all": lambda s, d: _digests(s, d).select("digest_id", text.emit_frontmatter([("title", text.yaml_quote(F.col("title"))), ("keywords", text.bracketed(F.filter("keywords", lambda k: k.isNotNull()))), ("word_count", F.col("word_count").cast("string"))], empty=True).alias("block")),
         "frontmatter_roundtrip": _round_trip,
+        "record_dates": lambda s, d: _documents(s, d).select("doc_id", values.record_date(F.concat(F.when(F.length("title") > 12, F.concat(F.date_format("indexed_at", "yyyy-MM-dd"), F.lit("-"))).otherwise(""), text.base_name(F.col("source"))), F.col("text")).alias("day")),
         "index_block_documents": _indexed,
         "capitalised_terms": _per_document(lambda t: dict(terms=_joined(F.array_sort(text.capitalised_terms(t))))),
         "fenced_documents": _per_document(lambda t: dict(digest=F.md5(text.fenced(t)))),
@@ -312,13 +326,14 @@ def queries() -> dict[str, Query]:
         "keywords_weighted": lambda s, d: provenance.keywords_weighted(_documents(s, d)),
         "fingerprint_windows": lambda s, d: duplicates.windows(_documents(s, d)),
         "duplicate_classes": lambda s, d: duplicates.duplicate_classes(_documents(s, d)),
+        "duplicate_conversations": lambda s, d: duplicates.duplicate_classes(table(s, d, "export_conversations").filter(~F.coalesce("earlier_version", F.lit(False))).select(F.col("conv_row_id").alias("doc_id"), F.col("transcript").alias("text"))),
         "duplicate_passages": lambda s, d: duplicates.differing_passages(_documents(s, d)),
         "shared_windows": lambda s, d: duplicates.shared_windows(_documents(s, d), table(s, d, "eval_items").select(F.col("item_id").alias("doc_id"), F.col("passage").alias("text"))),
         "completeness_antijoin": _completeness,
         "index_differences": lambda s, d: audit.index_differences(_digests(s, d).select(F.col("digest_id").alias("id")), _documents(s, d).select(F.col("doc_id").alias("id")), "id"),
         "frontmatter_missing": _missing,
         "filename_conformance": lambda s, d: table(s, d, "manifest_files").select("file_id", audit.name_conforms(F.col("file_name")).alias("conforms")),
-        "utility_paths": lambda s, d: _files(s, d).select("digest_id", audit.utility_path(F.concat(F.when(F.col("digest_id") % 5 == 0, "_Tools/").otherwise(""), "path")).alias("utility")),
+        "utility_paths": lambda s, d: _files(s, d).select("digest_id", audit.utility_path(F.replace(F.element_at(F.array(*map(F.lit, PLACES)), (F.col("digest_id") % len(PLACES) + 1).cast("int")), F.lit("*"), F.col("path"))).alias("utility")),
         "stale_classification": _stale,
         "rename_detection": _renames,
         "export_times": lambda s, d: exports.export_times(_messages(s, d)),
@@ -328,6 +343,7 @@ def queries() -> dict[str, Query]:
         "as_of_labels": lambda s, d: exports.as_of_labels(_messages(s, d)),
         "manifest_problems": lambda s, d: exports.manifest_problems(_found_manifests(s, d)),
         "manifest_revisions": lambda s, d: exports.revision_check(_found_manifests(s, d)),
+        "manifest_resolution": lambda s, d: exports.resolution(_found_manifests(s, d), exports.manifest_problems(_found_manifests(s, d))),
         "manifest_placement": lambda s, d: exports.placement(_found_manifests(s, d)),
         "manifest_gate": lambda s, d: exports.gate_problems(_found_manifests(s, d), _messages(s, d), table(s, d, "projects")),
         "ledger_new": _ledger,
@@ -357,7 +373,7 @@ def queries() -> dict[str, Query]:
         "scanned_files": lambda s, d: render.scanned(table(s, d, "pdf_pages")),
         "plain_documents": lambda s, d: render.plain_reader(_documents(s, d)).select("doc_id", F.md5("plain").alias("digest")),
         "file_kinds": _run_totals,
-        "folder_summary": lambda s, d: inventory.folder_summary(_files(s, d).select("path", "size")),
+        "folder_summary": lambda s, d: inventory.folder_summary(_digests(s, d).select(F.concat(text.parent(F.col("source_path")), F.lit("/"), F.coalesce(F.date_format("indexed_at", "yyyy-MM-dd"), F.lit("9999-99-99")), F.lit("-"), F.col("digest_id").cast("string"), F.when(F.col("source") == "md", ".md").otherwise(".txt")).alias("path"), F.col("source_bytes").alias("size"))),
         "selection_coverage": _selection,
         "mirror_actions": _mirror,
         "collision_verdicts": _collisions,

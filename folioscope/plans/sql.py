@@ -7,7 +7,7 @@ from folioscope.functions.text import STOPWORDS
 from folioscope.operators.audit import TOOL_FILES
 from folioscope.operators.inventory import ACCOUNT_FILES, MEDIA
 from folioscope.operators.provenance import MACHINES
-from folioscope.plans.catalog import HEADS
+from folioscope.plans.catalog import HEADS, PLACES
 
 
 def _list(items: list[str]) -> str:
@@ -102,7 +102,7 @@ _DATE = r"""CASE WHEN regexp_matches(trim(doc_date), '^D:\d{8}') THEN try_cast(r
  WHEN regexp_matches(trim(doc_date), '^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$') THEN try_cast(regexp_replace(trim(doc_date), '^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2})([+-Z].*)?$', '\1 \2:00\3') AS TIMESTAMPTZ) END"""
 _TOTALS = "count(*) AS files"
 
-_NODES = """
+_NODES = r"""
 nd AS (SELECT conv_uuid AS conv_id, msg_uuid AS node_id, any_value(nullif(parent_uuid, '00000000-0000-4000-8000-000000000000')) AS parent, any_value(created_at) AS made, any_value(text) AS text,
  any_value(CASE WHEN lower(trim(coalesce(sender, ''))) IN ('human', 'user') THEN 'user' WHEN lower(trim(coalesce(sender, ''))) IN ('system', 'tool') THEN lower(trim(sender)) ELSE 'assistant' END) AS role,
  any_value(list_filter(list_transform(coalesce(content, []), lambda b: b.text), lambda x: x IS NOT NULL)) AS said FROM chat_messages WHERE conv_uuid IS NOT NULL AND msg_uuid IS NOT NULL GROUP BY 1, 2),
@@ -174,13 +174,16 @@ SQL: dict[str, str] = {
     "index_differences": f"WITH {_DIGESTS} SELECT digest_id AS id, 'dangling' AS side FROM dd WHERE digest_id NOT IN (SELECT doc_id FROM documents) UNION ALL SELECT doc_id, 'unindexed' FROM documents WHERE doc_id NOT IN (SELECT digest_id FROM dd)",
     "frontmatter_missing": f"WITH {_DIGESTS}, m AS (SELECT provenance_structure, unnest(list_filter([CASE WHEN trim(coalesce(title, '')) = '' THEN 'title' END, CASE WHEN trim(coalesce(array_to_string(keywords, ','), '')) = '' THEN 'keywords' END, CASE WHEN trim(coalesce(doc_date, '')) = '' THEN 'date' END, CASE WHEN trim(coalesce(source, '')) = '' THEN 'source' END], lambda x: x IS NOT NULL)) AS field FROM dd) SELECT provenance_structure, field, count(*) AS records FROM m GROUP BY ALL",
     "filename_conformance": r"SELECT file_id, regexp_matches(file_name, '(?i)^.+-(?:v\d+(?:\.\d+)*|draft\d*)\.[A-Za-z0-9]+$') OR regexp_matches(file_name, '^\d{4}-\d{2}-\d{2}-\d{4}__[a-z0-9]+(?:-[a-z0-9]+)*\.[A-Za-z0-9]+$') AS conforms FROM manifest_files",
-    "utility_paths": f"WITH {_DIGESTS}, {_FILES} SELECT digest_id, digest_id % 5 = 0 OR split_part(path, '/', -1) IN ({_list(TOOL_FILES)}) AS utility FROM ff",
-    "stale_classification": "WITH k AS (SELECT DISTINCT conv_uuid FROM chat_messages WHERE conv_uuid IS NOT NULL), s AS (SELECT CASE WHEN o.op_id IS NULL THEN 'no-frontmatter' WHEN failed THEN 'retired' WHEN o.conv_uuid IS NULL THEN 'orphan' WHEN k.conv_uuid IS NOT NULL THEN 'ok' ELSE 'absent-conversation' END AS state FROM file_ops o LEFT JOIN k USING (conv_uuid)) SELECT state, count(*) AS records FROM s GROUP BY state",
+    "utility_paths": rf"""WITH {_DIGESTS}, {_FILES}, p AS (SELECT digest_id, replace(([{_list(PLACES)}])[digest_id % {len(PLACES)} + 1], '*', path) AS path FROM ff)
+ SELECT digest_id, regexp_matches(path, '(^|/)(_audit|_Tools|_ocr-cache|__pycache__|node_modules|\.[^/]*)/') OR regexp_matches(path, '(^|/)(~\$|\.)[^/]*$') OR regexp_matches(lower(path), '\.(pyc|pyo)$') OR split_part(path, '/', -1) IN ({_list(TOOL_FILES)}) AS utility FROM p""",
+    "stale_classification": f"""WITH {_DIGESTS}, k AS (SELECT DISTINCT conv_uuid FROM chat_messages WHERE conv_uuid IS NOT NULL AND project_uuid IS NOT NULL), f AS (SELECT DISTINCT split_part(source, '/', -1) AS n FROM documents),
+ r AS (SELECT CASE WHEN title IS NULL THEN 'no-frontmatter' WHEN NOT coalesce(keywords_weighted, false) THEN 'retired' WHEN source LIKE '%export%' THEN 'skipped' WHEN source_path IS NULL OR source IS NULL THEN 'orphan' WHEN regexp_replace(split_part(source_path, '/', -1), '-\\d+$', '') IN (SELECT n FROM f) THEN 'ok' ELSE 'absent-file' END AS state FROM dd
+ UNION ALL SELECT CASE WHEN coalesce(failed, false) THEN 'retired' WHEN conv_uuid IS NULL THEN 'orphan' WHEN conv_uuid IN (SELECT conv_uuid FROM k) THEN 'ok' ELSE 'absent-conversation' END FROM file_ops) SELECT state, count(*) AS records FROM r GROUP BY state""",
     "rename_detection": f"WITH {_DIGESTS}, {_FILES}, w AS (SELECT size, sha256, min(path) AS new_path FROM ff GROUP BY ALL) SELECT 'moved/' || path AS path, new_path FROM ff  JOIN w USING (size, sha256)",
     "export_times": "SELECT export_key, coalesce(max(created_at), max(exported_at)) AS export_time, count(DISTINCT conv_uuid) AS conversations, count(DISTINCT msg_uuid) AS messages FROM chat_messages GROUP BY export_key",
     "newest_versions": f"WITH {_VERSIONS} SELECT * FROM nv",
     "earlier_versions_kept": f"WITH {_VERSIONS}, h AS (SELECT DISTINCT conv_uuid, export_key, msg_uuid FROM chat_messages WHERE conv_uuid IS NOT NULL), t AS (SELECT h.*, nv.export_key AS nk FROM h JOIN nv USING (conv_uuid)) SELECT conv_uuid, export_key, count(*) AS lost_messages FROM t o WHERE export_key <> nk AND NOT EXISTS (SELECT 1 FROM t n WHERE n.conv_uuid = o.conv_uuid AND n.msg_uuid = o.msg_uuid AND n.export_key = n.nk) GROUP BY ALL",
-    "merge_report": f"WITH {_VERSIONS}, p AS (SELECT conv_uuid, count(*) AS n FROM vs GROUP BY conv_uuid) SELECT (SELECT count(DISTINCT export_key) FROM chat_messages) AS exports, (SELECT count(DISTINCT msg_uuid) FROM chat_messages) AS messages, count(*) AS conversations, count(*) FILTER (n > 1) AS in_several_exports FROM p",
+    "merge_report": f"WITH {_VERSIONS}, p AS (SELECT conv_uuid, count(*) AS n FROM vs GROUP BY conv_uuid), h AS (SELECT DISTINCT conv_uuid, export_key, msg_uuid FROM chat_messages WHERE conv_uuid IS NOT NULL), t AS (SELECT h.*, nv.export_key AS nk FROM h JOIN nv USING (conv_uuid)), e AS (SELECT DISTINCT conv_uuid, export_key FROM t o WHERE export_key <> nk AND NOT EXISTS (SELECT 1 FROM t n WHERE n.conv_uuid = o.conv_uuid AND n.msg_uuid = o.msg_uuid AND n.export_key = n.nk)) SELECT (SELECT count(DISTINCT export_key) FROM chat_messages) AS exports, (SELECT count(DISTINCT msg_uuid) FROM chat_messages) AS messages, count(*) AS conversations, count(*) FILTER (n > 1) AS in_several_exports, (SELECT count(*) FROM e) AS earlier_versions_kept FROM p",
     "as_of_labels": "WITH t AS (SELECT export_key, coalesce(max(created_at), max(exported_at)) AS made FROM chat_messages GROUP BY export_key) SELECT export_key, CASE WHEN row_number() OVER (PARTITION BY made::DATE ORDER BY made, export_key) = 1 THEN strftime(made, '%Y-%m-%d') ELSE strftime(made, '%Y-%m-%d-%H%M') END AS label FROM t",
     "manifest_problems": f"WITH {_MANIFESTS} SELECT file_id, unnest(list_filter([CASE WHEN NOT valid THEN 'unreadable' END, CASE WHEN declared <> len(entries) THEN 'count differs' END, CASE WHEN len(entries) <> len(list_distinct(entries)) THEN 'entry listed twice' END, CASE WHEN project <> replace(file_project, '-', '') THEN 'named for another project' END, CASE WHEN valid AND project IS NULL THEN 'no project' END], lambda x: x IS NOT NULL)) AS problem FROM mf",
     "manifest_revisions": f"WITH {_MANIFESTS}, b AS (SELECT file_id, file_project, revision, last_value(revision IGNORE NULLS) OVER (PARTITION BY file_project ORDER BY written_at NULLS FIRST, file_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM mf WHERE valid) SELECT *, coalesce(revision > before, true) AS rises FROM b",
@@ -196,10 +199,11 @@ SQL: dict[str, str] = {
     "file_kinds": f"""WITH {_DIGESTS}, {_FILES}, k AS (SELECT size, lower(split_part(path, '/', -1)) AS name, lower(regexp_extract(split_part(path, '/', -1), '.(\\.[^.]+)$', 1)) AS ext FROM ff),
  t AS (SELECT size, CASE WHEN name LIKE '~$%' OR name LIKE '.%' THEN 'skipped' WHEN ext = '.docx' THEN 'docx' WHEN ext IN ('.xlsx', '.xlsm') THEN 'xlsx' WHEN ext = '.pdf' THEN 'pdf' WHEN name IN ({_list(ACCOUNT_FILES)}) THEN 'account' WHEN ext IN ('.html', '.htm') THEN 'html' WHEN ext = '.rtf' THEN 'rtf' WHEN regexp_matches(name, '^conversations(-\\d+)?\\.json$') THEN 'conversations' WHEN ext = '.md' THEN 'md' WHEN ext = '.txt' THEN 'txt' WHEN ext IN ({_list(['.' + m for m in MEDIA])}) THEN 'media' ELSE 'sidecar' END AS kind FROM k)
  SELECT kind, count(*) AS files, sum(size)::BIGINT AS bytes FROM t GROUP BY kind""",
-    "folder_summary": f"""WITH {_DIGESTS}, {_FILES}, s AS (SELECT regexp_replace(path, '/[^/]*$', '') AS folder, count(*) AS files, count(*) FILTER (path LIKE '%.md') AS md_files, coalesce(sum(size), 0)::BIGINT AS bytes, CAST(NULL AS DATE) AS first_day, CAST(NULL AS DATE) AS last_day FROM ff GROUP BY 1)
+    "folder_summary": f"""WITH {_DIGESTS}, s AS (SELECT regexp_replace(source_path, '/[^/]*$', '') AS folder, count(*) AS files, count(*) FILTER (source = 'md') AS md_files, coalesce(sum(source_bytes), 0)::BIGINT AS bytes, min(indexed_at::DATE) AS first_day, max(indexed_at::DATE) AS last_day FROM dd GROUP BY 1)
  SELECT *, CASE WHEN bytes < 1024 THEN printf('%d B', bytes) WHEN bytes < 1048576 THEN printf('%.1f KB', round(bytes / 1024.0, 1)) WHEN bytes < 1073741824 THEN printf('%.1f MB', round(bytes / 1048576.0, 1)) ELSE printf('%.1f GB', round(bytes / 1073741824.0, 1)) END AS size FROM s""",
     "selection_coverage": "WITH l AS (SELECT 'chats' AS n, project_uuid AS folder FROM chat_messages UNION SELECT 'exports', project_uuid FROM export_conversations), s AS (SELECT folder, string_agg(n, ',' ORDER BY n) AS selected_by FROM l WHERE folder IS NOT NULL GROUP BY folder), p AS (SELECT DISTINCT project_uuid AS folder FROM projects) SELECT coalesce(p.folder, s.folder) AS folder, selected_by, CASE WHEN p.folder IS NULL THEN 'unmatched' WHEN selected_by IS NULL THEN 'unselected' ELSE 'selected' END AS state FROM p FULL JOIN s ON p.folder = s.folder",
-    "mirror_actions": "WITH o AS (SELECT branch, concat_ws(':', conv_uuid, file_path) AS path, max(len(text)) AS size, max(md5(text)) AS digest FROM file_ops WHERE op = 'create' AND conv_uuid IS NOT NULL AND coalesce(failed, false) = false GROUP BY ALL), a AS (SELECT * FROM o WHERE branch = 'active'), b AS (SELECT * FROM o WHERE branch = 'inactive') SELECT CASE WHEN b.path IS NULL THEN '+' WHEN a.path IS NULL THEN '-' WHEN a.size IS NOT DISTINCT FROM b.size AND a.digest IS NOT DISTINCT FROM b.digest THEN '=' ELSE '~' END AS action, count(*) AS files FROM a FULL JOIN b ON a.path = b.path GROUP BY action",
+    "mirror_actions": """WITH n AS (SELECT conv_uuid AS path, batch_no > 12 AS late, len(transcript) AS size, md5(transcript) AS digest FROM export_conversations WHERE conv_uuid IS NOT NULL QUALIFY row_number() OVER (PARTITION BY conv_uuid, batch_no > 12 ORDER BY batch_no DESC, conv_row_id DESC) = 1),
+ a AS (SELECT * FROM n WHERE late), b AS (SELECT * FROM n WHERE NOT late) SELECT CASE WHEN b.path IS NULL THEN '+' WHEN a.path IS NULL THEN '-' WHEN a.size IS NOT DISTINCT FROM b.size AND a.digest IS NOT DISTINCT FROM b.digest THEN '=' ELSE '~' END AS action, count(*) AS files FROM a FULL JOIN b ON a.path = b.path GROUP BY action""",
     "collision_verdicts": f"""WITH {_DIGESTS}, n AS (SELECT source, regexp_replace(source_path, '/[^/]*$', '') AS folder, split_part(title, ' ', 1) AS stem, max(indexed_at) AS at, count(title) AS c FROM dd WHERE title IS NOT NULL GROUP BY ALL),
  f AS (SELECT * FROM n WHERE source = 'xlsx'), s AS (SELECT * FROM n WHERE source = 'docx') SELECT f.folder || '/' || f.stem || '.xlsx' AS path, s.folder || '/' || s.stem AS sheet_path, CASE WHEN f.at IS NULL OR s.at IS NULL THEN 'unknown' WHEN f.at >= s.at THEN 'SAFE' ELSE 'KEEP' END AS verdict FROM f JOIN s USING (folder, stem)""",
     "first_claims": "SELECT conv_uuid, conv_row_id, batch_no, project_uuid FROM export_conversations QUALIFY row_number() OVER (PARTITION BY conv_uuid ORDER BY batch_no, conv_row_id) = 1",
@@ -221,8 +225,25 @@ SQL: dict[str, str] = {
     "unrecoverable_outputs": """WITH o AS (SELECT * FROM file_ops WHERE conv_uuid IS NOT NULL AND file_path IS NOT NULL AND coalesce(failed, false) = false)
  SELECT DISTINCT conv_uuid, file_path, CASE WHEN lower(file_path) LIKE '%.zip' OR EXISTS (SELECT 1 FROM o z WHERE z.op = 'zip' AND z.conv_uuid = p.conv_uuid AND z.file_path = p.file_path) THEN 'a zip archive' ELSE 'no text in the export; likely binary' END AS reason
  FROM o p WHERE op = 'present' AND coalesce(branch = 'active', true) AND NOT EXISTS (SELECT 1 FROM o c WHERE c.op = 'create' AND c.conv_uuid = p.conv_uuid AND c.file_path = p.file_path)""",
+    "manifest_resolution": f"""WITH {_MANIFESTS}, bad AS (SELECT file_id FROM mf WHERE NOT valid OR declared <> len(entries) OR len(entries) <> len(list_distinct(entries)) OR project <> replace(file_project, '-', '') OR project IS NULL),
+ o AS (SELECT *, file_id IN (SELECT file_id FROM bad) AS bad, row_number() OVER (PARTITION BY file_project ORDER BY written_at DESC NULLS LAST, file_id DESC) AS k FROM mf WHERE valid), l AS (SELECT * FROM o WHERE k = 1),
+ p AS (SELECT file_project, arg_min(revision, k) AS prior FROM o WHERE k > 1 AND NOT bad AND revision IS NOT NULL GROUP BY file_project)
+ SELECT file_project, file_id, CASE WHEN bad THEN 'rejected' ELSE 'chosen' END AS state, prior, coalesce(revision > prior, true) AS climbs FROM l LEFT JOIN p USING (file_project)""",
+    "duplicate_conversations": f"""WITH RECURSIVE src AS (SELECT conv_row_id AS doc_id, transcript AS text FROM export_conversations WHERE NOT coalesce(earlier_version, false)), {_windows('w', 'src')}, l AS (SELECT min(doc_id) AS a, window_hash FROM w GROUP BY window_hash HAVING count(*) > 1), e AS (SELECT DISTINCT a, doc_id AS b FROM w JOIN l USING (window_hash) WHERE doc_id <> a),
+ b AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS id, a AS other FROM b UNION SELECT r.id, b.b FROM r JOIN b ON b.a = r.other), c AS (SELECT id, min(other) AS class_id FROM r GROUP BY id)
+ SELECT id AS doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size FROM c""",
+    "frontmatter_emit_all": rf"""WITH {_DIGESTS}, q AS (SELECT digest_id, '"' || replace(replace(title, '\', '\\'), '"', '\"') || '"' AS t, '[' || array_to_string(list_transform(list_filter(keywords, lambda k: k IS NOT NULL), lambda k: '"' || replace(replace(k, '\', '\\'), '"', '\"') || '"'), ', ') || ']' AS k, word_count FROM dd)
+ SELECT digest_id, '---' || chr(10) || 'title: ' || coalesce(t, '""') || chr(10) || 'keywords: ' || coalesce(k, '""') || chr(10) || 'word_count: ' || coalesce(word_count::VARCHAR, '""') || chr(10) || '---' || chr(10) AS block FROM q""",
+    "record_dates": r"""SELECT doc_id, coalesce(CASE WHEN len(title) > 12 THEN indexed_at::DATE END, try_cast(nullif(regexp_extract(substr(text, 1, 2048), '(?m)^date:[ \t]*"?(\d{4}-\d{2}-\d{2})', 1), '') AS DATE)) AS day FROM documents""",
+    "p5_retyped": rf"""WITH f AS (SELECT DISTINCT ON (file_id, file_name, written_at) file_id, lower(regexp_extract(file_name, '(?i)({_UUID})', 1)) AS grp, written_at, raw_json::JSON AS j FROM manifest_files WHERE json_valid(raw_json) AND json_type(raw_json) = 'OBJECT' AND regexp_matches(file_name, '(?i){_UUID}')),
+ e AS (SELECT file_id, unnest(json_extract(j, '$.conversations[*]')) AS j FROM f WHERE json_type(j, '$.conversations') = 'ARRAY'),
+ k AS (SELECT file_id, '' AS level, j, unnest(json_keys(j)) AS key FROM f UNION ALL SELECT file_id, 'conversations.', j, unnest(json_keys(j)) FROM e WHERE json_type(j) = 'OBJECT'),
+ t AS (SELECT file_id, level || key AS field_name, json_type(j, '$."' || key || '"') AS t FROM k),
+ n AS (SELECT file_id, field_name, list_sort(list(DISTINCT CASE WHEN t IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'HUGEINT') THEN 'NUMBER' ELSE t END)) AS ts FROM t WHERE t <> 'NULL' GROUP BY ALL),
+ p AS (SELECT file_id, lag(file_id) OVER (PARTITION BY grp ORDER BY written_at NULLS FIRST, file_id) AS before FROM f)
+ SELECT p.file_id, a.field_name FROM p JOIN n a ON a.file_id = p.file_id JOIN n b ON b.file_id = p.before AND b.field_name = a.field_name WHERE a.ts <> b.ts""",
     "ledger_new": "SELECT export_key FROM chat_messages GROUP BY export_key HAVING export_key IS NULL OR count(*) <> count(*) FILTER (exported_at < (SELECT max(exported_at) - INTERVAL 60 DAY FROM chat_messages))",
-    "sidecars": f"""WITH {_DIGESTS}, {_FILES}, n AS (SELECT *, split_part(path, '/', -1) AS name FROM ff) SELECT digest_id, md5('---' || chr(10) || array_to_string(list_filter(['title: "' || name || '"', 'source: "unconvertible"', 'file_type: "' || lower(regexp_extract(name, '.(\.[^.]+)$', 1)) || '"', 'source_path: "' || path || '"', 'size_bytes: ' || size, 'source_sha256: "' || sha256 || '"'], lambda x: x IS NOT NULL), chr(10)) || chr(10) || '---' || chr(10) || chr(10) || '# ' || name || chr(10)) AS digest FROM n""",
+    "sidecars": rf"""WITH {_DIGESTS}, {_FILES}, n AS (SELECT *, split_part(path, '/', -1) AS name FROM ff) SELECT digest_id, md5('---' || chr(10) || array_to_string(list_filter(['title: "' || name || '"', 'source: "unconvertible"', 'file_type: "' || lower(regexp_extract(name, '.(\.[^.]+)$', 1)) || '"', 'source_path: "' || path || '"', 'size_bytes: ' || size, 'source_sha256: "' || sha256 || '"'], lambda x: x IS NOT NULL), chr(10)) || chr(10) || '---' || chr(10) || chr(10) || '# ' || name || chr(10)) AS digest FROM n""",
     "allocated_names": rf"""WITH {_DIGESTS}, w AS (SELECT digest_id, regexp_replace(source_path, '/[^/]*$', '') || '/' || coalesce(nullif(substr({_SLUG.format("CASE WHEN contains(title, ' ') THEN split_part(title, ' ', 1) || ' ' || split_part(title, ' ', 2) ELSE title END")}, 1, 60), ''), 'untitled') || '.md' AS wanted FROM dd),
  t AS (SELECT regexp_extract(left(wanted, -3), '^(.*)-\d{{1,9}}$', 1) AS base, max(regexp_extract(left(wanted, -3), '-(\d{{1,9}})$', 1)::INT) AS most FROM w WHERE regexp_matches(wanted, '-\d{{1,9}}\.md$') GROUP BY 1),
  n AS (SELECT *, row_number() OVER (PARTITION BY wanted ORDER BY digest_id) AS k FROM w)
