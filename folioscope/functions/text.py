@@ -66,8 +66,13 @@ def word_count(body: Column) -> Column:
 
 def tokens(text: Column, stopwords: list[str] | None = None) -> Column:
     """Lower-case words of four characters and more that are no stop words."""
+    return kept_words(words(text), stopwords)
+
+
+def kept_words(found: Column, stopwords: list[str] | None = None) -> Column:
+    """Of words as they stand, in lower case, those of four characters and more that are no stop words."""
     stop = STOPWORDS if stopwords is None else stopwords
-    return F.filter(F.transform(words(text), F.lower), lambda w: (F.length(w) >= 4) & ~w.isin(stop))
+    return F.filter(F.transform(found, F.lower), lambda w: (F.length(w) >= 4) & ~w.isin(stop))
 
 
 def keyword_count(n: Column, base: int = 10, ceiling: int = 40) -> Column:

@@ -79,8 +79,9 @@ def judged(docs: DataFrame, lexicon: DataFrame | None = None) -> DataFrame:
     lexicon: (term), lower case; a term counts as known with or without its hyphens.
     """
     # one pass over the texts: terms, the number of words, and which terms stand with a capital within a sentence
-    bare = docs.select("doc_id", text.strip_code(F.col("text")).alias("bare"))
-    found = bare.select("doc_id", text.keyword_count(F.size(text.words(F.col("bare")))).alias("wanted"), F.explode(text.tokens(F.col("bare"))).alias("term"))
+    split = docs.select("doc_id", text.words(text.strip_code(F.col("text"))).alias("words"))
+    counted = split.select("doc_id", F.size("words").alias("n"), F.explode(text.kept_words(F.col("words"))).alias("term"))
+    found = counted.select("doc_id", text.keyword_count(F.col("n")).alias("wanted"), "term")
     tf = materialize(found.groupBy("doc_id", "wanted", "term").agg(F.count("*").alias("tf")), "tf")
     df = materialize(document_frequency(tf), "df")
     n = tf.select("doc_id").distinct().count()

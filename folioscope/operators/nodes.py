@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions import values
-from folioscope.operators.render import active_paths
+from folioscope.operators.trees import active_paths
 
 # Headings, markers and notes of the rendered format.
 HEADINGS = {"user": "## User", "assistant": "## Assistant", "system": "## System", "tool": "## Tool"}

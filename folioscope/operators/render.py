@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import text
 from folioscope.operators import trees
-from folioscope.runtime import materialize
 
 
 def block(b: Column) -> Column:
@@ -53,25 +52,6 @@ def rendered_conversations(messages: DataFrame, most: int = 100_000) -> DataFram
     return grouped.select("conv_uuid", "part_no", F.size("ms").alias("messages"), F.size(F.array_distinct(F.transform("ms", lambda m: m["branch_no"]))).alias("branches"), F.array_join(F.transform("ms", lambda m: m["shown"]), "\n\n").alias("markdown"))
 
 
-def active_paths(nodes: DataFrame) -> DataFrame:
-    """(conv_id, node_id, depth): from the current node up to the root, the root at depth 1. A circle ends where it closes.
-
-    Walks all conversations at once, one step up for each round, over the nodes that are still on the way.
-    """
-    links = nodes.select("conv_id", "node_id", "parent")
-    front = materialize(nodes.filter("is_current").select("conv_id", F.col("node_id").alias("at"), F.lit(0).alias("up")), "front")
-    seen = front
-    while True:
-        step = front.join(links, (front["conv_id"] == links["conv_id"]) & (front["at"] == links["node_id"])).select(front["conv_id"], F.col("parent").alias("at"), (F.col("up") + 1).alias("up")).filter("at is not null")
-        known = links.select("conv_id", F.col("node_id").alias("at"))
-        front = materialize(step.join(known, ["conv_id", "at"], "left_semi").join(seen.select("conv_id", "at"), ["conv_id", "at"], "left_anti"), "front")
-        if front.isEmpty():
-            break
-        seen = seen.unionByName(front)
-    length = seen.groupBy("conv_id").agg(F.max("up").alias("most"))
-    return seen.join(length, "conv_id").select("conv_id", F.col("at").alias("node_id"), (F.col("most") - F.col("up") + 1).alias("depth"))
-
-
 def embedded_manifests(operations: DataFrame) -> DataFrame:
     """(conv_uuid, file_path, op_id, project, presented, edited_after): manifests that conversations wrote as output files.
 

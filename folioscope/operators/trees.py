@@ -86,6 +86,49 @@ def branch_table(messages: DataFrame) -> DataFrame:
     return rows.repartition(slices(messages.sparkSession), "conv_uuid").sortWithinPartitions("conv_uuid", "msg_uuid").mapInArrow(_stream, BRANCHES)
 
 
+def way_up(parents: dict[str, str | None], at: str | None) -> list[str]:
+    """The nodes from a root down to one, in order. A parent that is not there ends the way, as does one that closes a circle."""
+    way: dict[str, None] = {}
+    while at is not None and at in parents and at not in way:
+        way[at] = None
+        at = parents[at]
+    return list(way)[::-1]
+
+
+def _ways(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    now, parents, current, out = None, {}, None, []
+
+    def close() -> None:
+        out.extend((now, key, depth) for depth, key in enumerate(way_up(parents, current), 1))
+
+    def flush() -> pa.RecordBatch:
+        columns = list(zip(*out)) or [()] * 3
+        out.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.int32()))], names=["conv_id", "node_id", "depth"])
+
+    for batch in batches:
+        for conv, key, parent, chosen in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "node_id", "parent", "is_current"))):
+            if conv != now:
+                close()
+                now, parents, current = conv, {}, None
+            parents[key] = parent
+            current = key if chosen else current
+        if len(out) > 10_000:
+            yield flush()
+    close()
+    yield flush()
+
+
+def active_paths(nodes: DataFrame) -> DataFrame:
+    """(conv_id, node_id, depth): from the root, at depth 1, down to the current node. nodes: (conv_id, node_id, parent, is_current).
+
+    One conversation's ids are held by one task, read off a sorted stream.
+    """
+    columns = ["conv_id", "node_id", "parent", F.coalesce("is_current", F.lit(False)).alias("is_current")]
+    kept = nodes.filter("conv_id is not null and node_id is not null").select(*columns)
+    return kept.repartition(slices(nodes.sparkSession), "conv_id").sortWithinPartitions("conv_id", "node_id").mapInArrow(_ways, "conv_id string, node_id string, depth int")
+
+
 def collapsed_runs(steps: DataFrame, keys: list[str], order: str, flag: str) -> DataFrame:
     """(keys, run_no, flagged, first, n): neighbouring rows of equal flag as one, in order."""
     w = Window.partitionBy(*keys).orderBy(order)

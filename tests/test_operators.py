@@ -179,10 +179,8 @@ def test_united_table(spark):
 
 
 def test_active_paths(spark):
-    from folioscope.operators import render
-
     nodes = spark.createDataFrame([("k", "r", None, False), ("k", "a", "r", False), ("k", "b", "a", True), ("k", "c", "a", False), ("o", "x", "y", True), ("o", "y", "x", False)], "conv_id string, node_id string, parent string, is_current boolean")
-    assert _rows(render.active_paths(nodes)) == [("k", "a", 2), ("k", "b", 3), ("k", "r", 1), ("o", "x", 2), ("o", "y", 1)]
+    assert _rows(trees.active_paths(nodes)) == [("k", "a", 2), ("k", "b", 3), ("k", "r", 1), ("o", "x", 2), ("o", "y", 1)]
 
 
 def test_embedded_manifests(spark):
