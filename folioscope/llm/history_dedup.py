@@ -63,7 +63,7 @@ AT_ONCE, PREFIX_SHARD = 1_000_000, 2_000_000
 #: Shards of a history on storage.
 STORED_SHARDS = 64
 
-PREFIXES = "shard int, row_id long, batch_no long, n int, marks binary, wide binary, keys binary, places binary"
+PREFIXES = "shard int, row_id long, batch_no long, n int, marks binary, wide binary, keys binary, places binary, ranks binary"
 
 
 def words(text: str | None) -> list[str]:
@@ -310,14 +310,19 @@ def _prefix(usual: np.ndarray, names: np.ndarray):
                 last = order[n - 1 - must]
                 # all places of a pair that is in the prefix at one
                 own = np.flatnonzero((rank < rank[last]) | ((rank == rank[last]) & (both <= both[last])))
+                ranks = np.empty(n - 1, np.int64)
+                ranks[order] = np.arange(n - 1)
                 marks, wide = _marks(coded, BITS), _marks(coded, WIDE_BITS) if n >= WIDE_FROM else b""
                 shard = (both[own] >> np.uint64(32)) % np.uint64(len(names))
-                for k in np.unique(shard):
-                    at = own[shard == k]
-                    rows.append((int(names[k]), row_id, batch_no, n, marks, wide, (both[at] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(), at.astype(np.int32).tobytes()))
-            columns = list(zip(*rows)) or [()] * 8
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["shard", "row_id", "batch_no", "n", "marks", "wide", "keys", "places"])
+                sorting = np.argsort(shard, kind="stable")
+                own, ends = own[sorting], np.searchsorted(shard[sorting], np.arange(len(names) + 1, dtype=np.uint64))
+                keys, places, near = (both[own] & np.uint64(0xFFFFFFFF)).astype(np.uint32), own.astype(np.int32), np.minimum(ranks[own], 0xFFFF).astype(np.uint16)
+                for k in np.flatnonzero(np.diff(ends)):
+                    part = slice(ends[k], ends[k + 1])
+                    rows.append((int(names[k]), row_id, batch_no, n, marks, wide, keys[part].tobytes(), places[part].tobytes(), near[part].tobytes()))
+            columns = list(zip(*rows)) or [()] * 9
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 5)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["shard", "row_id", "batch_no", "n", "marks", "wide", "keys", "places", "ranks"])
 
     return run
 
@@ -343,7 +348,8 @@ def _meet(table: pa.Table) -> pa.Table:
     """(row_id, other_id) of one shard: records and earlier accepted ones that may have enough words in common order.
 
     The pairs of words of all records stand sorted by pair and length; each looks ahead to the last that is not too long, found
-    by binary search, so that two records meet once.
+    by binary search, so that two records meet once. Two texts of n and m >= n words must share (3 * SHARE - 1) * m - n - 1 pairs, hence one
+    among the first 2 n - (3 * SHARE - 1) * m + 1 of the one and n - (3 * SHARE - 2) * m + 1 of the other, by rarity: the longer the other, the fewer.
     """
     ids, numbers, n = (table[c].to_numpy() for c in ("row_id", "batch_no", "n"))
     n = n.astype(np.int32)
@@ -355,29 +361,29 @@ def _meet(table: pa.Table) -> pa.Table:
     own = np.repeat(np.arange(len(ids), dtype=np.int32), [len(k) // 4 for k in raw])
     keys = np.frombuffer(b"".join(raw), np.uint32).astype(np.int64)
     places = np.frombuffer(b"".join(table["places"].to_pylist()), np.int32)
+    ranks = np.frombuffer(b"".join(table["ranks"].to_pylist()), np.uint16)
     when = np.empty(len(ids), np.int32)
     when[np.lexsort((ids, numbers))] = np.arange(len(ids), dtype=np.int32)
     sorting = (keys << 31) | n[own]
     order = np.argsort(sorting, kind="stable")
-    sorting, own, places = sorting[order], own[order], places[order]
-    longest = np.floor(n[own] / SHARE + 1e-9).astype(np.int64)
-    ahead = np.searchsorted(sorting, (sorting >> 31 << 31) | longest, "right") - np.arange(len(own)) - 1
-    ends = np.cumsum(ahead)
+    sorting, own, places, ranks = sorting[order], own[order], places[order], ranks[order].astype(np.int32)
+    longest = np.floor(np.minimum(n[own] / SHARE, (2 * n[own] + 1 - ranks) / (3 * SHARE - 1)) + 1e-9).astype(np.int64)
+    ahead = np.maximum(np.searchsorted(sorting, (sorting >> 31 << 31) | longest, "right") - np.arange(len(own)) - 1, 0)
+    ends, sizes = np.cumsum(ahead), n[own]
     met, start = [], 0
     least_of = np.ceil(SHARE * np.arange(int(n.max(initial=0)) + 1) - 1e-9).astype(np.int32)
     while start < len(own):
         done = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, done + AT_ONCE, "right")))
         many = ahead[start:stop]
-        a = np.repeat(np.arange(start, stop, dtype=np.int32), many)
-        b = a + 1 + (np.arange(len(a)) - np.repeat(np.cumsum(many) - many, many)).astype(np.int32)
-        x, y = own[a], own[b]
-        i, j = places[a], places[b]
-        least = least_of[n[y]]  # y is the longer one
-        near = np.minimum(i, j) + np.minimum(n[x] - i, n[y] - j) >= least
+        b = np.arange(ends[stop - 1] - done, dtype=np.int64) + np.repeat(np.arange(start + 1, stop + 1) - (ends[start:stop] - many - done), many)
+        i, size, j, other = np.repeat(places[start:stop], many), np.repeat(sizes[start:stop], many), places[b], sizes[b]
+        least = least_of[other]  # of the two the later in the order is the longer
+        near = np.flatnonzero(np.minimum(i, j) + np.minimum(size - i, other - j) >= least)
+        b, least = b[near], least[near]
+        x, y = np.repeat(own[start:stop], many)[near], own[b]
         later = when[x] > when[y]
-        near &= np.where(later, asks[x] & held[y], asks[y] & held[x]) & (x != y)
-        near = np.flatnonzero(near)
+        near = np.flatnonzero(np.where(later, asks[x] & held[y], asks[y] & held[x]) & (x != y))
         x, y, least, later = x[near], y[near], least[near], later[near]
         # bits in which the signatures differ: at most the words that only one of the two has
         room = n[x] + n[y] - 2 * least
