@@ -188,6 +188,11 @@ _COST = _costs()
 
 def distance(read: str, true: str) -> tuple[float, int]:
     """(weighted edit distance, edits) where confusions of recognition are cheap. Stops counting at 3."""
+    # what both begin and end with alike costs nothing
+    lead = next((i for i, (x, y) in enumerate(zip(read, true)) if x != y), min(len(read), len(true)))
+    read, true = read[lead:], true[lead:]
+    tail = next((i for i, (x, y) in enumerate(zip(read[::-1], true[::-1])) if x != y), min(len(read), len(true)))
+    read, true = read[: len(read) - tail], true[: len(true) - tail]
     n, m = len(read), len(true)
     best = [[(9.0, 9)] * (m + 1) for _ in range(n + 1)]
     best[0][0] = (0.0, 0)
