@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,3 +158,20 @@ def test_repeated_rows_without_id_count_alike(spark):
     df = spark.createDataFrame(rows, MSG)
     both = [sorted(tuple(x) for x in conversations.conversations(df, n).collect()) for n in (conversations.IN_ONE_TASK, 0)]
     assert both[0] == both[1]
+
+
+def test_conversations_are_linked_without_scores(spark, monkeypatch):
+    for name in ("link_score", "likeliest"):
+        monkeypatch.setattr(conversations, name, lambda *a, **k: pytest.fail("a link of a conversation was scored"))
+    rows = conversations.messages(spark.createDataFrame(CASES, MSG)).filter("conv_uuid is not null").orderBy("conv_uuid")
+    got = [tuple(x.values()) for out in conversations._ordered(iter(rows.toArrow().to_batches())) for x in out.to_pylist()]
+    assert sorted(got) == WANT
+
+
+@pytest.mark.parametrize(("weight", "parent"), [(conversations.WEIGHTS["overlap"], "a"), (0.0, "b")])
+def test_scores_decide_links_of_loose_rows(monkeypatch, weight, parent):
+    monkeypatch.setitem(conversations.WEIGHTS, "overlap", weight)
+    said = [("a", 0, "amber lantern"), ("b", 0, "another matter"), ("c", 1, "amber lantern")]
+    rows = [{"channel": "p", "bucket": 0, "context": False, "at": i * 60_000_000, "msg_uuid": k, "role": role, "words": words, "parent_uuid": None} for i, (k, role, words) in enumerate(said)]
+    (out,) = conversations._linked(iter([pa.RecordBatch.from_pylist(rows)]))
+    assert {x["msg_uuid"]: x["parent_uuid"] for x in out.to_pylist()}["c"] == parent
